@@ -53,14 +53,8 @@ def child_ids(parents: DataFrame, links: DataFrame) -> DataFrame:
             .distinct())
 
 
-def in_scope_items(work_items: DataFrame, children: DataFrame, as_of: str, p: Params) -> DataFrame:
-    """Details of children of an allowed type, projected with defaults.
-
-    The type filter runs before any comment is touched (F8). Each child keeps
-    the project of the sprint that reached it.
-    """
-    w = work_items.where(F.col("work_item_type").isin(list(p.allowed_types))).drop("project")
-    items = w.join(children, ["org", "id"], "inner")
+def project_items(items: DataFrame, as_of: str) -> DataFrame:
+    """K1 field projection with defaults, assignee normalisation (X5) and elapsed days."""
     a = parse_assignee(F.col("assigned_to"))
     return items.select(
         *PROJECT_KEY, "id",
@@ -76,6 +70,16 @@ def in_scope_items(work_items: DataFrame, children: DataFrame, as_of: str, p: Pa
     )
 
 
+def in_scope_items(work_items: DataFrame, children: DataFrame, as_of: str, p: Params) -> DataFrame:
+    """Details of children of an allowed type, projected with defaults.
+
+    The type filter runs before any comment is touched (F8). Each child keeps
+    the project of the sprint that reached it.
+    """
+    w = work_items.where(F.col("work_item_type").isin(list(p.allowed_types))).drop("project")
+    return project_items(w.join(children, ["org", "id"], "inner"), as_of)
+
+
 def stage_counts(parents: DataFrame, children: DataFrame, items: DataFrame) -> DataFrame:
     """Per-project counts of parents, children and fetched tasks."""
     pc = parents.groupBy(*PROJECT_KEY).agg(F.count(F.lit(1)).alias("parent_count"))

@@ -168,10 +168,11 @@ def grader_responses(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_O
     """Grader replies: bare, fenced, fenced-with-tag, junk, NULL and incomplete JSON."""
     e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     eid, etype = F.col("event_id"), F.col("event_type")
-    score = (F.col("value").cast("long") % 11).cast("string")
+    pts = F.floor(F.col("value")) % 11
+    score = pts.cast("string")
     body = F.concat(
         F.lit('{"quality_score": '), score,
-        F.lit(', "quality_label": "'), F.when(F.col("value").cast("long") % 11 >= 7, F.lit("good")).otherwise(F.lit("vague")),
+        F.lit(', "quality_label": "'), F.when(pts >= 7, F.lit("good")).otherwise(F.lit("vague")),
         F.lit('", "blocker_detected": '), F.when(etype == "error", F.lit("true")).otherwise(F.lit("false")),
         F.lit(', "progress_detectable": '), F.when(etype == "purchase", F.lit("true")).otherwise(F.lit("false")),
         F.lit(', "sentiment": "'), F.when(etype == "error", F.lit("negative")).otherwise(F.lit("positive")),
