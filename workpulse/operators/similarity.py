@@ -2,10 +2,15 @@
 
 Relational form of the vectoriser defaults (raw term counts,
 ``idf = ln((1 + n) / (1 + df)) + 1``, L2-normalised rows) where the corpus is
-*one task's* comments, so the global ``pyspark.ml`` IDF does not apply. Every
-aggregate is keyed by (task, doc), (task, term) or task, and the only join
-pairs today's single vector with each past vector on (task, term): the work is
-1 x N per task, never N x N, and a hot task spreads over its terms.
+*one task's* comments, so the global ``pyspark.ml`` IDF does not apply.
+
+Shape of the plan (no Python, no collect):
+  * eligibility, corpus size and exact match are aggregations over the cleaned
+    docs keyed by task or (task, text) -- partial aggregation, no self-join;
+  * term counts per (task, doc, term) and document frequency per (task, term);
+  * the only join of vectors pairs today's single vector with each past vector
+    on (task, term): 1 x N per task, never N x N. A hot task spreads over its
+    terms, and AQE splits skewed join partitions.
 """
 
 from __future__ import annotations
@@ -21,43 +26,40 @@ def copy_paste(docs: DataFrame, threshold: float, key: str = "key") -> DataFrame
 
     A key is scored only when its today text and at least one past text are
     non-blank after strip + lower (F10, M17); other keys are absent (callers
-    default them to not copied).
+    default them to not copied). ``doc`` must be unique within a key.
     """
     d = (docs.select(key, "doc", "is_today", clean_text(F.col("text")).alias("clean"))
          .where(F.col("clean") != ""))
-    today = d.where("is_today").select(key, F.col("doc").alias("t_doc"), F.col("clean").alias("t_clean"))
-    past = d.where(~F.col("is_today"))
-    eligible = past.select(key).distinct().join(today.select(key), key, "left_semi")
-    return _score(d, today, past, eligible, threshold, key)
-
-
-def _score(d, today, past, eligible, threshold, key):
-    corpus = d.join(eligible, key, "left_semi")
-    # A10: term frequency per (task, doc, term), document frequency per (task, term), corpus size per task.
-    tf = (corpus.select(key, "doc", "is_today", F.explode(tokens(F.col("clean"))).alias("term"))
-          .groupBy(key, "doc", "is_today", "term").agg(F.count(F.lit(1)).alias("tf")))
-    n = corpus.groupBy(key).agg(F.count(F.lit(1)).alias("n_docs"))
-    df_ = tf.groupBy(key, "term").agg(F.count(F.lit(1)).alias("df"))
-    w = (tf.join(df_, [key, "term"]).join(n, key)
-         .select(key, "doc", "is_today", "term",
-                 (F.col("tf") * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + F.lit(1.0))).alias("w")))
-    norms = w.groupBy(key, "doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    # Corpus size and eligibility per key (U5): one aggregation.
+    elig = (d.groupBy(key)
+            .agg(F.count_if("is_today").alias("n_today"), F.count(F.lit(1)).alias("n_docs"))
+            .where((F.col("n_today") > 0) & (F.col("n_docs") > F.col("n_today")))
+            .select(key, "n_docs"))
+    # U4: today's cleaned text equals some past cleaned text, as one aggregation on (key, text).
+    exact = (d.groupBy(key, "clean")
+             .agg(F.bool_or("is_today").alias("t"), F.bool_or(~F.col("is_today")).alias("p"))
+             .where(F.col("t") & F.col("p")).select(key).distinct()
+             .withColumn("exact_match", F.lit(True)))
+    # A10: term frequency per (key, doc, term), document frequency per (key, term).
+    tf = (d.select(key, "doc", "is_today", F.explode(tokens(F.col("clean"))).alias("term"))
+          .groupBy(key, "doc", "is_today", "term").agg(F.count(F.lit(1)).alias("tf"))
+          .join(elig, key))
+    dfreq = tf.groupBy(key, "term").agg(F.count(F.lit(1)).alias("df"))
+    w = tf.join(dfreq, [key, "term"]).select(
+        key, "doc", "is_today", "term",
+        (F.col("tf") * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + F.lit(1.0))).alias("w"))
+    norms = w.groupBy(key, "doc", "is_today").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    t_norm = norms.where("is_today").select(key, F.col("norm").alias("t_norm"))
     wt = w.where("is_today").select(key, "term", F.col("w").alias("wt"))
-    wp = w.where(~F.col("is_today")).select(key, "doc", "term", F.col("w").alias("wp"))
-    # today's vector against every past vector of the same task (1 x N).
-    dots = (wp.join(wt, [key, "term"]).groupBy(key, "doc").agg(F.sum(F.col("wp") * F.col("wt")).alias("dot")))
-    tnorm = norms.join(today.select(key, F.col("t_doc").alias("doc")), [key, "doc"], "left_semi") \
-        .select(key, F.col("norm").alias("t_norm"))
-    cos = (dots.join(norms, [key, "doc"]).join(tnorm, key)
+    # today's vector against every past vector of the same key.
+    dots = (w.where(~F.col("is_today")).join(wt, [key, "term"])
+            .groupBy(key, "doc").agg(F.sum(F.col("w") * F.col("wt")).alias("dot")))
+    cos = (dots.join(norms.where(~F.col("is_today")).select(key, "doc", "norm"), [key, "doc"]).join(t_norm, key)
            .select(key, F.when((F.col("norm") > 0) & (F.col("t_norm") > 0),
                                F.col("dot") / (F.col("norm") * F.col("t_norm"))).alias("cos")))
-    # Best match per task; tasks whose past shares no term score 0.
+    # Best match per key; a past that shares no term scores 0.
     best = cos.groupBy(key).agg(F.max("cos").alias("max_sim"))
-    # U4: exact match of cleaned texts (equi-join on the text itself).
-    exact = (past.select(key, F.col("clean").alias("t_clean")).join(today.select(key, "t_clean"), [key, "t_clean"],
-                                                                   "left_semi")
-             .select(key).distinct().withColumn("exact_match", F.lit(True)))
-    out = eligible.join(best, key, "left").join(exact, key, "left")
+    out = elig.select(key).join(best, key, "left").join(exact, key, "left")
     max_sim = F.coalesce(F.col("max_sim"), F.lit(0.0))
     exact_m = F.coalesce(F.col("exact_match"), F.lit(False))
     return out.select(key, max_sim.alias("max_sim"), exact_m.alias("exact_match"),

@@ -323,9 +323,7 @@ def _scored(spark, sf):
     t = _all_tasks(spark, sf)
     sprint = current_sprint(SV.iterations(spark, sf, AS_OF), AS_OF)
     t = t.join(sprint.select("org", "project", "days_remaining", "dates_configured"), ["org", "project"])
-    a = SV.analysis(SV.work_items(spark, sf, AS_OF))
-    t = t.join(a, "id")
-    return flag_attention(score_risk(t, P), P)
+    return flag_attention(score_risk(SV.analysis(t), P), P)
 
 
 def _scored_sql():

@@ -72,6 +72,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrived in fewer partitions than the session has cores.
+
+    A large input already arrives in many splits and is returned unchanged; a
+    thin one (e.g. one Parquet row group) would otherwise run its CPU-heavy row
+    work (regex, tokenising) in a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded probe, never a full count)."""
     return df.limit(max_rows + 1).count() <= max_rows

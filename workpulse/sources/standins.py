@@ -13,14 +13,28 @@ from pyspark.sql import functions as F
 
 from workpulse.functions.dates import as_of_ts
 from workpulse.params import DEFAULT_AS_OF, HIERARCHY_FORWARD
+from workpulse.session import spread
 
 ORG = "acme"
 # Finish-date offsets (days after as_of's date) cycled over nations.
 FINISH_OFFSETS = (-1, 0, 1, 2, 3, 5, 6, 14)
 
 
+_READS: dict = {}
+# Text tables whose regex / tokenising work runs before the first shuffle.
+_ROW_HEAVY = {"events", "pages", "conversations", "documents"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver table ``name``; the DataFrame (file listing + footer schema) is reused per session.
+
+    Thin scans of text tables are spread over the session's cores (see ``spread``).
+    """
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _READS:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _READS[key] = spread(df) if name in _ROW_HEAVY else df
+    return _READS[key]
 
 
 def _iso_seconds(ts):
@@ -143,7 +157,9 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def analysis(work: DataFrame) -> DataFrame:
-    """Analysis records keyed on work item ids (quality, copy, blocker, comment presence)."""
+    """Analysis records from work item ``id`` and ``title`` (quality, copy, blocker, comment presence).
+
+    Row-local: apply it to task rows that already carry these columns (no join)."""
     k = F.col("id")
     has = (k % 4) != 0
     copied = (k % 13) == 0
@@ -151,7 +167,7 @@ def analysis(work: DataFrame) -> DataFrame:
     label = (F.when(~has, F.lit("missing")).when(copied, F.lit("copy-pasted"))
              .when(q >= 7, F.lit("good")).otherwise(F.lit("vague")))
     return work.select(
-        k.alias("id"), has.alias("has_comment_today"), q.alias("quality_score"), label.alias("quality_label"),
+        "*", has.alias("has_comment_today"), q.alias("quality_score"), label.alias("quality_label"),
         copied.alias("copy_paste_detected"), ((k % 17) == 0).alias("blocker_detected"),
         F.lit(True).alias("progress_detectable"), F.lit("neutral").alias("sentiment"),
         F.concat(F.lit("What is left on "), F.col("title"), F.lit("?")).alias("suggested_followup"),
