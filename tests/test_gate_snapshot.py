@@ -118,3 +118,22 @@ def test_history_scan_is_pruned_and_pushed(spark, tmp_table):
     scan = [line for line in plan.splitlines() if "ReadSchema" in line][0]
     assert "task_title" not in scan and "nudge_message" not in scan
     assert "SortMergeJoin" not in plan
+
+
+def test_replies_drive_grades_and_nudges(spark):
+    from datetime import datetime
+    ts = datetime(2024, 1, 28, 18, 0, 0)
+    reply = ('```json\n{"quality_score": 9, "quality_label": "excellent", "blocker_detected": true, '
+             '"progress_detectable": true, "sentiment": "positive", "suggested_followup": "Q?"}\n```')
+    grades = spark.createDataFrame([(10, ts, "grade", reply), (11, ts, "grade", "junk")], SC.RESPONSES)
+    nudges = spark.createDataFrame([(10, ts, "nudge", '{"message": "Please add detail.", "tone": "direct"}')],
+                                   SC.RESPONSES)
+    run = run_daily(tiny_inputs(spark), D1, Params(), grader_responses=grades, nudge_responses=nudges)
+    t = {r.id: r for r in run.tasks.collect()}
+    assert (t[10].quality_score, t[10].quality_label, t[10].blocker_detected) == (9, "excellent", True)
+    # Fallback grade; the future-dated identical comment counts as a past one -> label overridden.
+    assert (t[11].quality_score, t[11].quality_label) == (0, "copy-pasted")
+    assert t[10].needs_attention and t[10].nudge.message == "Please add detail." and t[10].nudge.tone == "direct"
+    assert t[11].nudge.tone == "gentle" and t[11].nudge.message.startswith("Hi Bo, a quick note on Task B: ")
+    req = {r.work_item_id: r.request for r in run.grading_requests.collect()}
+    assert set(req) == {10, 11} and req[11] == "Task title: Task B\nDeveloper: Bo\nEOD comment: done"

@@ -17,7 +17,7 @@ from workpulse.operators.discovery import (
     stage_counts,
 )
 from workpulse.operators.gate import BRANCH_ANALYSED, assign_branch
-from workpulse.operators.grading import grade
+from workpulse.operators.grading import grade, grading_requests
 from workpulse.operators.nudge import write_nudges
 from workpulse.operators.risk import flag_attention, score_risk
 from workpulse.operators.routing import (
@@ -117,6 +117,8 @@ class DailyRun:
     report: DataFrame
     stage_counts: DataFrame
     sprint: DataFrame
+    grading_requests: DataFrame
+    nudge_requests: DataFrame
 
 
 def run_daily(inp: TrackerInputs, as_of: str, p: Params = Params(), grader_responses: DataFrame | None = None,
@@ -142,4 +144,7 @@ def run_daily(inp: TrackerInputs, as_of: str, p: Params = Params(), grader_respo
         cards=report_cards(enriched, as_of), dispositions=disp, disposition_counts=disposition_counts(disp),
         reminders=reminder_outbox(disp, as_of, p), report=report_outbox(summary, sprint, as_of, p),
         stage_counts=counts, sprint=sprint,
+        grading_requests=grading_requests(enriched, as_of),
+        nudge_requests=enriched.where("needs_attention").select(
+            "org", "project", F.col("id").alias("work_item_id"), F.col("nudge_request").alias("request")),
     )

@@ -572,6 +572,31 @@ def sql_stage_counts():
         ON coalesce(a.org, b.org) = c.org AND coalesce(a.project, b.project) = c.project""")
 
 
+def q_grading_requests(spark, sf):
+    return _run(spark, sf).grading_requests
+
+
+def sql_grading_requests():
+    from workpulse.operators.grading import REQUEST_LINES
+    vals = ("title", "assignee_name", "today_comment_text")
+    req = " || chr(10) || ".join(f"{O.q(h)} || coalesce({v}, '')" for h, v in zip(REQUEST_LINES, vals))
+    return _sql_pipeline(f"""
+      SELECT org, project, id AS work_item_id, {O.ts_lit(AS_OF)} AS as_of, {req} AS request
+      FROM final WHERE branch = 'analysed' AND NOT {O.is_blank('today_comment_text')}""")
+
+
+def q_nudge_requests(spark, sf):
+    return _run(spark, sf).nudge_requests
+
+
+def sql_nudge_requests():
+    from workpulse.operators.nudge import REQUEST_LINES
+    vals = ("first_name", "title", "state", "coalesce(CAST(remaining_hours AS VARCHAR), 'not set')",
+            "CAST(days_remaining AS VARCHAR)", "issues", "'1'", "coalesce(suggested_followup, '')")
+    req = " || chr(10) || ".join(f"{O.q(h)} || {v}" for h, v in zip(REQUEST_LINES, vals))
+    return _sql_pipeline(f"SELECT org, project, id AS work_item_id, {req} AS request FROM final WHERE needs_attention")
+
+
 QUERIES = {
     "sprint_calendar": (q_sprint_calendar, sql_sprint_calendar),
     "sprint_children": (q_sprint_children, sql_sprint_children),
@@ -597,4 +622,6 @@ QUERIES = {
     "report_outbox": (q_report_outbox, sql_report_outbox),
     "report_cards": (q_report_cards, sql_report_cards),
     "stage_counts": (q_stage_counts, sql_stage_counts),
+    "grading_requests": (q_grading_requests, sql_grading_requests),
+    "nudge_requests": (q_nudge_requests, sql_nudge_requests),
 }
