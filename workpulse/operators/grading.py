@@ -58,21 +58,27 @@ def request_text(title, developer, comment) -> Column:
 
 def unfence(raw) -> Column:
     """Strip a leading code fence (and a ``json`` tag) the way the reply parser does (K3)."""
-    s = py_strip(raw)
-    inner = F.coalesce(F.element_at(F.split(s, "```"), 2), F.lit(""))
+    return _unfence_stripped(py_strip(raw))
+
+
+def _unfence_stripped(s) -> Column:
+    inner = F.coalesce(F.try_element_at(F.split(s, "```"), F.lit(2)), F.lit(""))
     inner = F.when(inner.startswith("json"), F.substring(inner, 5, 1 << 30)).otherwise(inner)
     return F.when(s.startswith("```"), inner).otherwise(s)
 
 
+def _reply_ok(body_stripped, parsed, schema) -> Column:
+    ok = body_stripped.startswith("{") & body_stripped.endswith("}") & parsed.isNotNull()
+    for f in schema.fields:
+        ok = ok & parsed[f.name].isNotNull()
+    return F.coalesce(ok, F.lit(False))
+
+
 def parse_reply(raw, schema) -> tuple[Column, Column]:
     """JSON object reply -> (struct, ok). ok requires one whole object with every field present and typed."""
     body = unfence(raw)
-    t = py_strip(body)
     parsed = F.from_json(body, schema)
-    ok = t.startswith("{") & t.endswith("}") & parsed.isNotNull()
-    for f in schema.fields:
-        ok = ok & parsed[f.name].isNotNull()
-    return parsed, F.coalesce(ok, F.lit(False))
+    return parsed, _reply_ok(py_strip(body), parsed, schema)
 
 
 def parse_grade(raw, title) -> Column:
@@ -81,6 +87,19 @@ def parse_grade(raw, title) -> Column:
     return F.when(ok, _record(*[parsed[f.name] for f in GRADE_FIELDS.fields])).otherwise(failed_record(title))
 
 
+def with_parsed_grade(df: DataFrame, raw: str, title, out: str = "quality", ok_col: str | None = None) -> DataFrame:
+    """Row-staged ``parse_grade``: strip, unfence and ``from_json`` each run once per row."""
+    t = df.withColumn("__s", py_strip(F.col(raw)))
+    t = t.withColumn("__b", _unfence_stripped(F.col("__s")))
+    t = t.withColumns({"__bt": py_strip(F.col("__b")), "__p": F.from_json(F.col("__b"), GRADE_FIELDS)})
+    t = t.withColumn("__ok", _reply_ok(F.col("__bt"), F.col("__p"), GRADE_FIELDS))
+    rec = _record(*[F.col("__p")[f.name] for f in GRADE_FIELDS.fields])
+    t = t.withColumn(out, F.when(F.col("__ok"), rec).otherwise(failed_record(title)))
+    if ok_col:
+        t = t.withColumn(ok_col, F.col("__ok"))
+    return t.drop("__s", "__b", "__bt", "__p", "__ok")
+
+
 def _has_phrase(norm: Column, phrases) -> Column:
     out = F.lit(False)
     for ph in phrases:
@@ -88,24 +107,56 @@ def _has_phrase(norm: Column, phrases) -> Column:
     return out
 
 
-def rubric_grade(text, title) -> Column:
-    """Deterministic rubric grader (approximation of the published rules)."""
+def _rubric_parts(text) -> dict:
     toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_PATTERN), 0)
-    words = F.size(toks)
+    return {"toks": toks}
+
+
+def _rubric_flags(text, toks) -> dict:
     norm = F.concat(F.lit(" "), F.array_join(toks, " "), F.lit(" "))
-    vague = (words <= 5) & _has_phrase(norm, VAGUE_PHRASES)
+    words = F.size(toks)
     has = lambda ws: F.arrays_overlap(toks, F.array(*[F.lit(w) for w in ws]))
-    done, left, risk = has(DONE_WORDS), has(LEFT_WORDS), has(RISK_WORDS)
+    return {
+        "words": words,
+        "vague": (words <= 5) & _has_phrase(norm, VAGUE_PHRASES),
+        "done": has(DONE_WORDS), "left": has(LEFT_WORDS), "risk": has(RISK_WORDS),
+        "digit": F.coalesce(text, F.lit("")).rlike("[0-9]"),
+        "blocker": _has_phrase(norm, BLOCKER_PHRASES) | (
+            _has_phrase(norm, ("blocker", "blockers")) & ~_has_phrase(norm, NO_BLOCKER_PHRASES)),
+        "blank": is_blank(text),
+    }
+
+
+def _rubric_score(f: dict) -> Column:
     b = lambda c, v: F.when(c, F.lit(v)).otherwise(F.lit(0))
-    raw = (F.lit(1) + b(done, 2) + b(left, 2) + b(risk, 1) + b(words >= 12, 2) + b(words >= 25, 1)
-           + b(F.coalesce(text, F.lit("")).rlike("[0-9]"), 1))
-    score = F.when(vague, F.least(F.lit(3), F.greatest(F.lit(0), words - 1))).otherwise(F.least(F.lit(10), raw))
+    words = f["words"]
+    raw = (F.lit(1) + b(f["done"], 2) + b(f["left"], 2) + b(f["risk"], 1) + b(words >= 12, 2) + b(words >= 25, 1)
+           + b(f["digit"], 1))
+    return F.when(f["vague"], F.least(F.lit(3), F.greatest(F.lit(0), words - 1))).otherwise(F.least(F.lit(10), raw))
+
+
+def _rubric_record(f: dict, score, title) -> Column:
     label = F.when(score >= 8, F.lit("excellent")).when(score >= 5, F.lit("good")).otherwise(F.lit("vague"))
-    blocker = _has_phrase(norm, BLOCKER_PHRASES) | (
-        _has_phrase(norm, ("blocker", "blockers")) & ~_has_phrase(norm, NO_BLOCKER_PHRASES))
-    sentiment = F.when(blocker, F.lit("negative")).when(score >= 7, F.lit("positive")).otherwise(F.lit("neutral"))
-    graded = _record(score, label, blocker, done, sentiment, F.format_string(RUBRIC_FOLLOWUP, title))
-    return F.when(is_blank(text), missing_record(title)).otherwise(graded)
+    sentiment = F.when(f["blocker"], F.lit("negative")).when(score >= 7, F.lit("positive")).otherwise(F.lit("neutral"))
+    graded = _record(score, label, f["blocker"], f["done"], sentiment, F.format_string(RUBRIC_FOLLOWUP, title))
+    return F.when(f["blank"], missing_record(title)).otherwise(graded)
+
+
+def rubric_grade(text, title) -> Column:
+    """Deterministic rubric grader (approximation of the published rules), as one column expression."""
+    f = _rubric_flags(text, _rubric_parts(text)["toks"])
+    return _rubric_record(f, _rubric_score(f), title)
+
+
+def with_rubric(df: DataFrame, text: str, title, out: str = "quality") -> DataFrame:
+    """Row-staged G3: tokens once, then flags, then score, then the record."""
+    t = df.withColumn("__toks", _rubric_parts(F.col(text))["toks"])
+    flags = _rubric_flags(F.col(text), F.col("__toks"))
+    t = t.withColumns({f"__{k}": v for k, v in flags.items()})
+    staged = {k: F.col(f"__{k}") for k in flags}
+    t = t.withColumn("__score", _rubric_score(staged))
+    t = t.withColumn(out, _rubric_record(staged, F.col("__score"), title))
+    return t.drop("__toks", "__score", *[f"__{k}" for k in flags])
 
 
 def grading_requests(tasks: DataFrame, as_of: str) -> DataFrame:
@@ -127,11 +178,11 @@ def grade(tasks: DataFrame, as_of: str, responses: DataFrame | None = None) -> D
     title = F.col("title")
     blank = is_blank(F.col("today_comment_text"))
     if responses is None:
-        q = rubric_grade(F.col("today_comment_text"), title)
-        return tasks.withColumn("quality", F.when(blank, missing_record(title)).otherwise(q))
+        return with_rubric(tasks, "today_comment_text", title)
     from workpulse.functions.dates import as_of_ts
     r = (responses.where((F.col("kind") == "grade") & (F.col("as_of") == as_of_ts(as_of)))
          .groupBy("work_item_id").agg(F.max_by("raw", F.col("as_of")).alias("reply")))
-    j = tasks.join(r.withColumnRenamed("work_item_id", "id"), "id", "left")
-    return j.withColumn("quality", F.when(blank, missing_record(title)).otherwise(parse_grade(F.col("reply"), title))) \
-        .drop("reply")
+    j = with_parsed_grade(tasks.join(r.withColumnRenamed("work_item_id", "id"), "id", "left"), "reply", title,
+                          "parsed")
+    return j.withColumn("quality", F.when(blank, missing_record(title)).otherwise(F.col("parsed"))) \
+        .drop("reply", "parsed")

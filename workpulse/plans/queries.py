@@ -13,7 +13,7 @@ from workpulse.functions.text import image_urls, pipe_join, strip_html
 from workpulse.operators.comments import comment_rollup, recent_comments, similarity_docs
 from workpulse.operators.discovery import child_ids, current_sprint, in_scope_items, project_items, sprint_parents
 from workpulse.operators.gate import assign_branch, latest_compliant
-from workpulse.operators.grading import parse_grade, parse_reply, rubric_grade
+from workpulse.operators.grading import with_parsed_grade, with_rubric
 from workpulse.operators.nudge import write_nudges
 from workpulse.operators.risk import flag_attention, score_risk
 from workpulse.operators.similarity import copy_paste
@@ -249,10 +249,9 @@ def sql_gate_branch():
 def q_grader_parse(spark, sf):
     r = SV.grader_responses(spark, sf, AS_OF)
     title = F.concat(F.lit("Task "), F.col("work_item_id").cast("string"))
-    _, ok = parse_reply(F.col("raw"), GRADE_FIELDS)
-    g = parse_grade(F.col("raw"), title)
-    return r.select("response_id", "work_item_id", ok.alias("parsed_ok"),
-                    *[g[f.name].alias(f.name) for f in GRADE_FIELDS.fields])
+    g = with_parsed_grade(r, "raw", title, "g", ok_col="parsed_ok")
+    return g.select("response_id", "work_item_id", "parsed_ok",
+                    *[F.col("g")[f.name].alias(f.name) for f in GRADE_FIELDS.fields])
 
 
 def _sql_unfence(raw: str) -> str:
@@ -304,8 +303,8 @@ def sql_grader_parse():
 def q_rubric_grade(spark, sf):
     conv = SV.read_table(spark, sf, "conversations")
     title = F.concat(F.lit("Conversation "), F.col("conv_id").cast("string"))
-    g = rubric_grade(F.col("text"), title)
-    return conv.select("conv_id", "turn", *[g[f.name].alias(f.name) for f in GRADE_FIELDS.fields])
+    g = with_rubric(conv, "text", title, "g")
+    return g.select("conv_id", "turn", *[F.col("g")[f.name].alias(f.name) for f in GRADE_FIELDS.fields])
 
 
 def sql_rubric_grade():
