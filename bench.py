@@ -29,7 +29,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", app="workpulse-bench", shuffle_partitions=int(cpus) * 2,
+    spark = build_session(f"local[{cpus}]", app="workpulse-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "16g"})
     timings = {}
     for name in names:
