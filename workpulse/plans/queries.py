@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from workpulse.functions.dates import as_of_ts, elapsed_days, parse_iso
-from workpulse.functions.text import image_urls, pipe_join, strip_html
+from workpulse.functions.text import clean_text, image_urls, pipe_join, strip_html, tokens
 from workpulse.operators.comments import comment_rollup, recent_comments, similarity_docs
 from workpulse.operators.discovery import child_ids, current_sprint, in_scope_items, project_items, sprint_parents
 from workpulse.operators.gate import assign_branch, latest_compliant
@@ -198,6 +198,38 @@ def sql_copy_paste_comments():
                        "FROM cp_result")
 
 
+def q_document_text_stats(spark, sf):
+    docs = SV.read_table(spark, sf, "documents")
+    t = docs.select("doc_id", tokens(F.col("text")).alias("toks"), clean_text(F.col("text")).alias("clean"))
+    return t.select("doc_id", F.size("toks").cast("int").alias("n_tokens"),
+                    F.size(F.array_distinct("toks")).cast("int").alias("n_distinct_tokens"),
+                    F.length("clean").cast("int").alias("clean_chars"))
+
+
+def sql_document_text_stats():
+    return (f"SELECT doc_id, CAST(len(toks) AS INTEGER) AS n_tokens, "
+            f"CAST(len(list_distinct(toks)) AS INTEGER) AS n_distinct_tokens, "
+            f"CAST(length(clean) AS INTEGER) AS clean_chars "
+            f"FROM (SELECT doc_id, {O.tokens('text')} AS toks, {O.clean_text('text')} AS clean FROM documents)")
+
+
+def q_copy_paste_documents(spark, sf):
+    """Latest document of each (source, language) against all earlier ones, whole texts."""
+    docs = SV.read_table(spark, sf, "documents").select(
+        F.concat_ws("/", "source", "lang").alias("key"), F.col("doc_id").alias("doc"), "text")
+    last = docs.groupBy("key").agg(F.max("doc").alias("last_doc"))
+    d = docs.join(last, "key").select("key", "doc", (F.col("doc") == F.col("last_doc")).alias("is_today"), "text")
+    return _sim_out(copy_paste(d, P.copy_paste_threshold), "source_lang")
+
+
+def sql_copy_paste_documents():
+    docs = ("SELECT source || '/' || lang AS key, doc_id AS doc, "
+            "doc_id = max(doc_id) OVER (PARTITION BY source, lang) AS is_today, text FROM documents")
+    return O.with_ctes([("sdocs", docs)] + O.similarity_ctes("sdocs", P.copy_paste_threshold),
+                       "SELECT key AS source_lang, round(max_sim, 6) AS max_sim, exact_match, copy_paste_detected "
+                       "FROM cp_result")
+
+
 # ---------------------------------------------------------------------------
 # Gate
 # ---------------------------------------------------------------------------
@@ -596,6 +628,16 @@ def sql_nudge_requests():
     return _sql_pipeline(f"SELECT org, project, id AS work_item_id, {req} AS request FROM final WHERE needs_attention")
 
 
+def _prepared(fn):
+    """Every registered query runs with the UTC / measured-broadcast session policy (``ensure_utc``)."""
+    def run(spark, sf):
+        ensure_utc(spark)
+        return fn(spark, sf)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES = {
     "sprint_calendar": (q_sprint_calendar, sql_sprint_calendar),
     "sprint_children": (q_sprint_children, sql_sprint_children),
@@ -606,6 +648,8 @@ QUERIES = {
     "comment_rollup": (q_comment_rollup, sql_comment_rollup),
     "copy_paste_similarity": (q_copy_paste_similarity, sql_copy_paste_similarity),
     "copy_paste_comments": (q_copy_paste_comments, sql_copy_paste_comments),
+    "copy_paste_documents": (q_copy_paste_documents, sql_copy_paste_documents),
+    "document_text_stats": (q_document_text_stats, sql_document_text_stats),
     "latest_compliant": (q_latest_compliant, sql_latest_compliant),
     "gate_branch": (q_gate_branch, sql_gate_branch),
     "grader_parse": (q_grader_parse, sql_grader_parse),
@@ -624,3 +668,4 @@ QUERIES = {
     "grading_requests": (q_grading_requests, sql_grading_requests),
     "nudge_requests": (q_nudge_requests, sql_nudge_requests),
 }
+QUERIES = {name: (_prepared(fn), sql) for name, (fn, sql) in QUERIES.items()}

@@ -25,6 +25,7 @@ def build_session(master: str | None = None, app: str = "workpulse", shuffle_par
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.driver.memory": "8g",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -38,8 +39,18 @@ def build_session(master: str | None = None, app: str = "workpulse", shuffle_par
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """All day arithmetic is defined in UTC."""
+    """All day arithmetic is defined in UTC; joins broadcast only on measured sizes.
+
+    Static, estimate-based broadcast is off (estimates after ``explode`` or an
+    aggregation can be far off, and a wrong guess is a driver OOM at scale).
+    AQE still converts a join to broadcast at runtime when the *materialized*
+    shuffle side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and
+    ``join_small`` broadcasts after its bounded row probe.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
