@@ -19,8 +19,8 @@ from workpulse.session import build_session  # noqa: E402
 
 HEADLINE = [
     "risk_scores", "attention_flags", "html_text", "comment_rollup", "copy_paste_comments",
-    "copy_paste_similarity", "latest_compliant", "gate_branch", "rubric_grade", "grader_parse",
-    "snapshot_rows", "snapshot_upsert",
+    "copy_paste_similarity", "copy_paste_documents", "document_text_stats", "latest_compliant", "gate_branch",
+    "rubric_grade", "grader_parse", "snapshot_rows", "snapshot_upsert",
 ]
 
 

@@ -137,3 +137,20 @@ def test_replies_drive_grades_and_nudges(spark):
     assert t[11].nudge.tone == "gentle" and t[11].nudge.message.startswith("Hi Bo, a quick note on Task B: ")
     req = {r.work_item_id: r.request for r in run.grading_requests.collect()}
     assert set(req) == {10, 11} and req[11] == "Task title: Task B\nDeveloper: Bo\nEOD comment: done"
+
+
+def test_incremental_history_matches_full_scan(spark, tmp_path):
+    from workpulse.sources.snapshot_store import incremental_history
+    full, inc, state = str(tmp_path / "full"), str(tmp_path / "inc"), str(tmp_path / "state")
+    p = Params()
+    days = [D1, D2, D3, D3]
+    for as_of in days:
+        a = run_daily(tiny_inputs(spark, read_history(spark, full)), as_of, p)
+        b = run_daily(tiny_inputs(spark, incremental_history(spark, inc, state, as_of)), as_of, p)
+        ra = {r.id: (r.branch, r.quality_score, r.eod_compliant) for r in a.tasks.collect()}
+        rb = {r.id: (r.branch, r.quality_score, r.eod_compliant) for r in b.tasks.collect()}
+        assert ra == rb, as_of
+        upsert(spark, full, a.snapshot)
+        upsert(spark, inc, b.snapshot)
+    import os
+    assert sorted(os.listdir(state)) == ["before=2024-01-28", "before=2024-01-29", "before=2024-01-30"]
