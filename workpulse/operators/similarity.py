@@ -40,23 +40,24 @@ def copy_paste(docs: DataFrame, threshold: float, key: str = "key") -> DataFrame
              .agg(F.bool_or("is_today").alias("t"), F.bool_or(~F.col("is_today")).alias("p"))
              .where(F.col("t") & F.col("p")).select(key).distinct()
              .withColumn("exact_match", F.lit(True)))
-    # A10: term frequency per (key, doc, term), document frequency per (key, term).
+    # A10: term frequency per (key, doc, term); document frequency per (key, term), which also picks up the
+    # corpus size and drops ineligible keys (small side, joined on the key only at the term level).
     tf = (d.select(key, "doc", "is_today", F.explode(tokens(F.col("clean"))).alias("term"))
-          .groupBy(key, "doc", "is_today", "term").agg(F.count(F.lit(1)).alias("tf"))
-          .join(elig, key))
-    dfreq = tf.groupBy(key, "term").agg(F.count(F.lit(1)).alias("df"))
-    w = tf.join(dfreq, [key, "term"]).select(
-        key, "doc", "is_today", "term",
-        (F.col("tf") * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + F.lit(1.0))).alias("w"))
-    norms = w.groupBy(key, "doc", "is_today").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    t_norm = norms.where("is_today").select(key, F.col("norm").alias("t_norm"))
+          .groupBy(key, "doc", "is_today", "term").agg(F.count(F.lit(1)).alias("tf")))
+    idf = (tf.groupBy(key, "term").agg(F.count(F.lit(1)).alias("df")).join(elig, key)
+           .select(key, "term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + F.lit(1.0)).alias("idf")))
+    w = tf.join(idf, [key, "term"]).select(key, "doc", "is_today", "term", (F.col("tf") * F.col("idf")).alias("w"))
     wt = w.where("is_today").select(key, "term", F.col("w").alias("wt"))
-    # today's vector against every past vector of the same key.
-    dots = (w.where(~F.col("is_today")).join(wt, [key, "term"])
-            .groupBy(key, "doc").agg(F.sum(F.col("w") * F.col("wt")).alias("dot")))
-    cos = (dots.join(norms.where(~F.col("is_today")).select(key, "doc", "norm"), [key, "doc"]).join(t_norm, key)
-           .select(key, F.when((F.col("norm") > 0) & (F.col("t_norm") > 0),
-                               F.col("dot") / (F.col("norm") * F.col("t_norm"))).alias("cos")))
+    t_norm = wt.groupBy(key).agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("t_norm"))
+    # Every past vector against today's vector of the same key (1 x N). The left join on (key, term) keeps
+    # all past terms, so one aggregation per past doc yields both its norm and its dot product.
+    per_doc = (w.where(~F.col("is_today")).join(wt, [key, "term"], "left")
+               .groupBy(key, "doc")
+               .agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+                    F.sum(F.col("w") * F.coalesce(F.col("wt"), F.lit(0.0))).alias("dot")))
+    cos = per_doc.join(t_norm, key).select(
+        key, F.when((F.col("norm") > 0) & (F.col("t_norm") > 0),
+                    F.col("dot") / (F.col("norm") * F.col("t_norm"))).alias("cos"))
     # Best match per key; a past that shares no term scores 0.
     best = cos.groupBy(key).agg(F.max("cos").alias("max_sim"))
     out = elig.select(key).join(best, key, "left").join(exact, key, "left")
