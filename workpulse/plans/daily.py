@@ -38,7 +38,7 @@ SPRINT_COLUMNS = ["sprint_name", "iteration_path", "start_date", "finish_date",
                   "dates_configured"]
 
 
-def _identity(df: DataFrame) -> DataFrame:
+def _identity(df: DataFrame, label: str | None = None) -> DataFrame:
     return df
 
 
@@ -52,10 +52,11 @@ def build_tasks(inp: TrackerInputs, as_of: str, p: Params, stage=_identity
     sprint = current_sprint(inp.iterations, as_of)
     parents = sprint_parents(inp.stories, sprint, p)
     children = child_ids(parents, inp.links)
-    items = stage(in_scope_items(inp.work_items, children, as_of, p))
+    items = stage(in_scope_items(inp.work_items, children, as_of, p), "in-scope items")
     # F8 before S5: only comments of in-scope tasks are scanned further.
     ids = items.select(F.col("id").alias("work_item_id")).distinct()
-    recent = stage(recent_comments(inp.comments.join(ids, "work_item_id", "left_semi"), as_of, p))
+    recent = stage(recent_comments(inp.comments.join(ids, "work_item_id", "left_semi"), as_of, p),
+                   "lookback comments")
     tasks = attach_comments(items, comment_rollup(recent))
     tasks = join_small(tasks, sprint.select("org", "project", *SPRINT_COLUMNS), ["org", "project"], "inner",
                        p.broadcast_row_limit)
@@ -66,7 +67,7 @@ def analyse(tasks: DataFrame, recent: DataFrame, as_of: str, p: Params, history:
             grader_responses: DataFrame | None = None, nudge_responses: DataFrame | None = None,
             stage=_identity) -> DataFrame:
     """Branch, analyse the analysed branch only, score, flag and nudge; skipped rows take fixed defaults (K7)."""
-    t = stage(assign_branch(tasks, history, p, as_of))
+    t = stage(assign_branch(tasks, history, p, as_of), "branched tasks")
     analysed = F.col("branch") == F.lit(BRANCH_ANALYSED)
     # Similarity only for analysed tasks (explicit filter before the costly stage).
     docs = similarity_docs(recent, t.where(analysed).select("id"))
@@ -136,7 +137,8 @@ def run_daily(inp: TrackerInputs, as_of: str, p: Params = Params(), grader_respo
         raise RuntimeError("no current iteration found")
     stage = cut_lineage if materialize else _identity
     tasks, recent, sprint, counts = build_tasks(inp, as_of, p, stage)
-    enriched = stage(analyse(tasks, recent, as_of, p, inp.history, grader_responses, nudge_responses, stage))
+    enriched = stage(analyse(tasks, recent, as_of, p, inp.history, grader_responses, nudge_responses, stage),
+                     "enriched tasks")
     disp = dispositions(enriched, p, recipients)
     summary = run_summary(enriched)
     return DailyRun(

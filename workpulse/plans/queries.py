@@ -34,7 +34,7 @@ _cache: dict = {}
 
 def _run(spark: SparkSession, sf: str, as_of: str = AS_OF):
     """One daily run per (session, data folder, as_of) shared by the pipeline-output queries."""
-    key = (id(spark), sf, as_of)
+    key = (spark.sparkContext.applicationId, id(spark), sf, as_of)
     if key not in _cache:
         ensure_utc(spark)
         inp = SV.tracker_inputs(spark, sf, AS_OF)

@@ -69,18 +69,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, label: str | None = None) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
 
     The rows are computed once (persisted for the checkpoint write), later
     consumers read the checkpoint files and the plan above becomes a leaf.
+    ``label`` becomes the Spark job description (event log, history server).
     """
     checkpoint_dir(df.sparkSession)
+    sc = df.sparkSession.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    if label:
+        sc.setLocalProperty("spark.job.description", f"workpulse: {label}")
     df.persist()
     try:
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+        sc.setLocalProperty("spark.job.description", previous)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     Thin scans of text tables are spread over the session's cores (see ``spread``).
     """
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
     if key not in _READS:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
         _READS[key] = spread(df) if name in _ROW_HEAVY else df
