@@ -154,3 +154,12 @@ def test_incremental_history_matches_full_scan(spark, tmp_path):
         upsert(spark, inc, b.snapshot)
     import os
     assert sorted(os.listdir(state)) == ["before=2024-01-28", "before=2024-01-29", "before=2024-01-30"]
+
+
+def test_daily_outputs_have_no_python_or_cartesian(spark):
+    run = run_daily(tiny_inputs(spark), D1, Params())
+    for name in ("snapshot", "summary", "cards", "dispositions", "reminders", "report", "stage_counts",
+                 "grading_requests", "nudge_requests"):
+        plan = getattr(run, name)._jdf.queryExecution().executedPlan().toString()
+        for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)
