@@ -180,8 +180,9 @@ def grade(tasks: DataFrame, as_of: str, responses: DataFrame | None = None) -> D
     if responses is None:
         return with_rubric(tasks, "today_comment_text", title)
     from workpulse.functions.dates import as_of_ts
+    # Several replies for one task and run: a deterministic pick (greatest text).
     r = (responses.where((F.col("kind") == "grade") & (F.col("as_of") == as_of_ts(as_of)))
-         .groupBy("work_item_id").agg(F.max_by("raw", F.col("as_of")).alias("reply")))
+         .groupBy("work_item_id").agg(F.max_by("raw", F.struct("as_of", "raw")).alias("reply")))
     j = with_parsed_grade(tasks.join(r.withColumnRenamed("work_item_id", "id"), "id", "left"), "reply", title,
                           "parsed")
     return j.withColumn("quality", F.when(blank, missing_record(title)).otherwise(F.col("parsed"))) \
