@@ -56,7 +56,9 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a private folder is created.
+    Only in local mode, when the setting is absent (tests), a private folder is
+    created; a cluster run without the setting fails instead of using a
+    machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) for cluster runs")
         configured = tempfile.mkdtemp(prefix="workpulse-ckpt-", dir=os.environ.get("WORKPULSE_TMP", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
