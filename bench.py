@@ -47,7 +47,11 @@ def main() -> None:
         Q._cache.clear()
         gc.collect()
         spark.catalog.clearCache()
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(timings.values()), 3), "unit": "sec",
                       "queries": timings, "sf": sf}))
 
