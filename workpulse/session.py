@@ -100,10 +100,12 @@ def spread(df: DataFrame) -> DataFrame:
     thin one (e.g. one Parquet row group) would otherwise run its CPU-heavy row
     work (regex, tokenising) in a single task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        thin = df.rdd.getNumPartitions() < cores
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(cores) if thin else df
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
