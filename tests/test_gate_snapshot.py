@@ -163,3 +163,27 @@ def test_daily_outputs_have_no_python_or_cartesian(spark):
         plan = getattr(run, name)._jdf.queryExecution().executedPlan().toString()
         for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+def test_image_only_today_and_same_day_comments(spark):
+    """The latest comment today is image-only -> has a comment, text empty, graded 'missing'.
+    T7: an earlier comment of the same day is neither today's comment nor a past one."""
+    base = tiny_inputs(spark)
+    cm = spark.createDataFrame([
+        (10, 0, 200, "<div>alpha beta gamma</div>", ("Ann Lee", "ann@x.io"), "2024-01-28T09:00:00Z"),
+        (10, 1, 201, "<img src='https://img/x.png'>", ("Ann Lee", "ann@x.io"), "2024-01-28T10:00:00Z"),
+        (10, 2, 202, "<div>alpha beta gamma</div>", ("Bo", "bo@x.io"), "2024-01-27T10:00:00Z"),
+        (11, 0, 203, "<p>shipped the fix</p>", ("Bo", "bo@x.io"), "2024-01-28T09:00:00Z"),
+        (11, 1, 204, "<p>Shipped the fix</p>", ("Cy", "cy@x.io"), "2024-01-29T09:00:00Z"),
+    ], SC.COMMENTS)
+    inp = TrackerInputs(iterations=base.iterations, stories=base.stories, links=base.links,
+                        work_items=base.work_items, comments=cm)
+    run = run_daily(inp, D1, Params())
+    t = {r.id: r for r in run.tasks.collect()}
+    s = {r.work_item_id: r for r in run.snapshot.collect()}
+    assert t[10].has_comment_today and t[10].quality_label == "missing" and t[10].quality_score == 0
+    assert t[10].copy_paste_detected is False            # blank today text: no comparison (T7, T12)
+    assert s[10].today_comment_text is None and s[10].today_comment_image_urls == "https://img/x.png"
+    assert s[10].eod_compliant and s[10].needs_attention and s[10].recent_comment_count == 1
+    # Future-dated comment (tomorrow) counts as a past comment and matches after strip + lower.
+    assert t[11].copy_paste_detected and s[11].recent_comment_authors == "Cy"
