@@ -187,3 +187,24 @@ def test_image_only_today_and_same_day_comments(spark):
     assert s[10].eod_compliant and s[10].needs_attention and s[10].recent_comment_count == 1
     # Future-dated comment (tomorrow) counts as a past comment and matches after strip + lower.
     assert t[11].copy_paste_detected and s[11].recent_comment_authors == "Cy"
+
+
+def test_reminder_disposition_order(spark):
+    from workpulse.operators.routing import dispositions
+    rows = [  # id, state_norm, email, has_comment, copied, quality
+        (1, "closed", "", False, True, 0),            # fails state first
+        (2, "active", "", True, False, 9),            # gate state with a good comment -> good quality wins
+        (3, "active", "  ", False, False, 0),         # no email (blank after strip)
+        (4, "resolved", " Boss@X.io ", True, False, 2),  # already a recipient (case/space-insensitive)
+        (5, "active", "dev@x.io", True, True, 9),     # copied -> not good -> sent
+        (6, "resolved", "dev@x.io", True, False, 9),  # non-gate state -> sent, no reason
+    ]
+    df = spark.createDataFrame([("o", "p", True) + r for r in rows],
+                               "org string, project string, needs_attention boolean, id long, state_norm string, "
+                               "assignee_email string, has_comment_today boolean, copy_paste_detected boolean, "
+                               "quality_score int")
+    got = {r.id: (r.disposition, r.send_reason)
+           for r in dispositions(df, Params(recipients=("boss@x.io",))).collect()}
+    assert got == {1: ("skipped_state", None), 2: ("skipped_good_quality", None),
+                   3: ("skipped_no_email", "no comment today"), 4: ("already_recipient", None),
+                   5: ("sent", "copy-pasted comment (score 9/10)"), 6: ("sent", None)}
