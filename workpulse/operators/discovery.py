@@ -36,12 +36,12 @@ def current_sprint(iterations: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def sprint_parents(stories: DataFrame, sprint: DataFrame, p: Params) -> DataFrame:
+def sprint_parents(stories: DataFrame, sprint: DataFrame, p: Params, sprint_small: bool | None = None) -> DataFrame:
     """Parents whose iteration path equals the sprint path, of a parent type, not closed."""
     s = stories.where(F.col("work_item_type").isin(list(p.parent_types))
                       & ~F.col("state").isin(list(CLOSED_PARENT_STATES)))
     keys = sprint.select(*PROJECT_KEY, "iteration_path")
-    return join_small(s, keys, PROJECT_KEY + ["iteration_path"], "left_semi", p.broadcast_row_limit)
+    return join_small(s, keys, PROJECT_KEY + ["iteration_path"], "left_semi", p.broadcast_row_limit, sprint_small)
 
 
 def child_ids(parents: DataFrame, links: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from workpulse.operators.similarity import copy_paste
 from workpulse.operators.snapshot import to_snapshot_rows
 from workpulse.operators.summary import run_summary
 from workpulse.params import DEFAULT_SENTIMENT, SKIPPED_LABEL, Params
-from workpulse.session import cut_lineage, join_small
+from workpulse.session import cut_lineage, fits_broadcast, join_small
 from workpulse.sources.standins import TrackerInputs
 
 SPRINT_COLUMNS = ["sprint_name", "iteration_path", "start_date", "finish_date", "days_remaining", "total_days",
@@ -50,7 +50,9 @@ def build_tasks(inp: TrackerInputs, as_of: str, p: Params, stage=_identity
     items and the cleaned lookback comments.
     """
     sprint = current_sprint(inp.iterations, as_of)
-    parents = sprint_parents(inp.stories, sprint, p)
+    # One bounded size probe of the sprint table serves both joins that use it.
+    sprint_small = fits_broadcast(sprint, p.broadcast_row_limit)
+    parents = sprint_parents(inp.stories, sprint, p, sprint_small)
     children = child_ids(parents, inp.links)
     items = stage(in_scope_items(inp.work_items, children, as_of, p), "in-scope items")
     # F8 before S5: only comments of in-scope tasks are scanned further.
@@ -59,7 +61,7 @@ def build_tasks(inp: TrackerInputs, as_of: str, p: Params, stage=_identity
                    "lookback comments")
     tasks = attach_comments(items, comment_rollup(recent))
     tasks = join_small(tasks, sprint.select("org", "project", *SPRINT_COLUMNS), ["org", "project"], "inner",
-                       p.broadcast_row_limit)
+                       p.broadcast_row_limit, sprint_small)
     return tasks, recent, sprint, stage_counts(parents, children, items)
 
 

@@ -113,12 +113,14 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 100_000) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 100_000,
+               known_small: bool | None = None) -> DataFrame:
     """Join with ``small`` broadcast only when its row count is proven below ``max_rows``.
 
     Above the bound the join is left to the planner (sort-merge, or AQE's
-    runtime, size-checked broadcast conversion).
+    runtime, size-checked broadcast conversion). ``known_small`` passes the
+    result of an earlier probe of the same rows.
     """
-    if fits_broadcast(small, max_rows):
+    if fits_broadcast(small, max_rows) if known_small is None else known_small:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
