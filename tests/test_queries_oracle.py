@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from tests.conftest import SF_SMALL
+from workpulse.plans import queries as Q
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -38,7 +39,7 @@ def _entry():
     return E
 
 
-@pytest.mark.parametrize("name", sorted(_entry().queries()))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     E = _entry()
     df = E.queries()[name](spark, SF_SMALL)
