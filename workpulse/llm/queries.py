@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from workpulse.llm import sharding, token_counts
+from workpulse.llm import line_dedup, sharding, token_counts
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_jump_sharding": sharding.op2_jump_sharding,
     "op3_token_counts": token_counts.op3_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
+}
