@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from workpulse.llm import bpe, line_dedup, sharding, token_counts
+from workpulse.llm import bpe, lang_id, line_dedup, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_jump_sharding": sharding.op2_jump_sharding,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_lang_id": lang_id.op4_lang_id,
     "op9_bpe": bpe.op9_bpe,
 }
 
