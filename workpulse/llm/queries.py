@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workpulse.llm import bpe, lang_id, line_dedup, sharding, token_counts
+from workpulse.llm import bpe, lang_id, line_dedup, quality_rules, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_lang_id": lang_id.op4_lang_id,
     "op9_bpe": bpe.op9_bpe,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
