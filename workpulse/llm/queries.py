@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from workpulse.llm import bpe, lang_id, line_dedup, quality_rules, sharding, token_counts
+from workpulse.llm import bpe, decontaminate, lang_id, line_dedup, quality_rules, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_jump_sharding": sharding.op2_jump_sharding,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_lang_id": lang_id.op4_lang_id,
+    "op8_winnowing": decontaminate.op8_winnowing,
     "op9_bpe": bpe.op9_bpe,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op8_winnowing": decontaminate.OP8_SQL,
 }
