@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from workpulse.llm import bpe, decontaminate, lang_id, line_dedup, quality_rules, sharding, token_counts
+from workpulse.llm import bpe, decontaminate, lang_id, line_dedup, ngram_join, quality_rules, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_jump_sharding": sharding.op2_jump_sharding,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_lang_id": lang_id.op4_lang_id,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op8_winnowing": decontaminate.op8_winnowing,
     "op9_bpe": bpe.op9_bpe,
     "op10_quality_rules": quality_rules.op10_quality_rules,
@@ -16,5 +17,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op6_ngram_join": ngram_join.OP6_SQL,
     "op8_winnowing": decontaminate.OP8_SQL,
 }
