@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workpulse.llm import bpe, decontaminate, lang_id, line_dedup, ngram_join, pii, quality_rules, sharding, token_counts
+from workpulse.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, ngram_join, pii, quality_rules, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_pii": pii.op7_pii,
     "op8_winnowing": decontaminate.op8_winnowing,
+    "op5_license_scan": license_scan.op5_license_scan,
     "op9_bpe": bpe.op9_bpe,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
