@@ -231,39 +231,45 @@ def blocks(texts: list[str], chars: int):
         yield block
 
 
-def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
+def schema_of(rows: DataFrame, cols: list[str], more: str) -> str:
+    return ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in cols), more])
+
+
+def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), path: str | None = None,
            pattern: str | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """key and ids (array of int) of every row; one pass without a shuffle."""
-    rows = df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    """key, the columns of ``keep`` and ids (array of int) of every row; one pass without a shuffle."""
+    cols = [key, *keep]
+    rows = df.select(*cols, F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
     def run(batches):
         e = encoder(path, pattern)
         for b in batches:
             done = 0
-            for block in blocks(b.column(1).to_pylist(), block_chars):
+            for block in blocks(b.column(len(cols)).to_pylist(), block_chars):
                 ids, n = e.encode(block)
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(done, len(block)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
-                    names=[key, "ids"])
+                    [*(b.column(i).slice(done, len(block)) for i in range(len(cols))),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=[*cols, "ids"])
                 done += len(block)
 
-    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(run, schema_of(rows, cols, "ids array<int>"))
 
 
-def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
-    """key, ids and the decoded bytes (null ids: none) of every row."""
-    rows = df.select(F.col(key), F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
+def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", keep: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
+    """key, the columns of ``keep``, ids and the decoded bytes (null ids: none) of every row."""
+    cols = [key, *keep]
+    rows = df.select(*cols, F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
 
     def run(batches):
         token = token_bytes(path).__getitem__
         for b in batches:
-            ids = b.column(1)
+            ids = b.column(len(cols))
             flat, at = ids.values.to_numpy(), ids.offsets.to_numpy()
             out = [b"".join(map(token, flat[i:j].tolist())) for i, j in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array(out, pa.binary())], names=[key, "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*cols, "ids", "decoded"])
 
-    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>, decoded binary")
+    return rows.mapInArrow(run, schema_of(rows, cols, "ids array<int>, decoded binary"))
 
 
 def op9_bpe(spark, sf_dir):

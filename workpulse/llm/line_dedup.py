@@ -313,10 +313,9 @@ class LineStore:
         return (keys.groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt"))
                 .applyInPandas(look, schema))
 
-    def resolve(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """Of inserted documents: key, text, n_lines, n_dropped and kept (the text without its dropped lines)."""
-        docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-        keep = docs.select("*", row_hash())
+    def resolve(self, docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+        """Of inserted documents: key, ``keep``, text, n_lines, n_dropped and kept (the text without its dropped lines)."""
+        docs = docs.select(F.col(key).alias("doc_id"), *keep, F.col(text).alias("text")).select("*", row_hash())
         if self.state["refs"] is None:
             dropped = self.spark.createDataFrame([], "doc_id long, row long, gone array<int>")
         else:
@@ -326,18 +325,18 @@ class LineStore:
                        .groupBy("doc_id", "row").agg(F.collect_set("pos").alias("gone")))
         lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
         stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("gone"))
-        return (keep.join(dropped, ["doc_id", "row"], "left").withColumn("_lines", lines).select(
-            F.col("doc_id").alias(key), "text", F.size("_lines").cast("long").alias("n_lines"),
+        return (docs.join(dropped, ["doc_id", "row"], "left").withColumn("_lines", lines).select(
+            F.col("doc_id").alias(key), *keep, "text", F.size("_lines").cast("long").alias("n_lines"),
             F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
             F.when(F.col("gone").isNull(), F.coalesce("text", F.lit("")))
             .otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")).alias("kept")))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Insert ``docs`` into a new store and resolve them."""
     store = LineStore(docs.sparkSession, shared_path(docs.sparkSession, "lines"))
     store.insert(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")))
-    return store.resolve(docs, key, text)
+    return store.resolve(docs, key, text, keep)
 
 
 def op1_line_dedup(spark, sf_dir):
