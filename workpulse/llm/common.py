@@ -31,6 +31,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_ids(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a side of a few numbers per row if it is counted and has at most ``rows`` rows (some 50 MB).
+
+    A larger side is left to the planner, which shuffles both.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, every other character as it is (``lower`` alone would change É or İ)."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

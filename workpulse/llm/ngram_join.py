@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import connected_components, stage, table
+from workpulse.llm.common import connected_components, small_ids, stage, table
 
 #: Part of the hash range on which step 2 counts.
 PART = 0.25
@@ -262,7 +262,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     prefix = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
     left = stage(classes.where("cls IS NOT NULL").join(alone, "s1", "left").where(F.coalesce("own", F.lit(0)) < prefix)
                  .select("cls", "s1", "copies"), "suspects")
-    kept = stage(sets(docs.join(left, docs.doc_id == left.cls).select("doc_id", "text", "s1", "copies"), width), "sets")
+    kept = stage(sets(docs.join(small_ids(left), docs.doc_id == left.cls).select("doc_id", "text", "s1", "copies"), width), "sets")
 
     # 3. First shingles from rare to frequent, and the groups of sets that meet through them.
     postings = kept.select("cls", "n", F.explode("hashes").alias("h"))
