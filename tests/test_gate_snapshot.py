@@ -10,9 +10,8 @@ from workpulse.plans.daily import run_daily
 from workpulse.sources.snapshot_store import read_history, read_snapshot, upsert
 from workpulse.sources.standins import TrackerInputs
 
-GOOD_COMMENT = ("<div>Completed the API integration for the payment gateway module, handled success and failure "
-                "response codes, added retry logic. Remaining work is writing unit tests (estimated 2 hours). "
-                "No blockers currently. Will push the PR tomorrow morning.</div>")
+GOOD_COMMENT = ("<div>Finished the invoice export and merged it with 12 tests for rounding and empty months. Remaining work is "
+                "the archive step, about 3 hours, and the only risk is the old date format of one customer.</div>")
 D1, D2, D3 = "2024-01-28 18:00:00", "2024-01-29 18:00:00", "2024-01-30 18:00:00"
 
 
@@ -20,8 +19,8 @@ def tiny_inputs(spark, history=None):
     it = spark.createDataFrame([("o", "p", 0, "S1", "P\\S1", "2024-01-20T00:00:00Z", "2024-02-05T00:00:00Z")],
                                SC.ITERATIONS)
     st = spark.createDataFrame([("o", "p", 1, "User Story", "Active", "P\\S1")], SC.STORIES)
-    ln = spark.createDataFrame([(1, 10, HIERARCHY_FORWARD), (1, 11, HIERARCHY_FORWARD), (1, 12, HIERARCHY_FORWARD),
-                                (1, None, None)], SC.LINKS)
+    ln = spark.createDataFrame([("o", 1, 10, HIERARCHY_FORWARD), ("o", 1, 11, HIERARCHY_FORWARD), ("o", 1, 12, HIERARCHY_FORWARD),
+                                ("o", 1, None, None)], SC.LINKS)
     who = '{"displayName": "Ann Lee", "uniqueName": "ann@x.io"}'
     wi = spark.createDataFrame([
         ("o", "p", 10, "Task A", "Task", "Active", "P\\S1", who, 5.0, 8.0, "2024-01-27T10:00:00Z",
@@ -31,9 +30,9 @@ def tiny_inputs(spark, history=None):
         ("o", "p", 12, "Task C", "Task", "Closed", "P\\S1", None, 1.0, 1.0, "", ""),
     ], SC.WORK_ITEMS)
     cm = spark.createDataFrame([
-        (10, 0, 100, GOOD_COMMENT, ("Ann Lee", "ann@x.io"), "2024-01-28T09:00:00Z"),
-        (11, 0, 101, "<p>done</p>", ("Bo", "bo@x.io"), "2024-01-28T09:00:00Z"),
-        (11, 1, 102, "<p>done</p>", ("Bo", "bo@x.io"), "2024-01-29T09:00:00Z"),
+        ("o", 10, 0, 100, GOOD_COMMENT, ("Ann Lee", "ann@x.io"), "2024-01-28T09:00:00Z", None),
+        ("o", 11, 0, 101, "<p>done</p>", ("Bo", "bo@x.io"), "2024-01-28T09:00:00Z", None),
+        ("o", 11, 1, 102, "<p>done</p>", ("Bo", "bo@x.io"), "2024-01-29T09:00:00Z", None),
     ], SC.COMMENTS)
     return TrackerInputs(iterations=it, stories=st, links=ln, work_items=wi, comments=cm, history=history)
 
@@ -125,8 +124,8 @@ def test_replies_drive_grades_and_nudges(spark):
     ts = datetime(2024, 1, 28, 18, 0, 0)
     reply = ('```json\n{"quality_score": 9, "quality_label": "excellent", "blocker_detected": true, '
              '"progress_detectable": true, "sentiment": "positive", "suggested_followup": "Q?"}\n```')
-    grades = spark.createDataFrame([(10, ts, "grade", reply), (11, ts, "grade", "junk")], SC.RESPONSES)
-    nudges = spark.createDataFrame([(10, ts, "nudge", '{"message": "Please add detail.", "tone": "direct"}')],
+    grades = spark.createDataFrame([("o", 10, ts, "grade", reply), ("o", 11, ts, "grade", "junk"), ("other", 10, ts, "grade", "junk")], SC.RESPONSES)
+    nudges = spark.createDataFrame([("o", 10, ts, "nudge", '{"message": "Please add detail.", "tone": "direct"}')],
                                    SC.RESPONSES)
     run = run_daily(tiny_inputs(spark), D1, Params(), grader_responses=grades, nudge_responses=nudges)
     t = {r.id: r for r in run.tasks.collect()}
@@ -170,11 +169,11 @@ def test_image_only_today_and_same_day_comments(spark):
     T7: an earlier comment of the same day is neither today's comment nor a past one."""
     base = tiny_inputs(spark)
     cm = spark.createDataFrame([
-        (10, 0, 200, "<div>alpha beta gamma</div>", ("Ann Lee", "ann@x.io"), "2024-01-28T09:00:00Z"),
-        (10, 1, 201, "<img src='https://img/x.png'>", ("Ann Lee", "ann@x.io"), "2024-01-28T10:00:00Z"),
-        (10, 2, 202, "<div>alpha beta gamma</div>", ("Bo", "bo@x.io"), "2024-01-27T10:00:00Z"),
-        (11, 0, 203, "<p>shipped the fix</p>", ("Bo", "bo@x.io"), "2024-01-28T09:00:00Z"),
-        (11, 1, 204, "<p>Shipped the fix</p>", ("Cy", "cy@x.io"), "2024-01-29T09:00:00Z"),
+        ("o", 10, 0, 200, "<div>alpha beta gamma</div>", ("Ann Lee", "ann@x.io"), "2024-01-28T09:00:00Z", None),
+        ("o", 10, 1, 201, "<img src='https://img/x.png'>", ("Ann Lee", "ann@x.io"), "2024-01-28T10:00:00Z", None),
+        ("o", 10, 2, 202, "<div>alpha beta gamma</div>", ("Bo", "bo@x.io"), "2024-01-27T10:00:00Z", None),
+        ("o", 11, 0, 203, "<p>shipped the fix</p>", ("Bo", "bo@x.io"), "2024-01-28T09:00:00Z", None),
+        ("o", 11, 1, 204, "<p>Shipped the fix</p>", ("Cy", "cy@x.io"), "2024-01-29T09:00:00Z", None),
     ], SC.COMMENTS)
     inp = TrackerInputs(iterations=base.iterations, stories=base.stories, links=base.links,
                         work_items=base.work_items, comments=cm)

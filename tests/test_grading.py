@@ -14,7 +14,9 @@ GOOD = ('{"quality_score": 8, "quality_label": "good", "blocker_detected": false
 @pytest.mark.parametrize("raw,ok", [
     (GOOD, True), ("```json\n" + GOOD + "\n```", True), ("```\n" + GOOD + "\n```", True),
     ("  \n" + GOOD + "  ", True), ("not json at all", False), (None, False), ('{"quality_score": 5}', False),
-    (GOOD + " trailing", False), (GOOD.replace("8", '"8"'), False), ("```json\n```", False),
+    (GOOD.replace('"positive"', "null"), True), (GOOD.replace("8", "8.0"), True), (GOOD.replace("8", "7.5"), False),
+    (GOOD.replace("false", '"no"'), False), (GOOD.replace("8", "null"), False), (GOOD.replace('"sentiment": "positive", ', ""), False),
+    (GOOD.replace("false", "null"), True), (GOOD + " trailing", False), (GOOD.replace("8", '"8"'), False), ("```json\n```", False),
 ])
 def test_reply_parse(spark, raw, ok):
     df = spark.createDataFrame([(raw,)], "raw string")

@@ -22,13 +22,13 @@ def test_load_and_run(spark, tmp_path):
                                "startDate": None, "finishDate": "2024-02-02T00:00:00Z"}])
     _write(b / "stories", [{"org": "o", "project": "p", "id": 1, "work_item_type": "User Story", "state": "New",
                             "iteration_path": "P\\S9"}])
-    _write(b / "links", [{"source_id": 1, "target_id": 7, "rel": HIERARCHY_FORWARD}, {"source_id": 1, "rel": None}])
+    _write(b / "links", [{"org": "o", "source_id": 1, "target_id": 7, "rel": HIERARCHY_FORWARD}, {"org": "o", "source_id": 1, "rel": None}])
     _write(b / "work_items", [{"org": "o", "project": "p", "id": 7, "fields": {
         "System.Title": "Write docs", "System.WorkItemType": "Task", "System.State": "Active",
         "System.AssignedTo": {"displayName": "Ann Lee", "uniqueName": "ann@x.io"},
         "Microsoft.VSTS.Scheduling.RemainingWork": 4, "Microsoft.VSTS.Common.StateChangeDate": "2024-01-25T10:00:00Z",
         "System.ChangedDate": "2024-01-30T10:00:00.123Z"}}], raw_lines=["{broken json"])
-    _write(b / "comments", [{"work_item_id": 7, "comments": [
+    _write(b / "comments", [{"org": "o", "work_item_id": 7, "comments": [
         {"id": 1, "text": "<div>first today</div>", "createdBy": {"displayName": "Ann Lee"},
          "createdDate": "2024-01-30T09:00:00Z"},
         {"id": 2, "text": "<div>second today</div>", "createdBy": {"displayName": "Ann Lee"},

@@ -9,6 +9,23 @@ from workpulse.functions.dates import as_of_ts, is_on_as_of_date, parse_iso
 from workpulse.functions.text import image_urls, pipe_join, strip_html
 from workpulse.params import Params
 
+#: Two orgs may use the same work item number.
+ITEM = ("org", "work_item_id")
+
+
+def current_comments(landed: DataFrame) -> DataFrame:
+    """The newest landed version of each comment (org, work item, id); redeliveries collapse, edits win.
+
+    Versions landed at the same instant: the greatest position, then text. A
+    comment without id is its own identity (by its content). One max per
+    comment, combined on the map side.
+    """
+    key = F.coalesce("id", F.xxhash64("text", "createdDate", "createdBy"))
+    rest = [c for c in landed.columns if c not in ("org", "work_item_id")]
+    order = F.struct("landed_at", "pos", F.coalesce("text", F.lit("")))
+    return (landed.withColumn("_key", key).groupBy("org", "work_item_id", "_key")
+            .agg(F.max_by(F.struct(*rest), order).alias("v")).select("org", "work_item_id", "v.*"))
+
 
 def recent_comments(comments: DataFrame, as_of: str, p: Params) -> DataFrame:
     """Comments with a created date no older than the lookback instant, cleaned.
@@ -22,7 +39,7 @@ def recent_comments(comments: DataFrame, as_of: str, p: Params) -> DataFrame:
          .withColumn("created_ts", created)
          .where(F.col("created_ts") >= cutoff))
     return c.select(
-        "work_item_id", "pos", F.col("id").alias("comment_id"),
+        "org", "work_item_id", "pos", F.col("id").alias("comment_id"),
         strip_html(F.col("text")).alias("text"),
         image_urls(F.col("text")).alias("image_urls"),
         F.coalesce(F.col("createdBy.displayName"), F.lit("")).alias("author_name"),
@@ -46,18 +63,18 @@ def comment_rollup(recent: DataFrame) -> DataFrame:
     """
     latest = F.struct("text", "image_urls", "author_name", "author_email", "created_ts")
     main = (recent.withColumn("k", _newest_first_key()).withColumn("latest", latest)
-            .groupBy("work_item_id")
+            .groupBy(*ITEM)
             .agg(F.bool_or("is_today").alias("has_comment_today"),
                  F.expr("max_by(latest, k) FILTER (WHERE is_today)").alias("today"),
                  F.count_if(~F.col("is_today")).cast("int").alias("recent_comment_count")))
     authors = (recent.where(~F.col("is_today"))
-               .groupBy("work_item_id", "author_name").agg(F.max(_newest_first_key()).alias("first_seen"))
-               .groupBy("work_item_id")
+               .groupBy(*ITEM, "author_name").agg(F.max(_newest_first_key()).alias("first_seen"))
+               .groupBy(*ITEM)
                .agg(F.sort_array(F.collect_list(F.struct("first_seen", "author_name")), asc=False).alias("a")))
-    authors = authors.select("work_item_id",
+    authors = authors.select(*ITEM,
                              pipe_join(F.transform("a", lambda x: x["author_name"])).alias("recent_comment_authors"))
-    return main.join(authors, "work_item_id", "left").select(
-        "work_item_id", "has_comment_today",
+    return main.join(authors, list(ITEM), "left").select(
+        *ITEM, "has_comment_today",
         F.col("today.text").alias("today_comment_text"),
         F.col("today.image_urls").alias("today_image_urls"),
         F.col("today.author_name").alias("today_comment_author_name"),
@@ -69,7 +86,7 @@ def comment_rollup(recent: DataFrame) -> DataFrame:
 
 def attach_comments(items: DataFrame, rollup: DataFrame) -> DataFrame:
     """Tasks left-joined to their comment rollup; no comments -> empty defaults."""
-    j = items.join(rollup.withColumnRenamed("work_item_id", "id"), "id", "left")
+    j = items.join(rollup.withColumnRenamed("work_item_id", "id"), ["org", "id"], "left")
     return j.withColumns({
         "has_comment_today": F.coalesce("has_comment_today", F.lit(False)),
         "today_image_urls": F.coalesce("today_image_urls", F.array().cast("array<string>")),
@@ -78,15 +95,18 @@ def attach_comments(items: DataFrame, rollup: DataFrame) -> DataFrame:
 
 
 def similarity_docs(recent: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
-    """Rows for the copy-paste check: each task's latest today comment and its non-today comments."""
-    w = recent.withColumn("k", _newest_first_key())
-    today = (w.where("is_today").groupBy("work_item_id")
-             .agg(F.max_by(F.struct("pos", "text"), F.col("k")).alias("t"))
-             .select(F.col("work_item_id").alias("key"), F.col("t.pos").alias("doc"), F.lit(True).alias("is_today"),
-                     F.col("t.text").alias("text")))
-    past = w.where(~F.col("is_today")).select(F.col("work_item_id").alias("key"), F.col("pos").alias("doc"),
-                                              F.lit(False).alias("is_today"), "text")
-    docs = today.unionByName(past)
+    """Rows for the copy-paste check: each task's latest today comment and its non-today comments.
+
+    key = struct(org, work_item_id), doc = comment id: unique within a task
+    whatever payload a comment came in. ``tasks`` (org, id) restricts the rows.
+    """
+    w = recent.withColumn("k", _newest_first_key()).withColumn(
+        "doc", F.coalesce("comment_id", F.xxhash64("text", "created_ts", "pos")))
     if tasks is not None:
-        docs = docs.join(tasks.select(F.col("id").alias("key")).distinct(), "key", "left_semi")
-    return docs
+        w = w.join(tasks.select("org", F.col("id").alias("work_item_id")).distinct(), list(ITEM), "left_semi")
+    key = F.struct(*ITEM).alias("key")
+    today = (w.where("is_today").groupBy(*ITEM)
+             .agg(F.max_by(F.struct("doc", "text"), F.col("k")).alias("t"))
+             .select(key, F.col("t.doc").alias("doc"), F.lit(True).alias("is_today"), F.col("t.text").alias("text")))
+    past = w.where(~F.col("is_today")).select(key, "doc", F.lit(False).alias("is_today"), "text")
+    return today.unionByName(past)

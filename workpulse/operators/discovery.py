@@ -48,7 +48,7 @@ def child_ids(parents: DataFrame, links: DataFrame) -> DataFrame:
     """Distinct hierarchy-forward children of the parents."""
     fwd = links.where((F.col("rel") == F.lit(HIERARCHY_FORWARD)) & F.col("target_id").isNotNull())
     return (parents.select(*PROJECT_KEY, F.col("id").alias("source_id"))
-            .join(fwd.select("source_id", "target_id"), "source_id")
+            .join(fwd.select("org", "source_id", "target_id"), ["org", "source_id"])
             .select(*PROJECT_KEY, F.col("target_id").alias("id"))
             .distinct())
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from workpulse.functions.text import is_blank, py_strip
 from workpulse.params import DEFAULT_SENTIMENT
@@ -63,41 +64,70 @@ def unfence(raw) -> Column:
 
 def _unfence_stripped(s) -> Column:
     inner = F.coalesce(F.try_element_at(F.split(s, "```"), F.lit(2)), F.lit(""))
-    inner = F.when(inner.startswith("json"), F.substring(inner, 5, 1 << 30)).otherwise(inner)
+    inner = F.when(inner.startswith("json"), F.substr(inner, F.lit(5))).otherwise(inner)
     return F.when(s.startswith("```"), inner).otherwise(s)
 
 
-def _reply_ok(body_stripped, parsed, schema) -> Column:
+#: Grade fields that a reply may give as null: no blocker, no progress, no sentiment, no follow-up.
+NULLABLE = ("blocker_detected", "progress_detectable", "sentiment", "suggested_followup")
+
+
+def _loose(schema) -> tuple[T.StructType, T.StructType]:
+    """The schema with numbers as doubles, and with every field as its JSON text."""
+    typed = [T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.IntegerType) else f.dataType) for f in schema.fields]
+    return T.StructType(typed), T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def _reply_ok(body_stripped, parsed, texts, schema) -> Column:
+    """One whole object with every key present. Null is accepted for the fields of ``NULLABLE``; a value of another
+    type is not (typed it is null, as text it is not); a number must be whole (8 and 8.0, but not 7.5)."""
     ok = body_stripped.startswith("{") & body_stripped.endswith("}") & parsed.isNotNull()
+    ok = ok & F.forall(F.array(*[F.lit(f.name) for f in schema.fields]),
+                       lambda k: F.array_contains(F.json_object_keys(body_stripped), k))
     for f in schema.fields:
-        ok = ok & parsed[f.name].isNotNull()
+        v = parsed[f.name]
+        whole = v == F.floor(v) if isinstance(f.dataType, T.IntegerType) else F.lit(True)
+        given = v.isNotNull() & whole
+        ok = ok & (given | texts[f.name].isNull() if f.name in NULLABLE else given)
     return F.coalesce(ok, F.lit(False))
 
 
+def _fields(parsed, schema) -> list[Column]:
+    """The record's values: whole numbers as integers, a null flag as false."""
+    out = []
+    for f in schema.fields:
+        v = parsed[f.name].cast(f.dataType)
+        out.append(F.coalesce(v, F.lit(False)) if isinstance(f.dataType, T.BooleanType) else v)
+    return out
+
+
 def parse_reply(raw, schema) -> tuple[Column, Column]:
-    """JSON object reply -> (struct, ok). ok requires one whole object with every field present and typed."""
+    """JSON object reply -> (struct, ok)."""
     body = unfence(raw)
-    parsed = F.from_json(body, schema)
-    return parsed, _reply_ok(py_strip(body), parsed, schema)
+    typed, text = _loose(schema)
+    parsed = F.from_json(body, typed)
+    return parsed, _reply_ok(py_strip(body), parsed, F.from_json(body, text), schema)
 
 
 def parse_grade(raw, title) -> Column:
     """K3 + X12: reply text -> grade record, any failure -> the fallback record."""
     parsed, ok = parse_reply(raw, GRADE_FIELDS)
-    return F.when(ok, _record(*[parsed[f.name] for f in GRADE_FIELDS.fields])).otherwise(failed_record(title))
+    return F.when(ok, _record(*_fields(parsed, GRADE_FIELDS))).otherwise(failed_record(title))
 
 
 def with_parsed_grade(df: DataFrame, raw: str, title, out: str = "quality", ok_col: str | None = None) -> DataFrame:
     """Row-staged ``parse_grade``: strip, unfence and ``from_json`` each run once per row."""
     t = df.withColumn("__s", py_strip(F.col(raw)))
     t = t.withColumn("__b", _unfence_stripped(F.col("__s")))
-    t = t.withColumns({"__bt": py_strip(F.col("__b")), "__p": F.from_json(F.col("__b"), GRADE_FIELDS)})
-    t = t.withColumn("__ok", _reply_ok(F.col("__bt"), F.col("__p"), GRADE_FIELDS))
-    rec = _record(*[F.col("__p")[f.name] for f in GRADE_FIELDS.fields])
+    typed, text = _loose(GRADE_FIELDS)
+    t = t.withColumns({"__bt": py_strip(F.col("__b")), "__p": F.from_json(F.col("__b"), typed),
+                       "__t": F.from_json(F.col("__b"), text)})
+    t = t.withColumn("__ok", _reply_ok(F.col("__bt"), F.col("__p"), F.col("__t"), GRADE_FIELDS))
+    rec = _record(*_fields(F.col("__p"), GRADE_FIELDS))
     t = t.withColumn(out, F.when(F.col("__ok"), rec).otherwise(failed_record(title)))
     if ok_col:
         t = t.withColumn(ok_col, F.col("__ok"))
-    return t.drop("__s", "__b", "__bt", "__p", "__ok")
+    return t.drop("__s", "__b", "__bt", "__p", "__t", "__ok")
 
 
 def _has_phrase(norm: Column, phrases) -> Column:
@@ -171,7 +201,7 @@ def grading_requests(tasks: DataFrame, as_of: str) -> DataFrame:
 def grade(tasks: DataFrame, as_of: str, responses: DataFrame | None = None) -> DataFrame:
     """Attach ``quality`` (the grade record) to analysed tasks.
 
-    With ``responses`` (``work_item_id, as_of, kind, raw``), replies for this
+    With ``responses`` (``org, work_item_id, as_of, kind, raw``), replies for this
     run are parsed; a request without a reply counts as a failed call. Without
     them the rubric grader is used.
     """
@@ -182,8 +212,8 @@ def grade(tasks: DataFrame, as_of: str, responses: DataFrame | None = None) -> D
     from workpulse.functions.dates import as_of_ts
     # Several replies for one task and run: a deterministic pick (greatest text).
     r = (responses.where((F.col("kind") == "grade") & (F.col("as_of") == as_of_ts(as_of)))
-         .groupBy("work_item_id").agg(F.max_by("raw", F.struct("as_of", "raw")).alias("reply")))
-    j = with_parsed_grade(tasks.join(r.withColumnRenamed("work_item_id", "id"), "id", "left"), "reply", title,
+         .groupBy("org", "work_item_id").agg(F.max_by("raw", F.struct("as_of", "raw")).alias("reply")))
+    j = with_parsed_grade(tasks.join(r.withColumnRenamed("work_item_id", "id"), ["org", "id"], "left"), "reply", title,
                           "parsed")
     return j.withColumn("quality", F.when(blank, missing_record(title)).otherwise(F.col("parsed"))) \
         .drop("reply", "parsed")

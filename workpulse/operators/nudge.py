@@ -82,8 +82,8 @@ def write_nudges(df: DataFrame, as_of: str, responses: DataFrame | None = None)
     else:
         # Several replies for one task and run: a deterministic pick (greatest text).
         r = (responses.where((F.col("kind") == "nudge") & (F.col("as_of") == as_of_ts(as_of)))
-             .groupBy("work_item_id").agg(F.max_by("raw", F.struct("as_of", "raw")).alias("nudge_reply")))
-        out = out.join(r.withColumnRenamed("work_item_id", "id"), "id", "left")
+             .groupBy("org", "work_item_id").agg(F.max_by("raw", F.struct("as_of", "raw")).alias("nudge_reply")))
+        out = out.join(r.withColumnRenamed("work_item_id", "id"), ["org", "id"], "left")
         parsed, ok = parse_nudge_reply(F.col("nudge_reply"))
         nudge = F.when(ok, F.struct(F.coalesce(parsed["message"], F.lit("")).alias("message"),
                                     F.coalesce(parsed["tone"], F.lit(DEFAULT_TONE)).alias("tone"))) \

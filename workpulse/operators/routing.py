@@ -108,11 +108,20 @@ def reminder_outbox(disp: DataFrame, as_of: str, p: Params) -> DataFrame:
     )
 
 
-def report_outbox(summary: DataFrame, sprint: DataFrame, as_of: str, p: Params) -> DataFrame:
-    """S9 + X11: one report row per project with tasks, addressed to the fixed recipients."""
+def report_outbox(summary: DataFrame, sprint: DataFrame, as_of: str, p: Params, recipients: DataFrame | None = None
+                  ) -> DataFrame:
+    """S9 + X11: one report row per project with tasks, addressed to the fixed recipients.
+
+    ``recipients`` (email), the same table that the dispositions use, comes
+    before the parameter list; the list is a mail header, so it is one array.
+    """
     today = display_date(as_of_ts(as_of))
     s = summary.join(sprint.select("org", "project", "sprint_name"), ["org", "project"])
     rcpt = F.array(*[F.lit(r) for r in p.recipients]) if p.recipients else F.array().cast("array<string>")
+    if recipients is not None:
+        listed = recipients.agg(F.array_sort(F.collect_set(py_strip(F.col("email")))).alias("listed"))
+        s = s.withColumn("_one", F.lit(1)).join(F.broadcast(listed.withColumn("_one", F.lit(1))), "_one")  # one row
+        rcpt = F.col("listed")
     return s.select(
         "org", "project", F.lit("report").alias("kind"), rcpt.alias("recipients"),
         F.format_string(REPORT_SUBJECT, F.col("sprint_name"), today).alias("subject"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.operators.comments import attach_comments, comment_rollup, recent_comments, similarity_docs
+from workpulse.operators.comments import attach_comments, comment_rollup, current_comments, recent_comments, similarity_docs
 from workpulse.operators.discovery import (
     child_ids,
     current_sprint,
@@ -56,9 +56,9 @@ def build_tasks(inp: TrackerInputs, as_of: str, p: Params, stage=_identity
     children = child_ids(parents, inp.links)
     items = stage(in_scope_items(inp.work_items, children, as_of, p), "in-scope items")
     # F8 before S5: only comments of in-scope tasks are scanned further.
-    ids = items.select(F.col("id").alias("work_item_id")).distinct()
-    recent = stage(recent_comments(inp.comments.join(ids, "work_item_id", "left_semi"), as_of, p),
-                   "lookback comments")
+    ids = items.select("org", F.col("id").alias("work_item_id")).distinct()
+    mine = current_comments(inp.comments.join(ids, ["org", "work_item_id"], "left_semi"))
+    recent = stage(recent_comments(mine, as_of, p), "lookback comments")
     tasks = attach_comments(items, comment_rollup(recent))
     tasks = join_small(tasks, sprint.select("org", "project", *SPRINT_COLUMNS), ["org", "project"], "inner",
                        p.broadcast_row_limit, sprint_small)
@@ -72,10 +72,10 @@ def analyse(tasks: DataFrame, recent: DataFrame, as_of: str, p: Params, history:
     t = stage(assign_branch(tasks, history, p, as_of), "branched tasks")
     analysed = F.col("branch") == F.lit(BRANCH_ANALYSED)
     # Similarity only for analysed tasks (explicit filter before the costly stage).
-    docs = similarity_docs(recent, t.where(analysed).select("id"))
-    cp = copy_paste(docs, p.copy_paste_threshold).select(F.col("key").alias("id"), F.col("copy_paste_detected")
-                                                        .alias("cp"))
-    t = t.join(cp, "id", "left")
+    docs = similarity_docs(recent, t.where(analysed).select("org", "id"))
+    cp = copy_paste(docs, p.copy_paste_threshold).select(
+        F.col("key.org").alias("org"), F.col("key.work_item_id").alias("id"), F.col("copy_paste_detected").alias("cp"))
+    t = t.join(cp, ["org", "id"], "left")
     t = grade(t, as_of, grader_responses)
     copied = analysed & F.coalesce(F.col("cp"), F.lit(False))
     q = F.col("quality")
@@ -146,7 +146,7 @@ def run_daily(inp: TrackerInputs, as_of: str, p: Params = Params(), grader_respo
     return DailyRun(
         tasks=enriched, snapshot=to_snapshot_rows(enriched, as_of), summary=summary,
         cards=report_cards(enriched, as_of), dispositions=disp, disposition_counts=disposition_counts(disp),
-        reminders=reminder_outbox(disp, as_of, p), report=report_outbox(summary, sprint, as_of, p),
+        reminders=reminder_outbox(disp, as_of, p), report=report_outbox(summary, sprint, as_of, p, recipients),
         stage_counts=counts, sprint=sprint,
         grading_requests=grading_requests(enriched, as_of),
         nudge_requests=enriched.where("needs_attention").select(

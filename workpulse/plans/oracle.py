@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from workpulse.functions.text import HTML_ENTITIES, IMG_SRC_PATTERN, WS
 from workpulse.params import DEFAULT_AS_OF, Params
-from workpulse.sources.standins import FINISH_OFFSETS
+from workpulse.sources.standins import FINISH_OFFSETS, ORDER_TEXTS
 
 NL = "chr(10)"
 NON_WS = WS.replace("[", "[^", 1)
@@ -85,30 +85,31 @@ def standin_ctes(as_of: str = DEFAULT_AS_OF) -> list[tuple[str, str]]:
     offs = "[" + ", ".join(str(x) for x in FINISH_OFFSETS) + "]"
     d = date_lit(as_of)
     it = f"""
-      SELECT 'acme' AS org, n_name AS project, CAST(pos AS INTEGER) AS pos,
+      SELECT org, n_name AS project, CAST(pos AS INTEGER) AS pos,
         CASE WHEN is_sprint THEN 'Sprint ' || CAST(k AS VARCHAR) ELSE 'Backlog' END AS name,
         CASE WHEN is_sprint THEN n_name ELSE n_name || ' Backlog' END AS path,
         CASE WHEN is_sprint AND k % 5 <> 4 THEN strftime({d} - 10, '%Y-%m-%d') || 'T00:00:00Z' END AS startDate,
         CASE WHEN is_sprint AND k % 7 <> 6 THEN strftime({d} + {offs}[k % 8 + 1], '%Y-%m-%d') || 'T00:00:00Z' END
           AS finishDate
-      FROM (SELECT n_nationkey AS k, n_name, pos, ((pos = 0) = (n_nationkey % 6 <> 5)) AS is_sprint
-            FROM (SELECT n_nationkey, n_name, unnest([0, 1]) AS pos FROM nation))"""
+      FROM (SELECT org, n_nationkey AS k, n_name, pos, ((pos = 0) = (n_nationkey % 6 <> 5)) AS is_sprint
+            FROM nation, (VALUES ('acme'), ('beta')) AS g(org), (VALUES (0), (1)) AS i(pos))"""
     stories = """
-      SELECT 'acme' AS org, n_name AS project, c_custkey AS id,
+      SELECT org, n_name AS project, c_custkey AS id,
         CASE WHEN c_custkey % 5 = 0 THEN 'Bug' ELSE 'User Story' END AS work_item_type,
         CASE c_mktsegment WHEN 'BUILDING' THEN 'Closed' WHEN 'MACHINERY' THEN 'Removed' ELSE 'Active' END AS state,
         n_name AS iteration_path
-      FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+      FROM customer JOIN nation ON c_nationkey = n_nationkey
+      JOIN (VALUES ('acme'), ('beta')) AS g(org) ON org = 'acme' OR c_custkey % 2 = 0"""
     links = """
-      SELECT o_custkey AS source_id, o_orderkey AS target_id,
+      SELECT org, o_custkey AS source_id, o_orderkey AS target_id,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'System.LinkTypes.Hierarchy-Forward' END AS rel
-      FROM orders"""
+      FROM orders JOIN (VALUES ('acme'), ('beta')) AS g(org) ON org = 'acme' OR o_orderkey % 5 = 0"""
     now = ts_lit(as_of)
     sc = f"{now} - to_days(CAST(o_orderkey * 7 % 15 AS INTEGER)) - to_hours(CAST(o_custkey % 24 AS INTEGER))"
     ch = f"{now} - to_days(CAST(o_orderkey % 9 AS INTEGER)) - to_hours(CAST(o_custkey % 24 AS INTEGER))"
     work = f"""
-      SELECT 'acme' AS org, n_name AS project, o_orderkey AS id,
-        'Order ' || CAST(o_orderkey AS VARCHAR) || ' (' || o_orderpriority || ')' AS title,
+      SELECT org, n_name AS project, o_orderkey AS id,
+        CASE WHEN org = 'beta' THEN 'Beta order ' ELSE 'Order ' END || CAST(o_orderkey AS VARCHAR) || ' (' || o_orderpriority || ')' AS title,
         CASE WHEN o_orderpriority = '5-LOW' THEN 'Bug' ELSE 'Task' END AS work_item_type,
         CASE o_orderstatus WHEN 'O' THEN 'Active' WHEN 'P' THEN ' resolved ' ELSE 'Closed' END AS state,
         n_name AS iteration_path,
@@ -121,10 +122,16 @@ def standin_ctes(as_of: str = DEFAULT_AS_OF) -> list[tuple[str, str]]:
         {iso_seconds(ch)} AS changed_date
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
       LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS remaining_hours FROM lineitem GROUP BY l_orderkey) lq
-        ON o_orderkey = lq.l_orderkey"""
+        ON o_orderkey = lq.l_orderkey
+      JOIN (VALUES ('acme'), ('beta')) AS g(org) ON org = 'acme' OR o_orderkey % 5 = 0"""
     eid = "CAST(event_id AS VARCHAR)"
+    ots = f"({now} - to_days(CAST(day AS INTEGER)) - to_hours(CAST(o_orderkey % 5 + 1 AS INTEGER)))"
+    order_text = "CASE " + " ".join(
+        f"WHEN o_orderkey % 7 = {kind} AND day = {day} THEN replace({q(text)}, 'K', CAST(o_orderkey AS VARCHAR))"
+        for kind, texts in ORDER_TEXTS.items() for day, text in enumerate(texts)) + " END"
     comments = f"""
-      SELECT user_id AS work_item_id, event_id AS pos, event_id AS id,
+      SELECT CASE WHEN event_id % 4 = 0 THEN 'beta' ELSE 'acme' END AS org,
+        user_id AS work_item_id, event_id AS pos, event_id AS id,
         CASE WHEN event_id % 10 = 0 THEN NULL
              WHEN event_id % 10 = 1 THEN ''
              WHEN event_id % 10 = 2 THEN '<div>' || event_type || ' &amp;lt;ok&amp;gt; ' || props
@@ -137,8 +144,14 @@ def standin_ctes(as_of: str = DEFAULT_AS_OF) -> list[tuple[str, str]]:
         END AS text,
         CASE WHEN event_type = 'signup' THEN '' ELSE event_type END AS author_name,
         event_type || '@example.com' AS author_email,
-        CASE WHEN event_id % 53 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS createdDate
-      FROM events"""
+        CASE WHEN event_id % 53 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS createdDate,
+        ts AS landed_at
+      FROM events
+      UNION ALL
+      SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'beta' ELSE 'acme' END, o_orderkey, -(o_orderkey * 4 + day + 1),
+        -(o_orderkey * 4 + day + 1), {order_text},
+        'dev' || CAST(o_orderkey % 3 AS VARCHAR), 'dev@example.com', strftime({ots}, '%Y-%m-%dT%H:%M:%SZ'), {ots}
+      FROM orders, (VALUES (0), (1), (2)) AS d(day) WHERE o_orderkey % 7 <> 0"""
     history = """
       SELECT 'acme' AS azure_org, user_id AS work_item_id, CAST(ts AS DATE) AS snapshot_date,
         CAST(least(10, floor(max(value) / 15)) AS INTEGER) AS comment_quality_score,
@@ -213,7 +226,7 @@ def discovery_ctes(as_of: str, p: Params) -> list[tuple[str, str]]:
                                               AND x.iteration_path = s.iteration_path)"""
     children = """
       SELECT DISTINCT p.org, p.project, l.target_id AS id
-      FROM parents p JOIN sv_links l ON l.source_id = p.id
+      FROM parents p JOIN sv_links l ON l.source_id = p.id AND l.org = p.org
       WHERE l.rel = 'System.LinkTypes.Hierarchy-Forward' AND l.target_id IS NOT NULL"""
     src = """(SELECT c.org, c.project, w.id, w.title, w.work_item_type, w.state, w.iteration_path, w.assigned_to,
                      w.remaining_hours, w.original_estimate, w.state_change_date, w.changed_date
@@ -222,9 +235,9 @@ def discovery_ctes(as_of: str, p: Params) -> list[tuple[str, str]]:
 
 
 def recent_sql(as_of: str, p: Params, restrict: str | None) -> str:
-    where = f"AND work_item_id IN (SELECT id FROM {restrict})" if restrict else ""
+    where = f"AND (org, work_item_id) IN (SELECT (org, id) FROM {restrict})" if restrict else ""
     return f"""
-      SELECT work_item_id, pos, id AS comment_id, {strip_html('text')} AS text, {image_urls('text')} AS image_urls,
+      SELECT org, work_item_id, pos, id AS comment_id, {strip_html('text')} AS text, {image_urls('text')} AS image_urls,
         coalesce(author_name, '') AS author_name, coalesce(author_email, '') AS author_email, created_ts,
         CAST(created_ts AS DATE) = {date_lit(as_of)} AS is_today
       FROM (SELECT *, {parse_iso('createdDate')} AS created_ts FROM sv_comments
@@ -234,23 +247,23 @@ def recent_sql(as_of: str, p: Params, restrict: str | None) -> str:
 
 def rollup_ctes() -> list[tuple[str, str]]:
     ranked = """
-      SELECT *, row_number() OVER (PARTITION BY work_item_id, is_today ORDER BY created_ts DESC, pos ASC) AS rn
+      SELECT *, row_number() OVER (PARTITION BY org, work_item_id, is_today ORDER BY created_ts DESC, pos ASC) AS rn
       FROM recent"""
     authors = """
-      SELECT work_item_id, nullif(string_agg(author_name, '|' ORDER BY first_rn), '') AS recent_comment_authors
-      FROM (SELECT work_item_id, author_name, min(rn) AS first_rn FROM ranked WHERE NOT is_today
-            GROUP BY work_item_id, author_name)
-      GROUP BY work_item_id"""
+      SELECT org, work_item_id, nullif(string_agg(author_name, '|' ORDER BY first_rn), '') AS recent_comment_authors
+      FROM (SELECT org, work_item_id, author_name, min(rn) AS first_rn FROM ranked WHERE NOT is_today
+            GROUP BY org, work_item_id, author_name)
+      GROUP BY org, work_item_id"""
     rollup = """
-      SELECT r.work_item_id, bool_or(r.is_today) AS has_comment_today,
+      SELECT r.org, r.work_item_id, bool_or(r.is_today) AS has_comment_today,
         CAST(count(*) FILTER (WHERE NOT r.is_today) AS INTEGER) AS recent_comment_count,
         any_value(t.text) AS today_comment_text, any_value(t.image_urls) AS today_image_urls,
         any_value(t.author_name) AS today_comment_author_name, any_value(t.author_email) AS today_comment_author_email,
         any_value(t.created_ts) AS today_comment_ts, any_value(a.recent_comment_authors) AS recent_comment_authors
       FROM recent r
-      LEFT JOIN (SELECT * FROM ranked WHERE is_today AND rn = 1) t ON t.work_item_id = r.work_item_id
-      LEFT JOIN authors a ON a.work_item_id = r.work_item_id
-      GROUP BY r.work_item_id"""
+      LEFT JOIN (SELECT * FROM ranked WHERE is_today AND rn = 1) t ON t.org = r.org AND t.work_item_id = r.work_item_id
+      LEFT JOIN authors a ON a.org = r.org AND a.work_item_id = r.work_item_id
+      GROUP BY r.org, r.work_item_id"""
     return [("ranked", ranked), ("authors", authors), ("rollup", rollup)]
 
 
@@ -409,13 +422,13 @@ def pipeline_ctes(as_of: str = DEFAULT_AS_OF, p: Params = Params(), data_as_of:
         r.today_comment_author_email, r.today_comment_ts, coalesce(r.recent_comment_count, 0) AS recent_comment_count,
         r.recent_comment_authors, s.sprint_name, s.iteration_path, s.start_date, s.finish_date, s.days_remaining,
         s.total_days, s.dates_configured, {state_norm} AS state_norm
-      FROM items i LEFT JOIN rollup r ON r.work_item_id = i.id
+      FROM items i LEFT JOIN rollup r ON r.org = i.org AND r.work_item_id = i.id
       JOIN sprint s ON s.org = i.org AND s.project = i.project"""
     ctes.append(("tasks0", tasks0))
     ctes += gate_ctes(as_of, p, "tasks0")
     docs = """
-      SELECT work_item_id AS key, pos AS doc, is_today, text FROM ranked
-      WHERE (NOT is_today OR rn = 1) AND work_item_id IN (SELECT id FROM branched WHERE branch = 'analysed')"""
+      SELECT org || '/' || CAST(work_item_id AS VARCHAR) AS key, pos AS doc, is_today, text FROM ranked
+      WHERE (NOT is_today OR rn = 1) AND (org, work_item_id) IN (SELECT (org, id) FROM branched WHERE branch = 'analysed')"""
     ctes.append(("pdocs", docs))
     ctes += similarity_ctes("pdocs", p.copy_paste_threshold, "cp")
     g = rubric_sql("b.today_comment_text", "b.title")
@@ -424,7 +437,7 @@ def pipeline_ctes(as_of: str = DEFAULT_AS_OF, p: Params = Params(), data_as_of:
         {g['quality_score']} AS g_score, {g['quality_label']} AS g_label, {g['blocker_detected']} AS g_blocker,
         {g['progress_detectable']} AS g_progress, {g['sentiment']} AS g_sentiment,
         {g['suggested_followup']} AS g_followup
-      FROM branched b LEFT JOIN cp_result c ON c.key = b.id"""
+      FROM branched b LEFT JOIN cp_result c ON c.key = b.org || '/' || CAST(b.id AS VARCHAR)"""
     ctes.append(("graded", graded))
     an = "branch = 'analysed'"
     analysis = f"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from workpulse.functions.dates import as_of_ts, elapsed_days, parse_iso
 from workpulse.functions.text import clean_text, image_urls, pipe_join, strip_html, tokens
-from workpulse.operators.comments import comment_rollup, recent_comments, similarity_docs
+from workpulse.operators.comments import comment_rollup, current_comments, recent_comments, similarity_docs
 from workpulse.operators.discovery import child_ids, current_sprint, in_scope_items, project_items, sprint_parents
 from workpulse.operators.gate import assign_branch, latest_compliant
 from workpulse.operators.grading import with_parsed_grade, with_rubric
@@ -21,7 +21,7 @@ from workpulse.params import DEFAULT_AS_OF, Params
 from workpulse.plans import oracle as O
 from workpulse.plans.daily import run_daily
 from workpulse.schemas import GRADE_FIELDS
-from workpulse.session import checkpoint_dir, ensure_utc
+from workpulse.session import checkpoint_dir, ensure_utc, join_small
 from workpulse.sources import standins as SV
 from workpulse.sources.snapshot_store import read_snapshot, upsert
 
@@ -147,7 +147,7 @@ def sql_image_urls():
 def q_comment_rollup(spark, sf):
     ensure_utc(spark)
     r = comment_rollup(recent_comments(SV.comments(spark, sf), AS_OF, P))
-    return r.select("work_item_id", "has_comment_today", "today_comment_text",
+    return r.select("org", "work_item_id", "has_comment_today", "today_comment_text",
                     pipe_join(F.col("today_image_urls")).alias("today_image_urls"), "today_comment_author_name",
                     "today_comment_author_email", "today_comment_ts", "recent_comment_count",
                     "recent_comment_authors")
@@ -156,7 +156,7 @@ def q_comment_rollup(spark, sf):
 def sql_comment_rollup():
     ctes = O.standin_ctes(AS_OF) + [("recent", O.recent_sql(AS_OF, P, None))] + O.rollup_ctes()
     return O.with_ctes(ctes, """
-      SELECT work_item_id, has_comment_today, today_comment_text,
+      SELECT org, work_item_id, has_comment_today, today_comment_text,
         nullif(array_to_string(today_image_urls, '|'), '') AS today_image_urls, today_comment_author_name,
         today_comment_author_email, today_comment_ts, recent_comment_count, recent_comment_authors
       FROM rollup""")
@@ -170,7 +170,7 @@ def _sim_out(res: DataFrame, key: str) -> DataFrame:
 def q_copy_paste_similarity(spark, sf):
     conv = SV.read_table(spark, sf, "conversations").select("conv_id", "turn", "text")
     last = conv.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
-    docs = conv.join(last, "conv_id").select(F.col("conv_id").alias("key"), F.col("turn").alias("doc"),
+    docs = join_small(conv, last, "conv_id").select(F.col("conv_id").alias("key"), F.col("turn").alias("doc"),
                                               (F.col("turn") == F.col("last_turn")).alias("is_today"), "text")
     return _sim_out(copy_paste(docs, P.copy_paste_threshold), "conv_id")
 
@@ -186,16 +186,32 @@ def sql_copy_paste_similarity():
 def q_copy_paste_comments(spark, sf):
     ensure_utc(spark)
     docs = similarity_docs(recent_comments(SV.comments(spark, sf), AS_OF, P))
-    return _sim_out(copy_paste(docs, P.copy_paste_threshold), "work_item_id")
+    out = _sim_out(copy_paste(docs, P.copy_paste_threshold), "item")
+    return out.select("item.org", "item.work_item_id", *out.columns[1:])
 
 
 def sql_copy_paste_comments():
     ctes = O.standin_ctes(AS_OF) + [("recent", O.recent_sql(AS_OF, P, None))] + O.rollup_ctes()[:1]
-    ctes.append(("sdocs", "SELECT work_item_id AS key, pos AS doc, is_today, text FROM ranked "
+    ctes.append(("sdocs", "SELECT org || '/' || CAST(work_item_id AS VARCHAR) AS key, pos AS doc, is_today, text FROM ranked "
                           "WHERE NOT is_today OR rn = 1"))
     return O.with_ctes(ctes + O.similarity_ctes("sdocs", P.copy_paste_threshold),
-                       "SELECT key AS work_item_id, round(max_sim, 6) AS max_sim, exact_match, copy_paste_detected "
-                       "FROM cp_result")
+                       "SELECT split_part(key, '/', 1) AS org, CAST(split_part(key, '/', 2) AS BIGINT) AS work_item_id, "
+                       "round(max_sim, 6) AS max_sim, exact_match, copy_paste_detected FROM cp_result")
+
+
+def q_landed_comments(spark, sf):
+    """The newest version of each comment among redelivered, edited, late and future-dated ones."""
+    c = current_comments(SV.landed_versions(spark, sf))
+    return c.select("org", "work_item_id", F.col("id").alias("comment_id"), "text", "createdDate", "landed_at")
+
+
+def sql_landed_comments():
+    return O.with_ctes(O.standin_ctes(AS_OF), """
+      SELECT org, work_item_id, id AS comment_id,
+        CASE WHEN version = 2 THEN coalesce(text, '') || ' (edited)' ELSE text END AS text,
+        CASE WHEN abs(id) % 7 = 0 THEN '2099-01-01T00:00:00Z' ELSE createdDate END AS createdDate,
+        landed_at + to_days(CAST(version AS INTEGER)) AS landed_at
+      FROM (SELECT *, CASE WHEN abs(id) % 5 = 0 THEN 2 WHEN abs(id) % 3 = 0 THEN 1 ELSE 0 END AS version FROM sv_comments)""")
 
 
 def q_document_text_stats(spark, sf):
@@ -218,7 +234,7 @@ def q_copy_paste_documents(spark, sf):
     docs = SV.read_table(spark, sf, "documents").select(
         F.concat_ws("/", "source", "lang").alias("key"), F.col("doc_id").alias("doc"), "text")
     last = docs.groupBy("key").agg(F.max("doc").alias("last_doc"))
-    d = docs.join(last, "key").select("key", "doc", (F.col("doc") == F.col("last_doc")).alias("is_today"), "text")
+    d = join_small(docs, last, "key").select("key", "doc", (F.col("doc") == F.col("last_doc")).alias("is_today"), "text")
     return _sim_out(copy_paste(d, P.copy_paste_threshold), "source_lang")
 
 
@@ -296,13 +312,14 @@ def _sql_unfence(raw: str) -> str:
 def sql_grader_parse():
     from workpulse.operators.grading import FAILED_FOLLOWUP
     eid, etype = "event_id", "event_type"
-    score = "CAST(CAST(floor(value) AS BIGINT) % 11 AS VARCHAR)"
+    score = (f"(CAST(CAST(floor(value) AS BIGINT) % 11 AS VARCHAR) || "
+             f"CASE WHEN {eid} % 5 = 0 THEN '.0' WHEN {eid} % 11 = 0 THEN '.5' ELSE '' END)")
     body = (f"'{{\"quality_score\": ' || {score} || ', \"quality_label\": \"' || "
             f"(CASE WHEN CAST(floor(value) AS BIGINT) % 11 >= 7 THEN 'good' ELSE 'vague' END) || "
             f"'\", \"blocker_detected\": ' || (CASE WHEN {etype} = 'error' THEN 'true' ELSE 'false' END) || "
             f"', \"progress_detectable\": ' || (CASE WHEN {etype} = 'purchase' THEN 'true' ELSE 'false' END) || "
-            f"', \"sentiment\": \"' || (CASE WHEN {etype} = 'error' THEN 'negative' ELSE 'positive' END) || "
-            f"'\", \"suggested_followup\": \"What changed in ' || {etype} || '?\"}}'")
+            f"', \"sentiment\": ' || (CASE WHEN {eid} % 7 = 0 THEN 'null' WHEN {etype} = 'error' THEN '\"negative\"' "
+            f"ELSE '\"positive\"' END) || ', \"suggested_followup\": \"What changed in ' || {etype} || '?\"}}'")
     raw = (f"CASE WHEN {eid} % 6 = 0 THEN '```json' || chr(10) || {body} || chr(10) || '```' "
            f"WHEN {eid} % 6 = 1 THEN '  ```' || chr(10) || {body} || chr(10) || '```  ' "
            f"WHEN {eid} % 6 = 2 THEN {body} "
@@ -313,15 +330,16 @@ def sql_grader_parse():
     tb = O.py_strip(b)
     jt = lambda path: f"json_type(CASE WHEN json_valid({b}) THEN {b} END, '$.{path}')"
     ok = (f"coalesce(starts_with({tb}, '{{') AND ends_with({tb}, '}}') AND json_valid({b}) "
-          f"AND {jt('quality_score')} IN ('BIGINT', 'UBIGINT') AND {jt('quality_label')} = 'VARCHAR' "
+          f"AND {jt('quality_score')} IN ('BIGINT', 'UBIGINT', 'DOUBLE') "
+          f"AND TRY_CAST(json_extract_string(CASE WHEN json_valid({b}) THEN {b} END, '$.quality_score') AS DOUBLE) % 1 = 0 AND {jt('quality_label')} = 'VARCHAR' "
           f"AND {jt('blocker_detected')} = 'BOOLEAN' AND {jt('progress_detectable')} = 'BOOLEAN' "
-          f"AND {jt('sentiment')} = 'VARCHAR' AND {jt('suggested_followup')} = 'VARCHAR', false)")
+          f"AND {jt('sentiment')} IN ('VARCHAR', 'NULL') AND {jt('suggested_followup')} = 'VARCHAR', false)")
     pre, post = FAILED_FOLLOWUP.split("%s")
     title = "'Task ' || CAST(work_item_id AS VARCHAR)"
     ex = lambda path: f"json_extract_string(CASE WHEN ok THEN {b} END, '$.{path}')"
     return f"""
       SELECT response_id, work_item_id, ok AS parsed_ok,
-        CASE WHEN ok THEN CAST({ex('quality_score')} AS INTEGER) ELSE 0 END AS quality_score,
+        CASE WHEN ok THEN CAST(CAST({ex('quality_score')} AS DOUBLE) AS INTEGER) ELSE 0 END AS quality_score,
         CASE WHEN ok THEN {ex('quality_label')} ELSE 'vague' END AS quality_label,
         CASE WHEN ok THEN CAST({ex('blocker_detected')} AS BOOLEAN) ELSE false END AS blocker_detected,
         CASE WHEN ok THEN CAST({ex('progress_detectable')} AS BOOLEAN) ELSE false END AS progress_detectable,
@@ -353,7 +371,7 @@ def _scored(spark, sf):
     ensure_utc(spark)
     t = _all_tasks(spark, sf)
     sprint = current_sprint(SV.iterations(spark, sf, AS_OF), AS_OF)
-    t = t.join(sprint.select("org", "project", "days_remaining", "dates_configured"), ["org", "project"])
+    t = join_small(t, sprint.select("org", "project", "days_remaining", "dates_configured"), ["org", "project"])
     return flag_attention(score_risk(SV.analysis(t), P), P)
 
 
@@ -533,7 +551,8 @@ def sql_reminder_outbox():
 
 
 def q_report_outbox(spark, sf):
-    return _run(spark, sf).report.select("org", "project", "subject", "body", "fetched_at_display")
+    return _run(spark, sf).report.select("org", "project", F.array_join("recipients", ",").alias("recipients"), "subject",
+                                         "body", "fetched_at_display")
 
 
 def sql_report_outbox():
@@ -544,8 +563,9 @@ def sql_report_outbox():
             "CAST(total - flagged AS VARCHAR)"]
     body = " || ".join(O.q(pt) + (f" || {vals[i]}" if i < len(vals) else "") for i, pt in enumerate(parts))
     sp = REPORT_SUBJECT.split("%s")
-    return _sql_pipeline(f"""
-      SELECT org, project, {O.q(sp[0])} || sprint_name || {O.q(sp[1])} || {today} || {O.q(sp[2])} AS subject,
+    return O.with_ctes(O.pipeline_ctes(AS_OF, P) + [_rec_cte()], f"""
+      SELECT org, project, (SELECT string_agg(DISTINCT email, ',' ORDER BY email) FROM sv_recipients) AS recipients,
+        {O.q(sp[0])} || sprint_name || {O.q(sp[1])} || {today} || {O.q(sp[2])} AS subject,
         {body} AS body, strftime({O.ts_lit(AS_OF)}, '%d %b %Y, %I:%M %p UTC') AS fetched_at_display
       FROM (SELECT org, project, any_value(sprint_name) AS sprint_name, count(*) AS total,
                    count(*) FILTER (WHERE needs_attention) AS flagged
@@ -646,6 +666,7 @@ QUERIES = {
     "html_text": (q_html_text, sql_html_text),
     "image_urls": (q_image_urls, sql_image_urls),
     "comment_rollup": (q_comment_rollup, sql_comment_rollup),
+    "landed_comments": (q_landed_comments, sql_landed_comments),
     "copy_paste_similarity": (q_copy_paste_similarity, sql_copy_paste_similarity),
     "copy_paste_comments": (q_copy_paste_comments, sql_copy_paste_comments),
     "copy_paste_documents": (q_copy_paste_documents, sql_copy_paste_documents),

@@ -24,7 +24,7 @@ STORIES = T.StructType([
 ])
 
 # One-hop hierarchy links; rel NULL marks the echoed source row.
-LINKS = T.StructType([_f("source_id", L, False), _f("target_id", L), _f("rel", S)])
+LINKS = T.StructType([_f("org", S, False), _f("source_id", L, False), _f("target_id", L), _f("rel", S)])
 
 # Work item details, one row per item (dotted payload keys already projected).
 WORK_ITEMS = T.StructType([
@@ -33,15 +33,17 @@ WORK_ITEMS = T.StructType([
     _f("original_estimate", D), _f("state_change_date", S), _f("changed_date", S),
 ])
 
-# Comments, one row per comment; pos = position in the landed payload array.
+# Comments, one row per landed version; pos = position in the landed payload array, landed_at = when that
+# payload landed. A comment is (org, work item, id); its newest version counts.
 COMMENTS = T.StructType([
-    _f("work_item_id", L, False), _f("pos", L, False), _f("id", L), _f("text", S),
+    _f("org", S, False), _f("work_item_id", L, False), _f("pos", L, False), _f("id", L), _f("text", S),
     _f("createdBy", T.StructType([_f("displayName", S), _f("uniqueName", S)])), _f("createdDate", S),
+    _f("landed_at", T.TimestampType()),
 ])
 
 # Grader / nudge replies keyed by task and run.
 RESPONSES = T.StructType([
-    _f("work_item_id", L, False), _f("as_of", T.TimestampType()), _f("kind", S), _f("raw", S),
+    _f("org", S, False), _f("work_item_id", L, False), _f("as_of", T.TimestampType()), _f("kind", S), _f("raw", S),
 ])
 
 GRADE_FIELDS = T.StructType([

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,24 +74,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame, label: str | None = None) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    The rows are computed once (persisted for the checkpoint write), later
-    consumers read the checkpoint files and the plan above becomes a leaf.
+    Computed once, survives lost executors, cuts the lineage, and (unlike a
+    checkpoint) later readers prune columns and push filters into it.
     ``label`` becomes the Spark job description (event log, history server).
     """
-    checkpoint_dir(df.sparkSession)
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label.replace(' ', '-')}-{uuid.uuid4().hex}"
     previous = sc.getLocalProperty("spark.job.description")
-    if label:
-        sc.setLocalProperty("spark.job.description", f"workpulse: {label}")
-    df.persist()
+    sc.setLocalProperty("spark.job.description", f"workpulse: {label}")
     try:
-        return df.checkpoint(eager=True)
+        df.write.parquet(path)
     finally:
-        df.unpersist()
         sc.setLocalProperty("spark.job.description", previous)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Older name, used by the daily run's stages.
+cut_lineage = stage_table
 
 
 def spread(df: DataFrame) -> DataFrame:

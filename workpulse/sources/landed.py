@@ -22,6 +22,7 @@ CORRUPT = "_corrupt_record"
 
 # Raw comment payload: one record per work item, comments in API order.
 COMMENT_PAYLOAD = T.StructType([
+    T.StructField("org", T.StringType(), False),
     T.StructField("work_item_id", T.LongType(), False),
     T.StructField("comments", T.ArrayType(T.StructType([
         T.StructField("id", T.LongType()), T.StructField("text", T.StringType()),
@@ -70,9 +71,13 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> Landed:
 
 
 def explode_comments(payloads: DataFrame) -> DataFrame:
-    """Comment arrays -> one row per comment with its payload position."""
-    return payloads.select("work_item_id", F.posexplode("comments").alias("pos", "c")).select(
-        "work_item_id", F.col("pos").cast("long").alias("pos"), F.col("c.id").alias("id"),
+    """Comment arrays -> one row per comment with its payload position and landing time.
+
+    ``payloads`` may carry ``landed_at``; without it all versions count as landed at once.
+    """
+    at = F.col("landed_at") if "landed_at" in payloads.columns else F.lit(None).cast("timestamp").alias("landed_at")
+    return payloads.select("org", "work_item_id", at, F.posexplode("comments").alias("pos", "c")).select(
+        "org", "work_item_id", "landed_at", F.col("pos").cast("long").alias("pos"), F.col("c.id").alias("id"),
         F.col("c.text").alias("text"), F.col("c.createdBy").alias("createdBy"),
         F.col("c.createdDate").alias("createdDate"))
 

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from workpulse.functions.dates import as_of_ts
 from workpulse.params import DEFAULT_AS_OF, HIERARCHY_FORWARD
-from workpulse.session import spread
+from workpulse.session import fits_broadcast, spread
 
 ORG = "acme"
+# A second org whose stories and items carry numbers that the first one uses as well.
+OTHER = "beta"
 # Finish-date offsets (days after as_of's date) cycled over nations.
 FINISH_OFFSETS = (-1, 0, 1, 2, 3, 5, 6, 14)
 
@@ -46,14 +48,15 @@ def iterations(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) ->
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("n_nationkey")
     sprint_first = (k % 6) != 5
-    rows = n.select("n_nationkey", "n_name", F.explode(F.array(F.lit(0), F.lit(1))).alias("pos"))
+    rows = n.select("n_nationkey", "n_name", F.explode(F.array(F.lit(ORG), F.lit(OTHER))).alias("org"))
+    rows = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("pos"))
     is_sprint = (F.col("pos") == 0) == sprint_first
     offset = F.element_at(F.array(*[F.lit(x) for x in FINISH_OFFSETS]), (k % 8 + 1).cast("int"))
     finish = F.concat(F.date_format(F.date_add(F.to_date(as_of_ts(as_of)), offset), "yyyy-MM-dd"),
                       F.lit("T00:00:00Z"))
     start = F.concat(F.date_format(F.date_sub(F.to_date(as_of_ts(as_of)), 10), "yyyy-MM-dd"), F.lit("T00:00:00Z"))
     return rows.select(
-        F.lit(ORG).alias("org"), F.col("n_name").alias("project"), F.col("pos").cast("int").alias("pos"),
+        "org", F.col("n_name").alias("project"), F.col("pos").cast("int").alias("pos"),
         F.when(is_sprint, F.concat(F.lit("Sprint "), k.cast("string"))).otherwise(F.lit("Backlog")).alias("name"),
         F.when(is_sprint, F.col("n_name")).otherwise(F.concat(F.col("n_name"), F.lit(" Backlog"))).alias("path"),
         F.when(is_sprint & ((k % 5) != 4), start).alias("startDate"),
@@ -61,12 +64,23 @@ def iterations(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) ->
     )
 
 
-def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+def orgs(both) -> Column:
+    """The orgs of a row: the first one, and the second one as well where ``both`` holds."""
+    return F.explode(F.when(both, F.array(F.lit(ORG), F.lit(OTHER))).otherwise(F.array(F.lit(ORG)))).alias("org")
+
+
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """key and name; broadcast if counted and small."""
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return F.broadcast(n) if fits_broadcast(n, 1000) else n
+
+
+def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", orgs(F.col("c_custkey") % 2 == 0))
+    n = nations(spark, sf_dir)
     seg = F.col("c_mktsegment")
     return c.join(n, c.c_nationkey == n.n_nationkey).select(
-        F.lit(ORG).alias("org"), F.col("n_name").alias("project"), F.col("c_custkey").alias("id"),
+        "org", F.col("n_name").alias("project"), F.col("c_custkey").alias("id"),
         F.when(F.col("c_custkey") % 5 == 0, F.lit("Bug")).otherwise(F.lit("User Story")).alias("work_item_type"),
         F.when(seg == "BUILDING", F.lit("Closed")).when(seg == "MACHINERY", F.lit("Removed"))
         .otherwise(F.lit("Active")).alias("state"),
@@ -75,9 +89,9 @@ def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", orgs(F.col("o_orderkey") % 5 == 0))
     return o.select(
-        F.col("o_custkey").alias("source_id"), F.col("o_orderkey").alias("target_id"),
+        "org", F.col("o_custkey").alias("source_id"), F.col("o_orderkey").alias("target_id"),
         F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit(HIERARCHY_FORWARD))
         .alias("rel"),
     )
@@ -87,11 +101,11 @@ def work_items(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) ->
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                                   "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    n = nations(spark, sf_dir)
     qty = (read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
            .agg(F.sum("l_quantity").alias("remaining_hours")))
-    base = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-            .join(qty, o.o_orderkey == qty.l_orderkey, "left"))
+    base = (o.join(c.join(n, c.c_nationkey == n.n_nationkey), F.col("o_custkey") == F.col("c_custkey"))
+            .join(qty, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("*", orgs(F.col("o_orderkey") % 5 == 0)))
     key, cust, name = F.col("o_orderkey"), F.col("c_custkey"), F.col("c_name")
     email = F.concat(F.lower(name), F.lit("@example.com"))
     assigned = (F.when(cust % 13 == 0, F.lit(None).cast("string"))
@@ -106,8 +120,8 @@ def work_items(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) ->
     changed = F.timestamp_seconds(now_s - (key % 9) * 86400 - hours * 3600)
     status = F.col("o_orderstatus")
     return base.select(
-        F.lit(ORG).alias("org"), F.col("n_name").alias("project"), key.alias("id"),
-        F.concat(F.lit("Order "), key.cast("string"), F.lit(" ("), F.col("o_orderpriority"), F.lit(")")).alias("title"),
+        "org", F.col("n_name").alias("project"), key.alias("id"),
+        F.concat(F.when(F.col("org") == OTHER, F.lit("Beta order ")).otherwise(F.lit("Order ")), key.cast("string"), F.lit(" ("), F.col("o_orderpriority"), F.lit(")")).alias("title"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit("Bug")).otherwise(F.lit("Task")).alias("work_item_type"),
         F.when(status == "O", F.lit("Active")).when(status == "P", F.lit(" resolved ")).otherwise(F.lit("Closed"))
         .alias("state"),
@@ -141,8 +155,57 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat(etype, F.lit("@example.com")).alias("uniqueName"))
     created = F.when(eid % 53 == 0, F.lit("")).otherwise(
         F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-    return e.select(F.col("user_id").alias("work_item_id"), eid.alias("pos"), eid.alias("id"), text.alias("text"),
-                    author.alias("createdBy"), created.alias("createdDate"))
+    return e.select(F.when(eid % 4 == 0, F.lit(OTHER)).otherwise(F.lit(ORG)).alias("org"),
+                    F.col("user_id").alias("work_item_id"), eid.alias("pos"), eid.alias("id"), text.alias("text"),
+                    author.alias("createdBy"), created.alias("createdDate"), F.col("ts").alias("landed_at")
+                    ).unionByName(order_comments(spark, sf_dir))
+
+
+#: Texts of the comments on orders, by o_orderkey % 7 (0: no comment) and day (0: today); K: the order's number.
+ORDER_TEXTS = {
+    1: ("Reviewed module K with the team", "REVIEWED module K with the team ", "Planned the sessions of next week"),
+    2: ("Checked totals and totals of batch K against ledger ledger ledger for north south east west and sent reports reports to finance",
+        "Checked totals and totals of batch K against ledger ledger ledger for north south east west and sent reports reports to audit",
+        "Checked totals and totals of batch K against ledger ledger ledger for north south east west and sent reports reports to sales"),
+    3: ("Blocked, waiting on the database team for access to K", "Wrote the first queries", "Set up the workbench"),
+    4: ("Completed the export of K and merged it with 12 tests, remaining work is the archive step and about 2 hours of review, "
+        "the only risk is the old format of one customer", "Completed the import and fixed 3 defects", "Drafted the layout of both files"),
+    5: ("done", "in progress", "started"),
+    6: ("Finished K, left are 4 checks for tomorrow and a risk of delay from one supplier", "", "Ordered the parts"),
+}
+
+
+def order_comments(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+    """Three comments on most orders, today's and those of two days before, so that every grade, exact and near
+    copies and blockers occur; those on every tenth order are the second org's."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("day"))
+    k, day = F.col("o_orderkey"), F.col("day")
+    text = F.lit(None).cast("string")
+    for kind, texts in ORDER_TEXTS.items():
+        for d, t in enumerate(texts):
+            filled = F.lit(t) if "K" not in t else F.concat(F.lit(t.split("K")[0]), k.cast("string"), F.lit(t.split("K")[1]))
+            text = F.when((k % 7 == kind) & (day == d), filled).otherwise(text)
+    ts = F.timestamp_seconds(F.unix_seconds(as_of_ts(as_of)) - day * 86400 - (k % 5 + 1) * 3600)
+    cid = (k * 4 + day + 1) * -1  # apart from the events' numbers
+    return o.where(k % 7 != 0).select(
+        F.when(k % 10 == 0, F.lit(OTHER)).otherwise(F.lit(ORG)).alias("org"), k.cast("long").alias("work_item_id"), cid.cast("long").alias("pos"),
+        cid.cast("long").alias("id"), text.alias("text"),
+        F.struct(F.concat(F.lit("dev"), (k % 3).cast("string")).alias("displayName"), F.lit("dev@example.com").alias("uniqueName")).alias("createdBy"),
+        _iso_seconds(ts).alias("createdDate"), ts.alias("landed_at"))
+
+
+def landed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments as they land: every third again a day later (unchanged), every fifth edited two days later, every
+    seventh dated far in the future."""
+    c = comments(spark, sf_dir)
+    m = F.abs(F.col("id"))
+    again = F.array_compact(F.array(F.lit(0), F.when(m % 3 == 0, F.lit(1)), F.when(m % 5 == 0, F.lit(2))))
+    v = c.withColumn("version", F.explode(again))
+    return v.withColumns({
+        "text": F.when(F.col("version") == 2, F.concat(F.coalesce("text", F.lit("")), F.lit(" (edited)"))).otherwise(F.col("text")),
+        "createdDate": F.when(m % 7 == 0, F.lit("2099-01-01T00:00:00Z")).otherwise(F.col("createdDate")),
+        "landed_at": F.col("landed_at") + F.make_dt_interval(days=F.col("version")),
+    }).drop("version")
 
 
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,14 +248,14 @@ def grader_responses(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_O
     e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     eid, etype = F.col("event_id"), F.col("event_type")
     pts = F.floor(F.col("value")) % 11
-    score = pts.cast("string")
+    score = F.concat(pts.cast("string"), F.when(eid % 5 == 0, F.lit(".0")).when(eid % 11 == 0, F.lit(".5")).otherwise(F.lit("")))
     body = F.concat(
         F.lit('{"quality_score": '), score,
         F.lit(', "quality_label": "'), F.when(pts >= 7, F.lit("good")).otherwise(F.lit("vague")),
         F.lit('", "blocker_detected": '), F.when(etype == "error", F.lit("true")).otherwise(F.lit("false")),
         F.lit(', "progress_detectable": '), F.when(etype == "purchase", F.lit("true")).otherwise(F.lit("false")),
-        F.lit(', "sentiment": "'), F.when(etype == "error", F.lit("negative")).otherwise(F.lit("positive")),
-        F.lit('", "suggested_followup": "What changed in '), etype, F.lit('?"}'))
+        F.lit(', "sentiment": '), F.when(eid % 7 == 0, F.lit("null")).when(etype == "error", F.lit('"negative"')).otherwise(F.lit('"positive"')),
+        F.lit(', "suggested_followup": "What changed in '), etype, F.lit('?"}'))
     m = eid % 6
     raw = (F.when(m == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
            .when(m == 1, F.concat(F.lit("  ```\n"), body, F.lit("\n```  ")))
@@ -200,7 +263,7 @@ def grader_responses(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_O
            .when(m == 3, F.concat(F.lit("Sorry, I cannot grade this: "), F.col("props")))
            .when(m == 4, F.lit(None).cast("string"))
            .otherwise(F.concat(F.lit('{"quality_score": '), score, F.lit("}"))))
-    return e.select(eid.alias("response_id"), F.col("user_id").alias("work_item_id"), as_of_ts(as_of).alias("as_of"),
+    return e.select(F.lit(ORG).alias("org"), eid.alias("response_id"), F.col("user_id").alias("work_item_id"), as_of_ts(as_of).alias("as_of"),
                     F.lit("grade").alias("kind"), raw.alias("raw"))
 
 
