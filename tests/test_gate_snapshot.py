@@ -155,6 +155,39 @@ def test_incremental_history_matches_full_scan(spark, tmp_path):
     assert sorted(os.listdir(state)) == ["before=2024-01-28", "before=2024-01-29", "before=2024-01-30"]
 
 
+def test_partial_and_stale_states_are_not_used(spark, tmp_path):
+    import os
+    import time
+    from workpulse.sources.snapshot_store import incremental_history
+    table, state = str(tmp_path / "t"), str(tmp_path / "s")
+    rows = run_daily(tiny_inputs(spark), D1, Params()).snapshot
+    upsert(spark, table, rows)
+    rank = lambda h: sorted((r.work_item_id, str(r.snapshot_date)) for r in h.collect())
+    want = rank(incremental_history(spark, table, state, D2))
+    assert len(want) == 2
+    folder = f"{state}/before={D2[:10]}"
+    # A job that died: one row, no commit marker.
+    for f in os.listdir(folder):
+        os.remove(os.path.join(folder, f))
+    spark.read.schema("work_item_id int").parquet(folder).limit(0).write.mode("overwrite").parquet(folder)
+    os.remove(os.path.join(folder, "_SUCCESS"))
+    assert rank(incremental_history(spark, table, state, D2)) == want
+    # A late upsert of an earlier day: the state is older than that partition.
+    time.sleep(1.1)
+    late = rows.where("work_item_id = 10").withColumn("work_item_id", F.lit(77))
+    upsert(spark, table, late)
+    assert rank(incremental_history(spark, table, state, D2)) == sorted([*want, (77, D1[:10])])
+
+
+def test_catalog_table_is_typed(spark, tmp_path):
+    from workpulse.sources.snapshot_store import create_table
+    for _ in range(2):
+        create_table(spark, str(tmp_path / "t"), "typed_snapshot")
+    cols = [(r.col_name, r.data_type) for r in spark.sql("DESCRIBE typed_snapshot").collect() if not r.col_name.startswith("#")]
+    assert dict(cols) == {f.name: f.dataType.simpleString() for f in SC.SNAPSHOT.fields} and len(dict(cols)) == 40
+    spark.sql("DROP TABLE typed_snapshot")
+
+
 def test_daily_outputs_have_no_python_or_cartesian(spark):
     run = run_daily(tiny_inputs(spark), D1, Params())
     for name in ("snapshot", "summary", "cards", "dispositions", "reminders", "report", "stage_counts",

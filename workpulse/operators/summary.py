@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from workpulse.params import ESCALATED_LABELS
@@ -32,5 +32,6 @@ def run_summary(tasks: DataFrame) -> DataFrame:
 
 
 def ordered_tasks(tasks: DataFrame) -> DataFrame:
-    """Most critical first, ties in ascending id order (O4). Sort only at the output."""
-    return tasks.orderBy(F.col("org"), F.col("project"), F.desc("risk_score"), F.col("id"))
+    """Each project's tasks, most critical first, ties in ascending id order (O4), with their ``position`` from 1."""
+    w = Window.partitionBy("org", "project").orderBy(F.desc("risk_score"), "id")
+    return tasks.withColumn("position", F.row_number().over(w).cast("long")).orderBy("org", "project", "position")

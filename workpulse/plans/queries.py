@@ -4,6 +4,7 @@ operator group; ``ORACLES`` holds the matching DuckDB SQL (see ``workpulse.plans
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,15 +16,17 @@ from workpulse.operators.discovery import child_ids, current_sprint, in_scope_it
 from workpulse.operators.gate import assign_branch, latest_compliant
 from workpulse.operators.grading import with_parsed_grade, with_rubric
 from workpulse.operators.nudge import write_nudges
+from workpulse.operators.routing import section_sizes
 from workpulse.operators.risk import flag_attention, score_risk
 from workpulse.operators.similarity import copy_paste
+from workpulse.operators.summary import ordered_tasks
 from workpulse.params import DEFAULT_AS_OF, Params
 from workpulse.plans import oracle as O
 from workpulse.plans.daily import run_daily
 from workpulse.schemas import GRADE_FIELDS
 from workpulse.session import checkpoint_dir, ensure_utc, join_small
 from workpulse.sources import standins as SV
-from workpulse.sources.snapshot_store import read_snapshot, upsert
+from workpulse.sources.snapshot_store import incremental_history, init_table, read_snapshot, upsert
 
 AS_OF = DEFAULT_AS_OF
 PREV_AS_OF = "2024-01-29 18:00:00"
@@ -464,6 +467,57 @@ def sql_snapshot_upsert():
     return "\nUNION ALL\n".join(parts)
 
 
+LOOP_DAYS = ("2024-01-28 18:00:00", PREV_AS_OF, AS_OF, AS_OF)
+
+
+def q_snapshot_history_loop(spark, sf):
+    """Three days and a rerun of the last one; each run's gate reads the table that the earlier runs wrote."""
+    ensure_utc(spark)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/snapshot-loop-{uuid.uuid4().hex}"
+    inp = SV.tracker_inputs(spark, sf, AS_OF)
+    init_table(spark, f"{base}/table")
+    for as_of in LOOP_DAYS:
+        history = incremental_history(spark, f"{base}/table", f"{base}/state", as_of)
+        upsert(spark, f"{base}/table", run_daily(replace(inp, history=history), as_of, P).snapshot)
+    return read_snapshot(spark, f"{base}/table")
+
+
+def sql_snapshot_history_loop():
+    seen = """SELECT azure_org, work_item_id, snapshot_date, comment_quality_score, eod_compliant, copy_paste_detected,
+              snapshot_timestamp FROM ({rows})"""
+    empty = ("SELECT NULL::VARCHAR AS azure_org, NULL::BIGINT AS work_item_id, NULL::DATE AS snapshot_date, "
+             "NULL::INTEGER AS comment_quality_score, NULL::BOOLEAN AS eod_compliant, NULL::BOOLEAN AS copy_paste_detected, "
+             "NULL::TIMESTAMP AS snapshot_timestamp WHERE false")
+    days, before = [], []
+    for i, as_of in enumerate(LOOP_DAYS):
+        ctes = [(n, (seen.format(rows=" UNION ALL ".join(f"SELECT * FROM {d}" for d in before)) if before else empty)
+                 if n == "sv_history" else sql) for n, sql in O.pipeline_ctes(as_of, P)]
+        days.append((f"day{i}", O.with_ctes(ctes, f"SELECT {O.snapshot_select(as_of)} FROM final")))
+        before.append(f"day{i}")
+    # The rerun replaces the last day's rows.
+    return O.with_ctes(days, "SELECT * FROM day0 UNION ALL SELECT * FROM day1 UNION ALL SELECT * FROM day3")
+
+
+def q_section_sizes(spark, sf):
+    return section_sizes(_run(spark, sf).cards)
+
+
+def sql_section_sizes():
+    return _sql_pipeline("""
+      SELECT org, project, count(*) FILTER (WHERE needs_attention) AS flagged_count,
+        count(*) FILTER (WHERE NOT needs_attention) AS healthy_count FROM final GROUP BY org, project""")
+
+
+def q_task_order(spark, sf):
+    return ordered_tasks(_run(spark, sf).tasks).select("org", "project", F.col("id").alias("work_item_id"), "risk_score", "position")
+
+
+def sql_task_order():
+    return _sql_pipeline("""
+      SELECT org, project, id AS work_item_id, risk_score,
+        row_number() OVER (PARTITION BY org, project ORDER BY risk_score DESC, id) AS position FROM final""")
+
+
 def q_run_summary(spark, sf):
     return _run(spark, sf).summary
 
@@ -680,6 +734,9 @@ QUERIES = {
     "nudge_issues": (q_nudge_issues, sql_nudge_issues),
     "snapshot_rows": (q_snapshot_rows, sql_snapshot_rows),
     "snapshot_upsert": (q_snapshot_upsert, sql_snapshot_upsert),
+    "snapshot_history_loop": (q_snapshot_history_loop, sql_snapshot_history_loop),
+    "section_sizes": (q_section_sizes, sql_section_sizes),
+    "task_order": (q_task_order, sql_task_order),
     "run_summary": (q_run_summary, sql_run_summary),
     "reminder_dispositions": (q_reminder_dispositions, sql_reminder_dispositions),
     "reminder_outbox": (q_reminder_outbox, sql_reminder_outbox),

@@ -8,14 +8,12 @@ before the overwrite, which cuts the lineage to the files being replaced.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from workpulse.operators.snapshot import enforce_not_null
 from workpulse.schemas import SNAPSHOT, SNAPSHOT_KEY
-from workpulse.session import cut_lineage
+from workpulse.session import join_small, stage_table
 
 HISTORY_COLUMNS = ("azure_org", "work_item_id", "snapshot_date", "snapshot_timestamp", "comment_quality_score",
                    "eod_compliant", "copy_paste_detected")
@@ -37,6 +35,13 @@ def init_table(spark: SparkSession, path: str) -> None:
         fs.mkdirs(p)
 
 
+def create_table(spark: SparkSession, path: str, name: str = "task_daily_snapshot") -> None:
+    """The typed, partitioned catalog table over ``path``, with its 40 columns, if absent."""
+    init_table(spark, path)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in SNAPSHOT.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (snapshot_date) LOCATION '{path}'")
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The whole table with its exact schema (partition values typed as DATE, never inferred)."""
     if not _has_data(spark, path):
@@ -56,31 +61,26 @@ def merge_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
     (partition pruning via a semi-join on the date).
     """
     key = list(SNAPSHOT_KEY)
-    # One run writes one snapshot date (as_of's), so this side has a proven bound of a handful of rows.
-    dates = new.select("snapshot_date").distinct()
-    touched = existing.join(F.broadcast(dates), "snapshot_date", "left_semi")
+    touched = join_small(existing, new.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
     kept = touched.join(new.select(*key), key, "left_anti")
     return kept.unionByName(new.select(*existing.columns))
 
 
 def upsert(spark: SparkSession, path: str, new: DataFrame) -> int:
     """Idempotent write of one run's rows; returns the number of rows written (0 -> no write, S12)."""
-    new = enforce_not_null(new)
-    if new.isEmpty():
+    # The input is computed once, into a stage table; counting and merging read that.
+    new = stage_table(enforce_not_null(new), "snapshot rows")
+    n = new.count()
+    if n == 0:
         return 0
     init_table(spark, path)
-    merged = cut_lineage(merge_rows(read_snapshot(spark, path), new))
+    # Cut from the files that are about to be replaced.
+    merged = stage_table(merge_rows(read_snapshot(spark, path), new), "snapshot merge")
     # Every row of a run shares one date: a plain repartition by date would send the whole day to one
     # writer. The rebalance hint lets AQE split that partition into advisory-sized files.
     (merged.hint("rebalance", "snapshot_date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path))
-    return new.count()
-
-
-def table_path(spark: SparkSession, name: str = "task_daily_snapshot") -> str:
-    """Default table location under the session's warehouse folder."""
-    base = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-    return os.path.join(base.replace("file:", ""), name)
+    return n
 
 
 # ---------------------------------------------------------------------------
@@ -93,12 +93,29 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _state_dates(spark: SparkSession, state_dir: str) -> list[str]:
+def _valid_states(spark: SparkSession, path: str, state_dir: str) -> list[str]:
+    """Dates D whose ``before=D`` state is whole and up to date, ascending.
+
+    Whole: the job that wrote it committed (``_SUCCESS``). Up to date: no file
+    of a snapshot partition dated before D is as new as that marker, so a late
+    upsert of an earlier day makes all states after it stale. Only file
+    listings are read, one per snapshot date.
+    """
     p, fs = _fs(spark, state_dir)
     if not fs.exists(p):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith("before="))
+    marks = {}
+    for s in fs.listStatus(p):
+        mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")
+        if s.getPath().getName().startswith("before=") and fs.exists(mark):
+            marks[s.getPath().getName().split("=", 1)[1]] = fs.getFileStatus(mark).getModificationTime()
+    root, fs = _fs(spark, path)
+    newest = {}
+    for s in fs.listStatus(root) if marks and fs.exists(root) else []:
+        if s.getPath().getName().startswith("snapshot_date="):
+            files = [f.getModificationTime() for f in fs.listStatus(s.getPath())]
+            newest[s.getPath().getName().split("=", 1)[1]] = max([s.getModificationTime(), *files])
+    return sorted(d for d, t in marks.items() if all(changed < t for day, changed in newest.items() if day < d))
 
 
 def incremental_history(spark: SparkSession, path: str, state_dir: str, as_of: str,
@@ -110,12 +127,12 @@ def incremental_history(spark: SparkSession, path: str, state_dir: str, as_of: s
     since that state (partition pruning on ``snapshot_date``), and written once.
     The result is that state plus the rows dated ``as_of``'s date (the reference
     also reads the run day's own rows; pass ``include_as_of_date=False`` for the
-    ``history_before_as_of`` policy). Backfilling a past date requires deleting
-    the states after it.
+    ``history_before_as_of`` policy). A state that a failed job left, or that is
+    older than a snapshot partition it covers, is not used and is built again.
     """
     day = as_of[:10]  # as_of is 'YYYY-MM-DD HH:MM:SS' in UTC
     hist = read_history(spark, path).where(F.col("eod_compliant") & F.col("comment_quality_score").isNotNull())
-    dates = _state_dates(spark, state_dir)
+    dates = _valid_states(spark, path, state_dir)
     target = f"{state_dir.rstrip('/')}/before={day}"
     if day not in dates:
         prior = [d for d in dates if d < day]
