@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from workpulse.llm import bpe, decontaminate, line_dedup, ngram_join, quality_rules
-from workpulse.llm.common import stage, table
+from workpulse.llm.common import small_ids, stage, table
 
 #: Near duplicates of the pipeline: words of a shingle, and least Jaccard similarity in percent.
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -41,9 +41,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, once."""
+    """One document of each group of near duplicates: the one with the smallest id, once.
+
+    Documents without id cannot be told apart and stay.
+    """
     groups = stage(ngram_join.join(docs, width=SHINGLE_WORDS, percent=SIMILARITY).select("doc_id", "component_id"), "groups")
-    gone = stage(groups.where("doc_id IS NULL AND component_id IS NOT NULL OR doc_id != component_id").select("doc_id").distinct(), "gone")
+    gone = small_ids(stage(groups.where("doc_id != component_id").select("doc_id").distinct(), "gone"))
     again = stage(groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
     rows = packed(docs, "doc_id")
     stay = rows.join(gone, "doc_id", "left_anti")
