@@ -66,7 +66,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids and whether the decoded ids give the text back."""
     rows = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("_sha"))
-    out = bpe.decode(bpe.encode(rows, keep=("lang", "source", "_sha")), keep=("lang", "source", "_sha"))
+    out = bpe.encode(rows, keep=("lang", "source", "_sha"), back=True)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                       (F.sha2("decoded", 256) == F.col("_sha")).alias("round_trip"))
 

@@ -347,6 +347,8 @@ def test_bpe_equals_the_library(spark, docs):
         ids = enc.encode_ordinary(d["text"])
         assert (got[d["doc_id"]]["n_tokens"], got[d["doc_id"]]["ids_sha256"]) == (len(ids), sha(" ".join(map(str, ids))))
         assert got[d["doc_id"]]["decoded_sha256"] == sha(d["text"])
+    some = bpe.encode(spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string"))
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in bpe.decode(some).collect()} == {1: b"some words", 2: b""}
 
 
 def test_replay_equals_one_merge_at_a_time():

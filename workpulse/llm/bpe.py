@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from workpulse.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 #: Distinct words whose ids a worker keeps for later blocks.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -218,7 +218,7 @@ def token_bytes(path: str | None) -> list[bytes]:
     return [tokens.get(i, b"") for i in range(max(tokens) + 1)]
 
 
-def blocks(texts: list[str], chars: int):
+def blocks(texts, chars: int):
     """Consecutive texts of about so many characters together."""
     block, size = [], 0
     for t in texts:
@@ -231,13 +231,21 @@ def blocks(texts: list[str], chars: int):
         yield block
 
 
+def decoded(ids: np.ndarray, offsets: np.ndarray, token) -> pa.Array:
+    """The bytes of consecutive runs of ids."""
+    return pa.array((b"".join(map(token, ids[i:j].tolist())) for i, j in zip(offsets, offsets[1:])), pa.binary())
+
+
 def schema_of(rows: DataFrame, cols: list[str], more: str) -> str:
     return ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in cols), more])
 
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), path: str | None = None,
-           pattern: str | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """key, the columns of ``keep`` and ids (array of int) of every row; one pass without a shuffle."""
+           pattern: str | None = None, block_chars: int = BLOCK_CHARS, back: bool = False) -> DataFrame:
+    """key, the columns of ``keep`` and ids (array of int) of every row; one pass without a shuffle.
+
+    ``back``: also decode the ids, as ``decode`` does, in the same pass and worker.
+    """
     cols = [key, *keep]
     rows = df.select(*cols, F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
@@ -245,15 +253,17 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[s
         e = encoder(path, pattern)
         for b in batches:
             done = 0
-            for block in blocks(b.column(len(cols)).to_pylist(), block_chars):
+            for block in blocks((t.as_py() for t in b.column(len(cols))), block_chars):
                 ids, n = e.encode(block)
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*(b.column(i).slice(done, len(block)) for i in range(len(cols))),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=[*cols, "ids"])
+                out = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
+                if back:
+                    out.append(decoded(ids, offsets, token_bytes(path).__getitem__))
+                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(done, len(block)) for i in range(len(cols))), *out],
+                                                 names=[*cols, "ids", "decoded"][:len(cols) + len(out)])
                 done += len(block)
 
-    return rows.mapInArrow(run, schema_of(rows, cols, "ids array<int>"))
+    return rows.mapInArrow(run, schema_of(rows, cols, "ids array<int>" + ", decoded binary" * back))
 
 
 def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", keep: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
@@ -265,16 +275,15 @@ def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", keep: tuple[str
         token = token_bytes(path).__getitem__
         for b in batches:
             ids = b.column(len(cols))
-            flat, at = ids.values.to_numpy(), ids.offsets.to_numpy()
-            out = [b"".join(map(token, flat[i:j].tolist())) for i, j in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*cols, "ids", "decoded"])
+            out = decoded(ids.values.to_numpy(), ids.offsets.to_numpy(), token)
+            yield pa.RecordBatch.from_arrays([*b.columns, out], names=[*cols, "ids", "decoded"])
 
     return rows.mapInArrow(run, schema_of(rows, cols, "ids array<int>, decoded binary"))
 
 
 def op9_bpe(spark, sf_dir):
     """Encode and decode all documents, as digests."""
-    out = decode(encode(table(spark, sf_dir, "documents", "doc_id", "text")))
+    out = encode(table(spark, sf_dir, "documents", "doc_id", "text"), back=True)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -47,7 +47,7 @@ BLOCK = 512
 #: DivideSkip's weight of a probe against a merged entry.
 MU = 1.0
 #: Bytes of text that are hashed at once.
-BYTES_AT_ONCE = 4_000_000
+BYTES_AT_ONCE = 1_000_000
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
