@@ -392,3 +392,31 @@ def test_rules_reject_junk_and_keep_the_rest(spark):
     assert rules and rejected[truth].mean() >= 0.95 and rejected[~truth].mean() <= 0.005
     shares = spark.createDataFrame([tuple(map(float, r)) for r in x[:200]], ", ".join(f"{n} double" for n, _, _ in quality_rules.SHARES))
     assert quality_rules.learn(x[:0], bad[:0]) == [] and shares.count() == min(200, len(x))
+
+
+def test_wrapped_headers_are_found(spark):
+    """Hard-wrapped headers with comment marks, owners and code around them, not copies of the notices; common cue lines weigh little."""
+    gpl = """{0} frobnicate.c - turn knobs
+{0} Copyright (C) 2011, 2014 Jane Doe
+{0}
+{0} This {1} is free software; you can redistribute it and/or modify it under
+{0} the terms of the GNU {2} as published by the Free
+{0} Software Foundation; either version {3} of the License, or (at your
+{0} option) any later version.
+{0}
+{0} It is distributed in the hope that it will be useful, but WITHOUT ANY
+{0} WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
+{0} FOR A PARTICULAR PURPOSE.  See the GNU {2} for more details.
+x = {3}9
+"""
+    isc = "/*\n * Copyright (c) 2009 J. Doe\n *\n * Permission to use, copy, modify, and distribute this software for\n * any purpose with or without fee is hereby\n * granted, provided that the above notices appear.\n */\nint x;"
+    mpl = "// This Source Code Form is subject to the terms of\n// the Mozilla Public License, v. 2.0. If a copy of\n// the MPL was not distributed with this file, You can\n// obtain one at http://mozilla.org/MPL/2.0/.\nint y;"
+    mit = "# Permission is hereby\n# granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation\n# files (the Software), to deal in it without restriction\nz = 1"
+    want = [("GPL-2.0", gpl.format("#", "program", "General Public License", "2")), ("GPL-3.0", gpl.format("//", "program", "General Public License", "3")),
+            ("LGPL-2.1", gpl.format(" *", "library", "Lesser General Public License", "2.1")), ("AGPL-3.0", gpl.format("--", "program", "Affero General Public License", "3")),
+            ("MPL-2.0", mpl), ("ISC", isc), ("MIT", mit), (None, "# See the GNU General Public License for more details.\n"), (None, "# GNU GENERAL PUBLIC LICENSE\n")]
+    lines = ["Licensed under the Apache License, Version 2.0."] * 160 + ["Released under the MIT License."] * 100 + ["All rights reserved."] * 70 + [
+        "This work is licensed under the GNU General Public License, version 3."] * 90
+    rows = [(i, f"{i}/x", t) for i, (_, t) in enumerate(want)] + [(i + 100, f"{i + 100}/x", t) for i, t in enumerate(lines)]
+    got = {r["id"]: r["license"] for r in license_scan.scan(spark.createDataFrame(rows, "id long, p string, t string"), "id", "p", "t").collect()}
+    assert [got[i] for i in range(len(want))] == [x for x, _ in want]

@@ -1,8 +1,10 @@
 """Licences of files, in DataFrame operations only.
 
-Header lines (lines with a licence cue) and whole licence files are compared
-with notices of known licences by the cosine of sparse TF-IDF vectors; terms
-are weighted by their frequency over all headers and files of the corpus. A
+Headers (comment blocks, paragraphs and runs of lines around a licence cue,
+without comment marks) and whole licence files are compared with the standard
+headers of known licences by the cosine of sparse TF-IDF vectors; terms are
+weighted by their frequency over all headers and files of the corpus. A text
+must also name what tells a licence from its likes (version, clause). A
 file without a licence of its own takes that of the licence file in its
 nearest ancestor directory, found by joining the directories' ancestor paths.
 
@@ -19,44 +21,137 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workpulse.llm.common import ascii_lower, stage, table
 
 THRESHOLD = 0.6
-CUE = r"(?i)licen[cs]e|spdx-|permission is hereby granted|redistribution and use|public domain|all rights reserved"
 LICENCE_FILE = r"(?i)(?:^|/)(?:licen[cs]e|copying|unlicense|notice)(?:[._-][^/]*)?$"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: What a comment puts before its lines, and a run of such lines (possessive, so that long runs need no deep recursion).
+MARK = r"(?:/\*+|\*+/|\*+|//+|#+|;+|--+|%+|<!--|-->|\"{3}|'{3}|dnl\b|REM\b)"
+LEADER = rf"(?m)^[ \t]*+(?:{MARK}[ \t]*+)*+"
+COMMENT = rf"(?m)(?:^[ \t]*+{MARK}[^\n]*+(?:\n|\z))++"
+#: Lines on each side of a cue that are compared with it, and the length from which a line is cut to sentences.
+AROUND = (0, 1, 3, 9, 27)
+LONG_LINE = 200
+
+
+def gnu(work: str, name: str, version: str) -> list[str]:
+    """The standard header of a GNU licence: its grant alone, whole, and for one version only."""
+    stop = ";" if version.startswith("2") else ":"
+    grant = f"This {work} is free software{stop} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation"
+    rest = (f"This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+            f"FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. You should have received a copy of the GNU {name} along with this {work}")
+    rest += "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA." if version.startswith("2") else ". If not, see <https://www.gnu.org/licenses/>."
+    later = f"{grant}{';' if version.startswith('2') else ','} either version {version} of the License, or (at your option) any later version."
+    only = f"{grant}, version {version} of the License."
+    return [later, f"{later} {rest}", only, f"{only} {rest}",
+            f"This {work} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} version {version} as published by the Free Software Foundation."]
+
+
+NO_WARRANTY = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+               "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+               "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+BSD_TWO = (": 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form "
+           "must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+           "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+           "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+           "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+           "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+MIT_REST = (" (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+            "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:")
+ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+APACHE_GRANT = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
 
-#: Fixed: notices as the licences' own texts tell to place them, and common short forms.
+#: Fixed: the licences' standard headers as their own texts tell to place them, the texts of the short licences, and common short forms.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("Apache-2.0", APACHE_GRANT),
+    ("Apache-2.0", APACHE_GRANT + " You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
+     "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+     "governing permissions and limitations under the License."),
+    ("Apache-2.0", "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information "
+     "regarding copyright ownership. The ASF licenses this file to You under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MIT", MIT_GRANT),
+    ("MIT", MIT_GRANT + MIT_REST),
+    ("MIT", f"{MIT_GRANT}{MIT_REST} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {NO_WARRANTY}"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3 or later."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    *[("GPL-3.0", x) for x in gnu("program", "General Public License", "3")],
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    *[("GPL-2.0", x) for x in gnu("program", "General Public License", "2")],
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    *[("LGPL-3.0", x) for x in gnu("library", "Lesser General Public License", "3")],
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    *[("LGPL-2.1", x) for x in gnu("library", "Lesser General Public License", "2.1")],
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
+    *[("AGPL-3.0", x) for x in gnu("program", "Affero General Public License", "3")],
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD-3-Clause", BSD_GRANT),
+    ("BSD-3-Clause", BSD_GRANT + BSD_TWO + BSD_THIRD + BSD_END),
+    ("BSD-2-Clause", BSD_GRANT + BSD_TWO + BSD_END),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
+     "https://mozilla.org/MPL/2.0/."),
+    ("ISC", ISC_GRANT),
+    ("ISC", ISC_GRANT + ", provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES "
+     "WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+     "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+     "THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and dedicated this work to the public domain."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is "
+     "distributed without any warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+     "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software "
+     "dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. "
+     "We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. " + NO_WARRANTY
+     + " For more information, please refer to <https://unlicense.org/>"),
 ]
 
+#: What a text must name besides being similar: licences that share their wording differ in a name, a number or a clause.
+MUST = {
+    "Apache-2.0": "(?=.*apache)(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))", "MIT": r"\bmit\b|hereby\s+granted,\s+free\s+of\s+charge",
+    "GPL-3.0": "(?=.*(?:general|gpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))", "GPL-2.0": "(?=.*(?:general|gpl))(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))",
+    "LGPL-3.0": "(?=.*(?:lesser|lgpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))", "LGPL-2.1": "(?=.*(?:lesser|lgpl))(?=.*(?<![0-9.])2[.]1(?![0-9]))",
+    "AGPL-3.0": "(?=.*(?:affero|agpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))",
+    "BSD-3-Clause": r"bsd|neither\s+the\s+name|names?\s+of", "BSD-2-Clause": r"redistribution(?!.*neither\s+the\s+name)",
+    "MPL-2.0": "(?=.*(?:mozilla|mpl))(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))", "ISC": r"\bisc\b|with\s+or\s+without\s+fee",
+    "CC-BY-4.0": "(?=.*(?:attribution|by))(?=.*4[.]0)(?!.*(?:-nc|-sa|-nd|noncommercial|sharealike|noderiv))",
+    "CC-BY-SA-4.0": "(?=.*4[.]0)(?=.*(?:-sa|sharealike))(?!.*(?:-nc|noncommercial))", "CC-BY-NC-4.0": "(?=.*4[.]0)(?=.*(?:-nc|noncommercial))(?!.*(?:-sa|-nd|sharealike|noderiv))",
+    "CC0-1.0": r"cc0|waived|dedicated", "Unlicense": "unencumbered|unlicense",
+}
+
+
+#: Words of the notices that any prose may have; no cues.
+EVERYDAY = frozenset("associated charge damages derived distribute distribution following included performance permitted portions possible products provided related released "
+                     "restriction software substantial written worldwide whatsoever modification limitation conditions documentation materials".split())
+
+
+def cue() -> str:
+    """Words that a header has: the licence's own word, and for notices without it their three terms that the fewest notices hold."""
+    held = [set(re.findall(TERM, text.lower())) for _, text in NOTICES]
+    rarest = {w for ws in held if not any(re.match("licen[cs]e", w) for w in ws)
+              for w in sorted((w for w in ws if len(w) > 5 and w not in EVERYDAY), key=lambda w: (sum(w in x for x in held), -len(w), w))[:3]}
+    return r"(?i)licen[cs]e|spdx-|public\s+domain|all\s+rights\s+reserved|\b(?:" + "|".join(sorted(map(re.escape, rarest))) + r")\b"
+
+
+CUE = cue()
+
 
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(TERM), F.lit(0))
@@ -67,8 +162,11 @@ def parent(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def score(units: DataFrame, threshold: float) -> DataFrame:
-    """``units`` (unit text, holders) -> unit, license, similarity of its best notice, where that is enough."""
+def score(units: DataFrame, threshold: float, named: bool = False) -> DataFrame:
+    """``units`` (unit text, holders) -> unit, license, similarity of its best notice, where that is enough.
+
+    ``named``: only of notices whose licence the unit names (``MUST``).
+    """
     spark = units.sparkSession
     notices = spark.createDataFrame([(-1 - i, name, text) for i, (name, text) in enumerate(NOTICES)], "id long, license string, text string")
     units = units.select(F.xxhash64("unit").alias("id"), "unit", "holders")
@@ -87,21 +185,50 @@ def score(units: DataFrame, threshold: float) -> DataFrame:
         F.col("id").alias("notice"), "license", "term", (F.col("w") / F.col("norm")).alias("nw"))
     dots = (weighted.join(units.select("id"), "id", "left_semi").join(F.broadcast(notice), "term")
             .groupBy("id", "notice", "license").agg(F.sum(F.col("w") * F.col("nw")).alias("dot")))
-    best = (dots.join(norms, "id").withColumn("similarity", F.least(F.lit(1.0), F.round(F.col("dot") / F.col("norm"), 9)))
-            .groupBy("id").agg(F.max_by(F.struct("license", "similarity"), F.struct("similarity", "notice")).alias("b")))
-    return (units.join(best, "id").where(F.col("b.similarity") >= threshold)
+    alike = dots.join(norms, "id").withColumn("similarity", F.least(F.lit(1.0), F.round(F.col("dot") / F.col("norm"), 9))).where(F.col("similarity") >= threshold)
+    if named:
+        must = spark.createDataFrame(list(MUST.items()), "license string, must string")
+        alike = (alike.join(F.broadcast(must), "license").join(units.select("id", "unit"), "id")
+                 .where(F.regexp_like(ascii_lower(F.col("unit")), F.concat(F.lit("(?s)"), "must"))))
+    best = (alike.groupBy("id").agg(F.max_by(F.struct("license", "similarity"), F.struct("similarity", "notice")).alias("b")))
+    return (units.join(best, "id")
             .select("unit", F.col("b.license").alias("license"), F.col("b.similarity").alias("similarity")))
 
 
+def units(files: DataFrame) -> DataFrame:
+    """id, path, named and unit of ``files`` (id, path, text, named): what is compared with the notices.
+
+    A licence file whole; and in every file, where they hold a cue: its
+    comment blocks, their paragraphs and the text's, the runs of lines around
+    a cue's line, and sentences of long lines; all without comment marks.
+    """
+    def has(x: Column) -> Column:
+        return x.rlike(CUE)
+
+    def paragraphs(x: Column) -> Column:
+        return F.split(x, r"\n\s*\n", -1)
+
+    # Behind generators, so that lambdas read these columns and do not make them again.
+    made = files.select("*", F.explode(F.array(F.regexp_replace("text", LEADER, ""))).alias("bare"))
+    comments = F.transform(F.filter(F.regexp_extract_all("text", F.lit(COMMENT), F.lit(0)), has), lambda x: F.regexp_replace(x, LEADER, ""))
+    made = made.select("*", F.inline(F.array(F.struct(F.split("bare", r"\r?\n", -1).alias("lines"), comments.alias("comments")))))
+    spots = F.filter(F.transform("lines", lambda x, i: F.when(has(x), i + 1)), lambda i: i.isNotNull())
+    made = made.select("*", F.explode(F.array(spots)).alias("spots"))
+    around = F.flatten(F.transform("spots", lambda i: F.array(*[
+        F.array_join(F.slice("lines", F.greatest(i - r, F.lit(1)), i + r + 1 - F.greatest(i - r, F.lit(1))), "\n") for r in AROUND])))
+    long = F.flatten(F.transform(F.filter("lines", lambda x: (F.length(x) > LONG_LINE) & has(x)), lambda x: F.split(x, r"(?<=[.!?;])\s+", -1)))
+    blocks = F.concat(F.filter(paragraphs(F.col("bare")), has), "comments", F.filter(F.flatten(F.transform("comments", paragraphs)), has), around, F.filter(long, has))
+    found = F.array_distinct(F.when(F.col("named"), F.concat(F.array("text"), blocks)).otherwise(blocks))
+    return made.select("id", "path", "named", F.explode(found).alias("unit"))
+
+
 def scan(files: DataFrame, key: str, path: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
     """key, path, license, similarity, origin (header, file, inherited or null) and from_path of every row."""
     rows = files.select(F.col(key).alias("id"), F.col(path).alias("path"), F.col(text).alias("text"))
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
-    cues = F.filter(F.split(F.col("text"), "\n", -1), lambda x: x.rlike(CUE))
-    found = F.when(named, F.concat(F.array("text"), cues)).when(F.col("text").rlike(CUE), cues)
-    heads = stage(rows.where("text IS NOT NULL").select("id", "path", named.alias("named"), F.explode_outer(found).alias("unit"))
-                  .where("unit IS NOT NULL").select("id", "path", "named", F.btrim("unit").alias("unit")).distinct(), "heads")
-    scored = score(heads.groupBy("unit").agg(F.count("*").alias("holders")), threshold)
+    marked = rows.where("text IS NOT NULL").select("id", "path", "text", named.alias("named")).where(F.col("named") | F.col("text").rlike(CUE))
+    heads = stage(units(marked).select("id", "path", "named", F.btrim("unit").alias("unit")).distinct(), "heads")
+    scored = score(heads.groupBy("unit").agg(F.count("*").alias("holders")), threshold, named=True)
     own = stage(heads.join(scored, "unit").groupBy("id", "path", "named").agg(
         F.max_by(F.struct("license", "similarity"), F.struct("similarity", "license")).alias("b"))
         .select("id", "path", "named", "b.license", "b.similarity"), "own")
