@@ -420,3 +420,21 @@ x = {3}9
     rows = [(i, f"{i}/x", t) for i, (_, t) in enumerate(want)] + [(i + 100, f"{i + 100}/x", t) for i, t in enumerate(lines)]
     got = {r["id"]: r["license"] for r in license_scan.scan(spark.createDataFrame(rows, "id long, p string, t string"), "id", "p", "t").collect()}
     assert [got[i] for i in range(len(want))] == [x for x, _ in want]
+
+
+def test_whole_licence_files_and_tags(spark):
+    """Whole texts and their titles, and SPDX tags listed or not, beside many copies of a few cue lines."""
+    full = dict(license_scan.FULL)
+    changed = lambda name: "Copyright 2020 Some Owner, see also the file AUTHORS\n\n" + full[name].replace("  ", " ").replace("Everyone", "Anyone")
+    title = "\n          GNU GENERAL PUBLIC LICENSE\n             Version 2, June 1991\n"
+    want = [(n, f"{n}/LICENSE", changed(n)) for n in sorted(full)]
+    want += [(None, "t/COPYING", "GNU GENERAL PUBLIC LICENSE"), ("GPL-2.0-or-later", "a.c", "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;"),
+             ("LGPL-2.1-or-later", "b.c", "/* SPDX-License-Identifier: LGPL-2.1-or-later */"), ("BSD-2-Clause", "c.c", "# spdx-license-identifier: BSD-2-Clause"),
+             ("MIT", "d.c", "# SPDX-License-Identifier: mit"), ("GPL-3.0", "e.c", "SPDX-License-Identifier: GPL-3.0-or-later"),
+             ("(MIT OR Apache-2.0)", "f.c", "SPDX-License-Identifier: (MIT OR Apache-2.0)."), ("Zlib", "g.c", "SPDX-License-Identifier: Zlib and more"),
+             ("GPL-2.0", "u/COPYING", title + full["GPL-2.0"][300:])]
+    lines = ["Licensed under the Apache License, Version 2.0."] * 160 + ["Released under the MIT License."] * 100 + ["All rights reserved."] * 70 + [
+        "This work is licensed under the GNU General Public License, version 3."] * 90
+    rows = [(i, p, t) for i, (_, p, t) in enumerate(want)] + [(i + 100, f"{i + 100}/x", t) for i, t in enumerate(lines)]
+    got = {r["id"]: r["license"] for r in license_scan.scan(spark.createDataFrame(rows, "id long, p string, t string"), "id", "p", "t").collect()}
+    assert [got[i] for i in range(len(want))] == [x[0] for x in want]

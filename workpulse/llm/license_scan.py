@@ -22,6 +22,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,6 +109,9 @@ NOTICES = [
      "THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
@@ -126,7 +130,7 @@ NOTICES = [
 #: What a text must name besides being similar: licences that share their wording differ in a name, a number or a clause.
 MUST = {
     "Apache-2.0": "(?=.*apache)(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))", "MIT": r"\bmit\b|hereby\s+granted,\s+free\s+of\s+charge",
-    "GPL-3.0": "(?=.*(?:general|gpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))", "GPL-2.0": "(?=.*(?:general|gpl))(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))",
+    "GPL-3.0": "(?!.{0,300}(?:affero|lesser|library general))(?=.*(?:general|gpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))", "GPL-2.0": "(?!.{0,300}(?:affero|lesser|library general))(?=.*(?:general|gpl))(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))",
     "LGPL-3.0": "(?=.*(?:lesser|lgpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))", "LGPL-2.1": "(?=.*(?:lesser|lgpl))(?=.*(?<![0-9.])2[.]1(?![0-9]))",
     "AGPL-3.0": "(?=.*(?:affero|agpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))",
     "BSD-3-Clause": r"bsd|neither\s+the\s+name|names?\s+of", "BSD-2-Clause": r"redistribution(?!.*neither\s+the\s+name)",
@@ -139,7 +143,7 @@ MUST = {
 
 #: Words of the notices that any prose may have; no cues.
 EVERYDAY = frozenset("associated charge damages derived distribute distribution following included performance permitted portions possible products provided related released "
-                     "restriction software substantial written worldwide whatsoever modification limitation conditions documentation materials".split())
+                     "binary domain person persons promote public resulting source extent without author appear permit restriction software substantial written worldwide whatsoever modification limitation conditions documentation materials".split())
 
 
 def cue() -> str:
@@ -152,6 +156,21 @@ def cue() -> str:
 
 CUE = cue()
 
+#: Whole texts of the long licences, and how like one of them a text must be: any two long English texts share their common words.
+WHOLE = 0.95
+FULL = [(f.stem, f.read_text(encoding="utf-8")) for f in sorted(Path(__file__).with_name("licences").glob("*.txt"))]
+#: Sections 13 set the GNU Affero licence apart from the GPL, whose text it has otherwise.
+FULL += [("AGPL-3.0", re.sub(r"GNU\s+GENERAL\s+PUBLIC", "GNU Affero General Public", text.replace("GNU Affero General Public", "GNU General Public"), flags=re.I)
+          + " Remote Network Interaction; if you modify the Program, your modified version must prominently offer all users interacting with it remotely through a computer network "
+            "an opportunity to receive the Corresponding Source of your version by providing access to the Corresponding Source from a network server at no charge.")
+         for name, text in FULL if name == "GPL-3.0"]
+NOTICES += FULL
+
+#: An SPDX tag's expression, and the identifiers that have another name here; any other one is reported as it stands.
+IDENTIFIER = r"\(*[A-Za-z0-9]+(?:[.:-][A-Za-z0-9]+)*\+?\)*"
+SPDX = rf"(?i:SPDX-License-Identifier):[ \t]*({IDENTIFIER}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{IDENTIFIER})*)"
+IDENTIFIERS = {**{name.lower(): name for name, _ in NOTICES}, "gpl-3.0-or-later": "GPL-3.0", "gpl-2.0-only": "GPL-2.0"}
+
 
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(TERM), F.lit(0))
@@ -187,6 +206,7 @@ def score(units: DataFrame, threshold: float, named: bool = False) -> DataFrame:
             .groupBy("id", "notice", "license").agg(F.sum(F.col("w") * F.col("nw")).alias("dot")))
     alike = dots.join(norms, "id").withColumn("similarity", F.least(F.lit(1.0), F.round(F.col("dot") / F.col("norm"), 9))).where(F.col("similarity") >= threshold)
     if named:
+        alike = alike.where((F.col("notice") > -1 - (len(NOTICES) - len(FULL))) | (F.col("similarity") >= max(threshold, WHOLE)))
         must = spark.createDataFrame(list(MUST.items()), "license string, must string")
         alike = (alike.join(F.broadcast(must), "license").join(units.select("id", "unit"), "id")
                  .where(F.regexp_like(ascii_lower(F.col("unit")), F.concat(F.lit("(?s)"), "must"))))
@@ -196,7 +216,7 @@ def score(units: DataFrame, threshold: float, named: bool = False) -> DataFrame:
 
 
 def units(files: DataFrame) -> DataFrame:
-    """id, path, named and unit of ``files`` (id, path, text, named): what is compared with the notices.
+    """id, path, named, unit and whether it is a whole licence file, of ``files`` (id, path, text, named): what is compared with the notices.
 
     A licence file whole; and in every file, where they hold a cue: its
     comment blocks, their paragraphs and the text's, the runs of lines around
@@ -218,8 +238,9 @@ def units(files: DataFrame) -> DataFrame:
         F.array_join(F.slice("lines", F.greatest(i - r, F.lit(1)), i + r + 1 - F.greatest(i - r, F.lit(1))), "\n") for r in AROUND])))
     long = F.flatten(F.transform(F.filter("lines", lambda x: (F.length(x) > LONG_LINE) & has(x)), lambda x: F.split(x, r"(?<=[.!?;])\s+", -1)))
     blocks = F.concat(F.filter(paragraphs(F.col("bare")), has), "comments", F.filter(F.flatten(F.transform("comments", paragraphs)), has), around, F.filter(long, has))
-    found = F.array_distinct(F.when(F.col("named"), F.concat(F.array("text"), blocks)).otherwise(blocks))
-    return made.select("id", "path", "named", F.explode(found).alias("unit"))
+    parts = F.transform(F.array_distinct(blocks), lambda x: F.struct(x.alias("unit"), F.lit(False).alias("whole")))
+    whole = F.array(F.struct(F.col("text").alias("unit"), F.lit(True).alias("whole")))
+    return made.select("id", "path", "named", F.inline(F.when(F.col("named"), F.concat(whole, parts)).otherwise(parts)))
 
 
 def scan(files: DataFrame, key: str, path: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
@@ -227,10 +248,16 @@ def scan(files: DataFrame, key: str, path: str, text: str, threshold: float = TH
     rows = files.select(F.col(key).alias("id"), F.col(path).alias("path"), F.col(text).alias("text"))
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     marked = rows.where("text IS NOT NULL").select("id", "path", "text", named.alias("named")).where(F.col("named") | F.col("text").rlike(CUE))
-    heads = stage(units(marked).select("id", "path", "named", F.btrim("unit").alias("unit")).distinct(), "heads")
+    prose = marked.withColumn("text", F.regexp_replace("text", SPDX, " "))
+    heads = stage(units(prose).select("id", "path", "named", "whole", F.btrim("unit").alias("unit")).distinct(), "heads")
     scored = score(heads.groupBy("unit").agg(F.count("*").alias("holders")), threshold, named=True)
-    own = stage(heads.join(scored, "unit").groupBy("id", "path", "named").agg(
-        F.max_by(F.struct("license", "similarity"), F.struct("similarity", "license")).alias("b"))
+    # A tag goes before a whole text, and that before its parts.
+    tag = F.regexp_extract("text", SPDX, 1)
+    listed = F.create_map(*[F.lit(x) for pair in IDENTIFIERS.items() for x in pair])
+    tagged = marked.where(tag != "").select("id", "path", "named", F.coalesce(listed[F.lower(tag)], tag).alias("license"), F.lit(1.0).alias("similarity"), F.lit(2).alias("rank"))
+    every = heads.join(scored, "unit").select("id", "path", "named", "license", "similarity", F.col("whole").cast("int").alias("rank")).unionByName(tagged)
+    own = stage(every.groupBy("id", "path", "named").agg(
+        F.max_by(F.struct("license", "similarity"), F.struct("rank", "similarity", "license")).alias("b"))
         .select("id", "path", "named", "b.license", "b.similarity"), "own")
 
     # Directories with a licence file, and each directory's nearest one upwards.
