@@ -438,3 +438,15 @@ def test_whole_licence_files_and_tags(spark):
     rows = [(i, p, t) for i, (_, p, t) in enumerate(want)] + [(i + 100, f"{i + 100}/x", t) for i, t in enumerate(lines)]
     got = {r["id"]: r["license"] for r in license_scan.scan(spark.createDataFrame(rows, "id long, p string, t string"), "id", "p", "t").collect()}
     assert [got[i] for i in range(len(want))] == [x[0] for x in want]
+
+
+def test_unrecognised_licence_file_is_the_nearest(spark):
+    """Files under a licence file of unknown terms do not take the licence of a farther one; blank ones and sources are no licence files."""
+    files = [("r/LICENSE", "Released under the MIT License."), ("r/a/LICENSE", "Our own terms: ask us first."), ("r/a/x.txt", "prose"), ("r/a/b/y.txt", None),
+             ("r/a/COPYING", "More terms of our own."), ("r/c/LICENSE", " \n"), ("r/c/z.txt", "prose"), ("r/d/license.py", "import this"), ("r/d/w.txt", "prose"),
+             ("r/a/b/h.txt", "Released under the MIT License."), ("r/NOTICE", "We thank all."), ("r/a/c/LICENSE", "Released under the MIT License."), ("r/a/c/v.txt", "")]
+    df = spark.createDataFrame([(i, *f) for i, f in enumerate(files)], "id long, p string, t string")
+    got = {r["id"]: (r["license"], r["origin"], r["from_path"]) for r in license_scan.scan(df, "id", "p", "t").collect()}
+    near, far = "r/a/COPYING", ("MIT", "inherited", "r/LICENSE")
+    assert got == {0: ("MIT", "file", "r/LICENSE"), 1: (None, "file", "r/a/LICENSE"), 2: (None, "inherited", near), 3: (None, "inherited", near), 4: (None, "file", near),
+                   5: far, 6: far, 7: far, 8: far, 9: ("MIT", "header", "r/a/b/h.txt"), 10: far, 11: ("MIT", "file", "r/a/c/LICENSE"), 12: ("MIT", "inherited", "r/a/c/LICENSE")}

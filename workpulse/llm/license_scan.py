@@ -12,7 +12,13 @@ Equal headers are scored once, however many files hold them. Ancestors are
 joined per directory, not per file. The notices are a fixed table and the only
 thing broadcast by name.
 
-Defined results: a null or empty text has no header; a file without path keeps
+A licence file in which no licence is recognised is the nearest one all the
+same: files below it get a null license, origin "inherited" and its path, and
+it has itself a null license, origin "file" and its own path.
+
+Defined results: a null or empty text has no header and is no licence file; a
+source file named like one (license.py) counts only if a licence is recognised
+in it; a file without path keeps
 its own licence and inherits nothing; of equally similar notices the first in
 ``NOTICES`` counts, of several licence files in a directory the most similar,
 then the smallest path; repeated rows each get the same result; an empty table
@@ -32,6 +38,8 @@ from workpulse.llm.common import ascii_lower, stage, table
 THRESHOLD = 0.6
 LICENCE_FILE = r"(?i)(?:^|/)(?:licen[cs]e|copying|unlicense|notice)(?:[._-][^/]*)?$"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: Sources whose names look like a licence file's; they speak for their directory only if a licence is recognised in them.
+CODE_FILE = r"(?i)[.](?:py|js|ts|jsx|tsx|java|go|c|h|cc|cpp|hpp|cs|rb|rs|php|pl|sh|sql|kt|swift|scala|css|json|ya?ml|xml)$"
 #: What a comment puts before its lines, and a run of such lines (possessive, so that long runs need no deep recursion).
 MARK = r"(?:/\*+|\*+/|\*+|//+|#+|;+|--+|%+|<!--|-->|\"{3}|'{3}|dnl\b|REM\b)"
 LEADER = rf"(?m)^[ \t]*+(?:{MARK}[ \t]*+)*+"
@@ -260,9 +268,12 @@ def scan(files: DataFrame, key: str, path: str, text: str, threshold: float = TH
         F.max_by(F.struct("license", "similarity"), F.struct("rank", "similarity", "license")).alias("b"))
         .select("id", "path", "named", "b.license", "b.similarity"), "own")
 
-    # Directories with a licence file, and each directory's nearest one upwards.
-    given = (own.where("named").groupBy(parent(F.col("path")).alias("dir"))
-             .agg(F.min(F.struct((-F.col("similarity")).alias("less"), "path", "license", "similarity")).alias("g")))
+    # Directories with a licence file, recognised or not, and each directory's nearest one upwards.
+    said = named & F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    files_of = rows.where(said).select("id", "path", F.col("path").rlike(CODE_FILE).alias("code")).distinct()
+    given = (files_of.alias("f").join(own.where("named").alias("o"), F.expr("f.id <=> o.id AND f.path = o.path"), "left")
+             .where("o.license IS NOT NULL OR NOT f.code").select("f.path", "license", "similarity").groupBy(parent(F.col("path")).alias("dir"))
+             .agg(F.min(F.struct((-F.coalesce("similarity", F.lit(0.0))).alias("less"), "path", "license", "similarity")).alias("g")))
     dirs = rows.where("path IS NOT NULL").select(parent(F.col("path")).alias("dir")).distinct()
     parts = F.split("dir", "/", -1)
     ups = F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), F.transform(
@@ -270,15 +281,16 @@ def scan(files: DataFrame, key: str, path: str, text: str, threshold: float = TH
     near = (dirs.select("dir", F.explode(F.array_distinct(ups)).alias("up")).join(given.withColumnRenamed("dir", "up"), "up")
             .groupBy("dir").agg(F.max_by("g", F.length("up")).alias("g")))
 
-    mine = rows.select("id", "path", parent(F.col("path")).alias("dir"))
+    mine = rows.select("id", "path", parent(F.col("path")).alias("dir"), (said & ~F.col("path").rlike(CODE_FILE)).alias("file"))
     out = (mine.alias("m").join(own.alias("o"), F.expr("m.id <=> o.id AND m.path <=> o.path"), "left")
            .select("m.*", "o.named", "o.license", "o.similarity").join(near, "dir", "left"))
     has = F.col("license").isNotNull()
+    itself = ~has & F.col("file") & F.col("g.license").isNull()
     return out.select(
         F.col("id").alias(key), F.col("path").alias(path), F.coalesce("license", "g.license").alias("license"),
         F.coalesce("similarity", "g.similarity").alias("similarity"),
-        F.when(has & F.col("named"), "file").when(has, "header").when(F.col("g").isNotNull(), "inherited").alias("origin"),
-        F.when(has, F.col("path")).otherwise(F.col("g.path")).alias("from_path"))
+        F.when((has & F.col("named")) | itself, "file").when(has, "header").when(F.col("g").isNotNull(), "inherited").alias("origin"),
+        F.when(has | itself, F.col("path")).otherwise(F.col("g.path")).alias("from_path"))
 
 
 def tree(docs: DataFrame) -> DataFrame:
