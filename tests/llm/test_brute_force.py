@@ -450,3 +450,14 @@ def test_unrecognised_licence_file_is_the_nearest(spark):
     near, far = "r/a/COPYING", ("MIT", "inherited", "r/LICENSE")
     assert got == {0: ("MIT", "file", "r/LICENSE"), 1: (None, "file", "r/a/LICENSE"), 2: (None, "inherited", near), 3: (None, "inherited", near), 4: (None, "file", near),
                    5: far, 6: far, 7: far, 8: far, 9: ("MIT", "header", "r/a/b/h.txt"), 10: far, 11: ("MIT", "file", "r/a/c/LICENSE"), 12: ("MIT", "inherited", "r/a/c/LICENSE")}
+
+
+def test_repeated_and_missing_ids_keep_their_links(spark):
+    """Two texts of one id with equally many shingles each link with their own near copy, and a chain runs through a row without id."""
+    def near(tag, *changed):
+        return " ".join(f"{tag}{'x' if i in changed else ''}{i}" for i in range(60))
+    docs = [(5, near("a")), (5, near("b")), (7, near("a", 59)), (8, near("b", 59)),
+            (21, near("c")), (None, near("c", 59)), (23, near("c", 0, 1, 59)), (None, near("d"))]
+    got = [(x["doc_id"], x["component_id"], x["n_links"]) for x in ngram_join.join(
+        spark.createDataFrame(docs, "doc_id long, text string"), width=4, percent=92).collect()]
+    assert sorted(got, key=str) == sorted([(5, 5, 1), (5, 5, 1), (7, 5, 1), (8, 5, 1), (21, 21, 1), (None, 21, 2), (23, 21, 1), (None, None, 0)], key=str)

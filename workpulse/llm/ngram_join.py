@@ -4,7 +4,8 @@ Documents are sets of hashed word shingles. Two sets of a and b shingles link
 at a Jaccard similarity of t exactly if they share at least
 T = ceil(t (a + b) / (1 + t)) of them.
 
-1. Equal sets become one class, held by its smallest document id.
+1. Equal sets become one class with a number of its own (document ids may
+   repeat or be null); document ids come back in at the end.
 2. Most classes cannot link: a set of n shingles with more than n - ceil(t n)
    that no other set holds is out. This is counted over all sets, on the
    shingles whose hash lies in a fixed part of the hash range (the same part
@@ -25,8 +26,8 @@ Shingles are 64-bit hashes; a chance collision can move one overlap by one.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; equal sets are linked; a row without id gets the
-component of its set's ids, or null; rows that repeat an id with another text
-count as linked; an empty table gives an empty result; other columns are not
+smallest id that its set's links reach, or null; the texts of a repeated id
+are searched one by one and are one component; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -49,6 +50,9 @@ MU = 1.0
 #: Bytes of text that are hashed at once.
 BYTES_AT_ONCE = 1_000_000
 
+#: Stands for the smallest id of a set whose rows have none; behind all others.
+NO_ID = 2**63 - 1
+
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -160,18 +164,30 @@ def part_postings(docs: DataFrame, width: int, part: float) -> DataFrame:
 
 
 def sets(docs: DataFrame, width: int) -> DataFrame:
-    """(cls, n, copies, hashes) of rows (doc_id, text, s1, copies) whose text has the signature s1."""
+    """(cls, first, n, copies, hashes) of rows (text, cls, first, n, s1, s2, copies) whose text has the signature n, s1, s2."""
     def run(batches):
         for b in batches:
-            for first, rows, h, n in hashed(b, 1, width):
-                s1, _ = signatures(h, n)
-                right = s1 == b.column(2).slice(first, rows).to_numpy()
+            for first, rows, h, n in hashed(b, 0, width):
+                s1, s2 = signatures(h, n)
+                cls, least, *named, copies = (b.column(i).slice(first, rows) for i in range(1, 7))
+                right = (n == named[0].to_numpy()) & (s1 == named[1].to_numpy()) & (s2 == named[2].to_numpy())
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                out = pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, rows), pa.array(n.astype(np.int64)), b.column(3).slice(first, rows),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))], names=["cls", "n", "copies", "hashes"])
+                out = pa.RecordBatch.from_arrays([cls, least, pa.array(n.astype(np.int64)), copies, pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))],
+                                                 names=["cls", "first", "n", "copies", "hashes"])
                 yield out.filter(pa.array(right))
-    return docs.mapInArrow(run, "cls long, n long, copies long, hashes array<long>")
+    return docs.mapInArrow(run, "cls long, first long, n long, copies long, hashes array<long>")
+
+
+def signed_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(n, s1, s2, hashes) of every row of ``docs`` (text): for rows that no id leads to."""
+    def run(batches):
+        for b in batches:
+            for _, _, h, n in hashed(b, 0, width):
+                s1, s2 = signatures(h, n)
+                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))],
+                                                 names=["n", "s1", "s2", "hashes"])
+    return docs.mapInArrow(run, "n long, s1 long, s2 long, hashes array<long>")
 
 
 def divide_skip(queries: list[np.ndarray], indexed: list[np.ndarray], percent: int, same: bool) -> list[tuple[int, np.ndarray]]:
@@ -216,10 +232,10 @@ def divide_skip(queries: list[np.ndarray], indexed: list[np.ndarray], percent: i
 
 
 def search(percent: int):
-    """The links inside a block, or between two: (cls, other, links) per set that has any."""
+    """The links inside a block, or between two: (cls, first, other, other_first, links) per set that has any."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["cls", "n"]).sort_values(["n", "cls"], kind="stable")
-        cls, copies = rows["cls"].to_numpy(), rows["copies"].to_numpy()
+        rows = rows.drop_duplicates("cls").sort_values(["n", "cls"], kind="stable")
+        cls, first, copies = rows["cls"].to_numpy(), rows["first"].to_numpy(), rows["copies"].to_numpy()
         hashes = [np.asarray(x) for x in rows["hashes"]]
         across = key[1] != key[2]
         left = np.flatnonzero(rows["block"].to_numpy() == key[1])
@@ -242,7 +258,8 @@ def search(percent: int):
                 if x != y:
                     up[max(x, y, key=lambda z: cls[z])] = min(x, y, key=lambda z: cls[z])
         has = np.flatnonzero(links)
-        return pd.DataFrame({"cls": cls[has], "other": cls[[root(i) for i in has.tolist()]] if len(has) else cls[:0], "links": links[has]})
+        to = np.array([root(i) for i in has.tolist()], dtype=np.int64)
+        return pd.DataFrame({"cls": cls[has], "first": first[has], "other": cls[to], "other_first": first[to], "links": links[has]})
 
     return run
 
@@ -254,21 +271,27 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     """
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = stage(classify(docs, width), "classes")
-    classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("copies"))
+    classes = stage(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("first"), F.count("*").alias("copies"))
+                    .withColumn("cls", F.monotonically_increasing_id()), "numbers")
 
     # 2. Sets with enough shingles of their own are out.
     alone = (part_postings(docs, width, PART).groupBy("h").agg(F.min("s1").alias("s1"), F.max("s1").alias("last")).where("s1 = last")
              .groupBy("s1").agg(F.count("*").alias("own")))
     prefix = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
-    left = stage(classes.where("cls IS NOT NULL").join(alone, "s1", "left").where(F.coalesce("own", F.lit(0)) < prefix)
-                 .select("cls", "s1", "copies"), "suspects")
-    kept = stage(sets(docs.join(small_ids(left), docs.doc_id == left.cls).select("doc_id", "text", "s1", "copies"), width), "sets")
+    left = stage(classes.join(alone, "s1", "left").where(F.coalesce("own", F.lit(0)) < prefix)
+                 .select("cls", "first", "n", "s1", "s2", "copies"), "suspects")
+    known, nameless = left.where(F.col("first") != NO_ID), left.where(F.col("first") == NO_ID)
+    kept = sets(docs.join(small_ids(known), F.col("doc_id") == F.col("first")).select("text", "cls", "first", "n", "s1", "s2", "copies"), width)
+    if not nameless.isEmpty():
+        loose = signed_sets(docs.where("doc_id IS NULL").select("text"), width).join(small_ids(nameless), ["n", "s1", "s2"])
+        kept = kept.unionByName(loose.select(*kept.columns).dropDuplicates(["cls"]))
+    kept = stage(kept, "sets")
 
     # 3. First shingles from rare to frequent, and the groups of sets that meet through them.
     postings = kept.select("cls", "n", F.explode("hashes").alias("h"))
     often = postings.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     ranked = postings.join(often, "h").selectExpr(
-        "cls", "n", "h", "row_number() OVER (PARTITION BY cls, n ORDER BY df, h) AS at", "count(*) OVER (PARTITION BY cls, n) AS common")
+        "cls", "n", "h", "row_number() OVER (PARTITION BY cls ORDER BY df, h) AS at", "count(*) OVER (PARTITION BY cls) AS common")
     lists = stage(ranked.where(F.col("at") <= prefix - (F.col("n") - F.col("common"))).select("h", "cls"), "lists")
     hubs = lists.groupBy("h").agg(F.min("cls").alias("hub"))
     groups = connected_components(lists.join(hubs, "h").where("cls != hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct(),
@@ -284,16 +307,22 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         F.concat(F.lit("s"), F.pmod(F.xxhash64("component"), F.lit(together))))
     dealt = (kept.join(members, "cls").select("*", unit.alias("unit"), mine.alias("block"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("unit", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "cls", "n", "copies", "hashes"))
-    found = stage(dealt.groupBy("unit", "i", "j").applyInPandas(search(percent), "cls long, other long, links long"), "links")
-
-    # 5. Components of the links, and their documents.
-    component = connected_components(found.select(F.col("cls").alias("a"), F.col("other").alias("b")), "components")
+             .select("unit", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "cls", "first", "n", "copies", "hashes"))
+    found = stage(dealt.groupBy("unit", "i", "j").applyInPandas(search(percent), "cls long, first long, other long, other_first long, links long"), "links")
+
+    # 5. Components of the links and of repeated ids, by each set's smallest document id, and their documents.
+    edges = found.select(F.struct("first", "cls").alias("a"), F.struct(F.col("other_first").alias("first"), F.col("other").alias("cls")).alias("b"))
+    sign = F.struct("n", "s1", "s2")
+    again = stage(rows.where("doc_id IS NOT NULL AND n > 0").groupBy("doc_id").agg(F.min(sign).alias("lo"), F.max(sign).alias("hi")).where("lo != hi").select("doc_id"), "again")
+    if not again.isEmpty():
+        held = rows.join(again, "doc_id", "left_semi").join(classes, ["n", "s1", "s2"]).select("doc_id", F.struct("first", "cls").alias("a")).distinct()
+        edges = edges.unionByName(held.join(held.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b"))
+    component = connected_components(edges, "components").select(F.col("node.cls").alias("cls"), F.col("component.first").alias("component"))
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
-    classes = (classes.join(component, F.col("cls") == F.col("node"), "left").drop("node").join(links, "cls", "left")
-               .select("n", "s1", "s2", "cls", "copies", "component", "links"))
+    classes = classes.join(component, "cls", "left").join(links, "cls", "left").select(
+        "n", "s1", "s2", "copies", F.nullif(F.coalesce("component", "first"), F.lit(NO_ID)).alias("component"), "links")
     return (rows.join(classes, ["n", "s1", "s2"], "left").select(
-        F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "cls", "doc_id").alias("component_id"),
+        F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
         (F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))).cast("long").alias("n_links")))
 
 
