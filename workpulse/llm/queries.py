@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from workpulse.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, ngram_join, pii, quality_rules, sharding, token_counts
+from workpulse.llm import (bpe, decontaminate, hard_negatives, lang_id, license_scan, line_dedup, near_dedup, ngram_join, phrases, pii, quality_rules,
+                           sharding, token_counts)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,10 +16,16 @@ QUERIES = {
     "op5_license_scan": license_scan.op5_license_scan,
     "op9_bpe": bpe.op9_bpe,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_phrases": phrases.op12_phrases,
+    "op13_near_dedup": near_dedup.op13_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op6_ngram_join": ngram_join.OP6_SQL,
     "op8_winnowing": decontaminate.OP8_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op12_phrases": phrases.OP12_SQL,
+    "op13_near_dedup": near_dedup.OP13_SQL,
 }
