@@ -10,7 +10,8 @@ block and worker; the documents' ids are then put together from their words.
 
 Blocks are consecutive documents of a task, so nothing is shuffled, and a lost
 executor costs only its tasks. A block's memory is bounded by ``block_chars``
-plus one document; the words kept between blocks by ``KEPT_WORDS``.
+plus one document; the words kept between blocks by ``KEPT_WORDS``, of which
+the most used ones stay when they become too many.
 
 If a merge makes a pair of a lower rank than its own, the order inside that
 word is no longer that of the ranks; such words are encoded one merge at a
@@ -36,9 +37,9 @@ from pyspark.sql import functions as F
 from workpulse.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
-BLOCK_CHARS = 8_000_000
-#: Distinct words whose ids a worker keeps for later blocks.
-KEPT_WORDS = 300_000
+BLOCK_CHARS = 2_000_000
+#: Distinct words whose ids a worker keeps for later blocks; beyond, the most used ``STAYING`` of them stay.
+KEPT_WORDS, STAYING = 120_000, 40_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -181,12 +182,22 @@ class Encoder:
     def clear(self) -> None:
         self.vocab: dict[str, int] = defaultdict()
         self.vocab.default_factory = self.vocab.__len__
-        self.ids, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.first, self.count, self.used = (np.zeros(0, t) for t in (np.int32, np.int64, np.int32, np.int64))
+
+    def shrink(self, staying: int) -> None:
+        """Forget all words but those used most."""
+        order = np.sort(np.argsort(-self.used, kind="stable")[:staying])
+        words, ids, first, count, used = list(self.vocab), self.ids, self.first[order], self.count[order], self.used[order]
+        self.clear()
+        for i in order.tolist():
+            self.vocab[words[i]]
+        self.first, self.count, self.used = np.cumsum(count) - count, count, used
+        self.ids = ids[np.arange(int(count.sum())) + np.repeat(first - self.first, count)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids behind one another, and each text's number of ids."""
         if len(self.vocab) > self.kept:
-            self.clear()
+            self.shrink(min(self.kept, STAYING))
         known = len(self.vocab)
         number = self.vocab.__getitem__
         docs = [np.fromiter(map(number, self.words.findall(t)), dtype=np.int32) for t in texts]
@@ -194,10 +205,12 @@ class Encoder:
         if new:
             ids, count = self.replay.replay(new)
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
-            self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+            self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count.astype(np.int32)])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
         out = []
         for d in docs:
-            n = self.count[d]
+            np.add.at(self.used, d, 1)
+            n = self.count[d].astype(np.int64)
             ends = np.cumsum(n)
             out.append(self.ids[np.arange(ends[-1] if len(n) else 0) + np.repeat(self.first[d] - (ends - n), n)])
         return np.concatenate(out) if out else np.zeros(0, np.int32), np.array([len(x) for x in out], dtype=np.int64)
