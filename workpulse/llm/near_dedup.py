@@ -16,8 +16,9 @@
    only leader and members of other components are compared. A group of
    copies falls to one component after as many comparisons as it has members.
 5. What is still open then, i.e. a bucket with several components, is settled
-   by blocks: all pairs of members of unlike components are compared, each in
-   the first bucket the pair shares. No link is lost to a cap.
+   by blocks of the classes that meet in such buckets: pairs that share a band
+   and lie in unlike components are tested and verified in the task, which
+   answers only with links that join components. No link is lost to a cap.
 
 Shingles are 64-bit hashes; a chance collision can move one overlap by one.
 
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workpulse.llm.common import connected_components, small_ids, stage, table
-from workpulse.llm.ngram_join import hashed, signatures, signed_sets, sets
+from workpulse.llm.ngram_join import hashed, sets, signatures, signed_sets
 
 #: Hashes of a signature, of a band, and of a batch of the sequential test.
 HASHES, BAND, BATCH = 128, 4, 16
@@ -119,8 +120,8 @@ def signature_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(len(column), HASHES)
 
 
-def linked(pairs: DataFrame, classes: DataFrame, kept: DataFrame, percent: int, tested: bool = False) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the threshold; ``tested``: the sequential test is done."""
+def linked(pairs: DataFrame, classes: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the threshold, after the sequential test."""
     least = least_matches(percent)
 
     def prune(batches):
@@ -141,9 +142,8 @@ def linked(pairs: DataFrame, classes: DataFrame, kept: DataFrame, percent: int,
     def side(values: DataFrame, c: str, name: str) -> DataFrame:
         return values.select(F.col("cls").alias(c), F.col(name).alias(f"{name}_{c}"))
 
-    if not tested:
-        both = pairs.join(side(classes, "b", "sig"), "b").join(side(classes, "a", "sig"), "a")
-        pairs = stage(both.select("a", "b", "sig_a", "sig_b").mapInArrow(prune, "a long, b long"), "survivors")
+    both = pairs.join(side(classes, "b", "sig"), "b").join(side(classes, "a", "sig"), "a")
+    pairs = stage(both.select("a", "b", "sig_a", "sig_b").mapInArrow(prune, "a long, b long"), "survivors")
     both = pairs.join(side(kept, "b", "hashes"), "b").join(side(kept, "a", "hashes"), "a")
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(verify, "a long, b long")
 
@@ -159,36 +159,61 @@ def led(members: DataFrame, first: bool) -> DataFrame:
     return pairs.select(F.least("x", "cls").alias("a"), F.greatest("x", "cls").alias("b")).distinct()
 
 
-def crossed(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of unlike components in open buckets that the sequential test does not drop, by blocks."""
+def reach(q: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of ``others`` link with ``q`` (sorted hashes each)."""
+    size = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    hit = q[np.minimum(np.searchsorted(q, flat), len(q) - 1)] == flat
+    both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+    return np.flatnonzero(100 * both >= percent * (len(q) + size - both))
+
+
+def open_groups(members: DataFrame) -> DataFrame:
+    """(cls, comp, group, blocks) of the classes in open buckets; classes that meet, in some steps, share a group."""
+    opened = (members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cls").alias("hub")).where("lo != hi").select("bucket", "hub"))
+    meet = members.join(opened, "bucket")
+    groups = connected_components(meet.select(F.col("cls").alias("a"), F.col("hub").alias("b")), "meetings").withColumnsRenamed({"node": "cls", "component": "group"})
+    size = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    return meet.select("cls", "comp").distinct().join(groups, "cls").join(size, "group")
+
+
+def crossed(groups: DataFrame, suspects: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join all components with a link between them, by blocks of the groups.
+
+    A task compares the pairs of two blocks that share a band and lie in
+    unlike components, prunes them by the sequential test, verifies the rest
+    on the full sets, and answers with one link for each two components that it
+    joins: never with all pairs.
+    """
     least = least_matches(percent)
-    opened = (members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
-              .select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    together = max(1, groups.where("blocks = 1").count() // BLOCK)
     mine = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("cls"), F.col("blocks"))).otherwise(0).cast("int")
-    dealt = (members.join(opened, "bucket").select("bucket", "band", "cls", "comp", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-             .select("bucket", "band", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "cls", "comp"))
-    rows = dealt.join(classes.select("cls", "sig"), "cls")
+    unit = F.when(F.col("blocks") > 1, F.concat(F.lit("g"), "group")).otherwise(F.concat(F.lit("s"), F.pmod(F.xxhash64("group"), F.lit(together))))
+    rows = (groups.join(suspects.select("cls", "sig"), "cls").join(kept, "cls")
+            .select("*", unit.alias("unit"), mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+            .select("unit", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "cls", "comp", "sig", "hashes"))
 
     def compare(key: tuple, part: pa.Table) -> pa.Table:
-        i, j, band = key[1].as_py(), key[2].as_py(), part.column("band")[0].as_py()
-        block, cls, comp = (part.column(c).to_numpy() for c in ("block", "cls", "comp"))
-        sig = signature_rows(part.column("sig").combine_chunks())
-        left = np.flatnonzero(block == i)
-        right = np.flatnonzero(block == j)
-        out_a, out_b = [], []
-        groups = sig.reshape(len(sig), HASHES // BAND, BAND)
+        i, j = key[1].as_py(), key[2].as_py()
+        block, cls, comp = (part.column(c).to_numpy().copy() for c in ("block", "cls", "comp"))
+        sig = signature_rows(part.column("sig"))
+        bands_of = sig.reshape(len(sig), HASHES // BAND, BAND)
+        hashes = [x.values.to_numpy() for x in part.column("hashes")]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found = []
         for q in left:
             to = right[(comp[right] != comp[q]) & ((cls[right] > cls[q]) | (i != j))]
-            if len(to) and band:  # an earlier bucket that the pair shares has it
-                to = to[~(groups[to, :band] == groups[q, :band]).all(2).any(1)]
+            to = to[(bands_of[to] == bands_of[q]).all(2).any(1)]
             if len(to):
                 to = to[survives(np.broadcast_to(sig[q], (len(to), HASHES)), sig[to], least)]
-                out_a.append(np.minimum(cls[to], cls[q]))
-                out_b.append(np.maximum(cls[to], cls[q]))
-        none = [np.zeros(0, dtype=np.int64)]
-        return pa.table({"a": np.concatenate(out_a + none), "b": np.concatenate(out_b + none)})
+            if len(to):
+                for y in to[reach(hashes[q], [hashes[k] for k in to], percent)]:
+                    if comp[y] != comp[q]:
+                        found.append((cls[q], cls[y]))
+                        comp[comp == comp[y]] = comp[q]
+        return pa.table({c: pa.array([x[k] for x in found], pa.int64()) for k, c in enumerate(("a", "b"))})
 
-    return rows.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return rows.groupBy("unit", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def components(links: list[DataFrame], name: str) -> DataFrame:
@@ -227,17 +252,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     # 3. and 4. Leaders first; then 5., all that is open.
     links: list[DataFrame] = []
     members = met.withColumn("comp", F.col("cls"))
-    for k in range(ROUNDS + 1):
-        if k < ROUNDS:
-            pairs, tested = stage(led(members, not k), "led"), False
-        else:
-            pairs, tested = stage(crossed(members, suspects, percent), "crossed"), True
+    for k in range(ROUNDS):
+        pairs = stage(led(members, not k), "led")
         if pairs.isEmpty():
             break
-        links.append(stage(linked(pairs, suspects, kept, percent, tested), "links"))
-        if k < ROUNDS:
-            comp = components(links, f"round-{k}")
-            members = stage(met.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "members")
+        links.append(stage(linked(pairs, suspects, kept, percent), "links"))
+        members = stage(met.join(components(links, f"round-{k}"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "members")
+    else:
+        links.append(stage(crossed(stage(open_groups(members), "groups"), suspects, kept, percent), "links"))
 
     # Components of the links and of repeated ids, named by their smallest document id.
     sign = F.struct("n", "s1", "s2")
