@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from workpulse.operators.ranking import with_positions
 from workpulse.params import ESCALATED_LABELS
 
 
@@ -33,5 +34,4 @@ def run_summary(tasks: DataFrame) -> DataFrame:
 
 def ordered_tasks(tasks: DataFrame) -> DataFrame:
     """Each project's tasks, most critical first, ties in ascending id order (O4), with their ``position`` from 1."""
-    w = Window.partitionBy("org", "project").orderBy(F.desc("risk_score"), "id")
-    return tasks.withColumn("position", F.row_number().over(w).cast("long")).orderBy("org", "project", "position")
+    return with_positions(tasks, ["org", "project"], [F.desc("risk_score"), F.asc("id")]).orderBy("org", "project", "position")

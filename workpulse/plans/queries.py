@@ -23,8 +23,9 @@ from workpulse.operators.summary import ordered_tasks
 from workpulse.params import DEFAULT_AS_OF, Params
 from workpulse.plans import oracle as O
 from workpulse.plans.daily import run_daily
+from workpulse.plans.loops import LOOPS
 from workpulse.schemas import GRADE_FIELDS
-from workpulse.session import checkpoint_dir, ensure_utc, join_small
+from workpulse.session import checkpoint_dir, ensure_utc, join_small, stage_table
 from workpulse.sources import standins as SV
 from workpulse.sources.snapshot_store import incremental_history, init_table, read_snapshot, upsert
 
@@ -188,7 +189,8 @@ def sql_copy_paste_similarity():
 
 def q_copy_paste_comments(spark, sf):
     ensure_utc(spark)
-    docs = similarity_docs(recent_comments(SV.comments(spark, sf), AS_OF, P))
+    # Both today's and past comments come from these rows: their texts are cleaned once, as in the daily run.
+    docs = similarity_docs(stage_table(recent_comments(SV.comments(spark, sf), AS_OF, P), "lookback comments"))
     out = _sim_out(copy_paste(docs, P.copy_paste_threshold), "item")
     return out.select("item.org", "item.work_item_id", *out.columns[1:])
 
@@ -745,5 +747,6 @@ QUERIES = {
     "stage_counts": (q_stage_counts, sql_stage_counts),
     "grading_requests": (q_grading_requests, sql_grading_requests),
     "nudge_requests": (q_nudge_requests, sql_nudge_requests),
+    **LOOPS,
 }
 QUERIES = {name: (_prepared(fn), sql) for name, (fn, sql) in QUERIES.items()}

@@ -1,19 +1,30 @@
 """Snapshot fact table on Parquet: create (S7), history read (S6), idempotent upsert.
 
-Layout: ``<path>/snapshot_date=YYYY-MM-DD/*.parquet``; key (org, project, date, item).
-Writes use dynamic partition overwrite, so only the dates being written are
-replaced. The merged rows are checkpointed into the shared checkpoint folder
-before the overwrite, which cuts the lineage to the files being replaced.
+Layout: ``<path>/snapshot_date=YYYY-MM-DD/bucket=N/*.parquet``; key (org, project,
+date, item), bucket by a hash of the key. Writes use dynamic partition
+overwrite, so only the (date, bucket) folders that hold a rewritten key are read
+and replaced: a rerun of one item touches one bucket of its day. The merged rows
+are checkpointed into the shared checkpoint folder before the overwrite, which
+cuts the lineage to the files being replaced; folders that hold nothing yet are
+written directly. What a write has seen (rows, nulls of each NOT NULL column)
+is observed within the job that stages its input, with no pass of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from workpulse.schemas import SNAPSHOT, SNAPSHOT_KEY, SNAPSHOT_NOT_NULL
+from workpulse.session import stage_table
 
-from workpulse.operators.snapshot import enforce_not_null
-from workpulse.schemas import SNAPSHOT, SNAPSHOT_KEY
-from workpulse.session import join_small, stage_table
+#: Buckets of a day. A table keeps the number it was created with.
+BUCKETS = 16
+PARTITIONS = ("snapshot_date", "bucket")
+STORED = T.StructType([*SNAPSHOT.fields, T.StructField("bucket", T.IntegerType())])
 
 HISTORY_COLUMNS = ("azure_org", "work_item_id", "snapshot_date", "snapshot_timestamp", "comment_quality_score",
                    "eod_compliant", "copy_paste_detected")
@@ -36,17 +47,25 @@ def init_table(spark: SparkSession, path: str) -> None:
 
 
 def create_table(spark: SparkSession, path: str, name: str = "task_daily_snapshot") -> None:
-    """The typed, partitioned catalog table over ``path``, with its 40 columns, if absent."""
+    """The typed catalog table over ``path`` with its 40 columns, if absent (S7); create it before the first write.
+
+    Dates and buckets are found in the folders' names, so no partition needs to be registered: after a write,
+    ``REFRESH TABLE``. Filters on the date prune folders; the bucket shows as one more column once there are files.
+    """
     init_table(spark, path)
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in SNAPSHOT.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (snapshot_date) LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The whole table with its exact schema (partition values typed as DATE, never inferred)."""
     if not _has_data(spark, path):
         return spark.createDataFrame([], SNAPSHOT)
-    return spark.read.schema(SNAPSHOT).parquet(path).select(*[f.name for f in SNAPSHOT.fields])
+    return _stored(spark, path).select(*[f.name for f in SNAPSHOT.fields])
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -54,33 +73,66 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return read_snapshot(spark, path).select(*HISTORY_COLUMNS)
 
 
+def bucket_of() -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in SNAPSHOT_KEY]), F.lit(BUCKETS)).cast("int")
+
+
 def merge_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of the touched dates after the upsert: existing minus re-written keys, plus new.
+    """Rows of the touched folders after the upsert: existing minus re-written keys, plus new."""
+    kept = existing.join(new.select(*SNAPSHOT_KEY), list(SNAPSHOT_KEY), "left_anti")
+    return kept.unionByName(new.select(*existing.columns))
 
-    Only partitions whose date occurs in ``new`` are read from ``existing``
-    (partition pruning via a semi-join on the date).
+
+@dataclass(frozen=True)
+class Written:
+    """What one write has seen: rows, rows that break a NOT NULL column, nulls of each, and whether it was written."""
+
+    rows: int
+    violations: int
+    nulls: dict[str, int]
+    written: bool
+
+
+def observed_upsert(spark: SparkSession, path: str, new: DataFrame) -> Written:
+    """Idempotent write of one run's rows with its metrics.
+
+    The input is computed once, into a stage table, and counted while it is
+    written. An empty run and one with a null in a NOT NULL column leave the
+    table as it is.
     """
-    key = list(SNAPSHOT_KEY)
-    touched = join_small(existing, new.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
-    kept = touched.join(new.select(*key), key, "left_anti")
-    return kept.unionByName(new.select(*existing.columns))
+    seen = Observation()
+    null = {c: F.col(c).isNull() for c in SNAPSHOT_NOT_NULL}
+    broken = F.lit(False)
+    for c in null.values():
+        broken = broken | c
+    staged = stage_table(new.withColumn("bucket", bucket_of()).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(broken).alias("violations"), *[F.count_if(c).alias(n) for n, c in null.items()]), "snapshot rows")
+    got = {k: v or 0 for k, v in seen.get.items()}
+    nulls = {n: got[n] for n in null if got[n]}
+    if not got["rows"] or got["violations"]:
+        return Written(got["rows"], got["violations"], nulls, False)
+    init_table(spark, path)
+    # At most BUCKETS folders for each date of the run.
+    touched = [(str(r[0]), r[1]) for r in staged.select(*PARTITIONS).distinct().collect()]
+    held = [t for t in touched if _has_data(spark, f"{path.rstrip('/')}/snapshot_date={t[0]}/bucket={t[1]}")]
+    rows = staged
+    if held:
+        pick = F.lit(False)
+        for day in sorted({d for d, _ in held}):
+            pick = pick | ((F.col("snapshot_date") == F.lit(day).cast("date")) & F.col("bucket").isin([b for d, b in held if d == day]))
+        rows = stage_table(merge_rows(_stored(spark, path).where(pick), staged), "snapshot merge")
+    # Every row of a run shares one date: the rebalance hint lets AQE split large folders and join small ones.
+    (rows.hint("rebalance", *PARTITIONS).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
+    return Written(got["rows"], 0, nulls, True)
 
 
 def upsert(spark: SparkSession, path: str, new: DataFrame) -> int:
-    """Idempotent write of one run's rows; returns the number of rows written (0 -> no write, S12)."""
-    # The input is computed once, into a stage table; counting and merging read that.
-    new = stage_table(enforce_not_null(new), "snapshot rows")
-    n = new.count()
-    if n == 0:
-        return 0
-    init_table(spark, path)
-    # Cut from the files that are about to be replaced.
-    merged = stage_table(merge_rows(read_snapshot(spark, path), new), "snapshot merge")
-    # Every row of a run shares one date: a plain repartition by date would send the whole day to one
-    # writer. The rebalance hint lets AQE split that partition into advisory-sized files.
-    (merged.hint("rebalance", "snapshot_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path))
-    return n
+    """``observed_upsert`` that fails on a null in a NOT NULL column; returns the number of rows written (0 -> no write, S12)."""
+    done = observed_upsert(spark, path, new)
+    if done.violations:
+        raise ValueError(f"{done.violations} snapshot rows violate a NOT NULL column: {done.nulls}")
+    return done.rows
 
 
 # ---------------------------------------------------------------------------
