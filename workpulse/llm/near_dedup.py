@@ -160,7 +160,7 @@ def led(members: DataFrame, first: bool) -> DataFrame:
 
 
 def reach(q: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which of ``others`` link with ``q`` (sorted hashes each)."""
+    """Which of ``others`` link with ``q``; the hashes of ``q`` ascend."""
     size = np.array([len(x) for x in others])
     flat = np.concatenate(others)
     hit = q[np.minimum(np.searchsorted(q, flat), len(q) - 1)] == flat
@@ -198,7 +198,7 @@ def crossed(groups: DataFrame, suspects: DataFrame, kept: DataFrame, percent: in
         block, cls, comp = (part.column(c).to_numpy().copy() for c in ("block", "cls", "comp"))
         sig = signature_rows(part.column("sig"))
         bands_of = sig.reshape(len(sig), HASHES // BAND, BAND)
-        hashes = [x.values.to_numpy() for x in part.column("hashes")]
+        hashes = [x.values.to_numpy().view(np.uint64) for x in part.column("hashes")]  # they ascend as unsigned numbers
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         found = []
         for q in left:
