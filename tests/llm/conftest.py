@@ -31,6 +31,7 @@ def write(spark, path, documents, benchmark=(), labels=(), extra=True):
     docs.coalesce(2).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(list(benchmark), "item_id long, text string").selectExpr("*", "1 AS w", "2 AS item", "3 AS m").write.parquet(f"{path}/benchmark.parquet")
     spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").selectExpr("*", "1 AS h", "2 AS text").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").selectExpr("*", "1 AS row", "2 AS x").write.parquet(f"{path}/embeddings.parquet")
     return str(path)
 
 

@@ -15,7 +15,7 @@ ALL = {**QUERIES, "pipeline": corpus_pipeline.run}
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     cols = sorted(got.columns)
@@ -29,7 +29,7 @@ def test_empty_tables(spark, empty_dir, name):
     assert ALL[name](spark, empty_dir).collect() == []
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op11_hard_negatives", "op12_phrases"}))  # these have no row for each document
 def test_odd_rows(spark, edge_dir, name):
     """A row out for each row in, whatever it holds; equal rows get equal results."""
     rows = QUERIES[name](spark, edge_dir).collect()
