@@ -216,6 +216,21 @@ def crossed(groups: DataFrame, suspects: DataFrame, kept: DataFrame, percent: in
     return rows.groupBy("unit", "i", "j").applyInArrow(compare, "a long, b long")
 
 
+def merged(links: list[DataFrame]) -> DataFrame:
+    """(cls, comp): the smallest class within two links. Equal labels lie in one component; a leader's group gets one label.
+
+    Two steps instead of all components are enough here: what they leave
+    apart stays open, and is settled by the next round or by the blocks.
+    """
+    edges = links[0]
+    for more in links[1:]:
+        edges = edges.unionByName(more)
+    both = stage(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
+    near = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    far = both.join(near.select(F.col("a").alias("b"), "m"), "b").groupBy("a").agg(F.min("m").alias("far"))
+    return near.join(far, "a").select(F.col("a").alias("cls"), F.least("m", "far").alias("comp"))
+
+
 def components(links: list[DataFrame], name: str) -> DataFrame:
     edges = links[0]
     for more in links[1:]:
@@ -257,7 +272,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         if pairs.isEmpty():
             break
         links.append(stage(linked(pairs, suspects, kept, percent), "links"))
-        members = stage(met.join(components(links, f"round-{k}"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "members")
+        members = stage(met.join(merged(links), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "members")
     else:
         links.append(stage(crossed(stage(open_groups(members), "groups"), suspects, kept, percent), "links"))
 
