@@ -4,7 +4,9 @@ Headers (comment blocks, paragraphs and runs of lines around a licence cue,
 without comment marks) and whole licence files are compared with the standard
 headers of known licences by the cosine of sparse TF-IDF vectors; terms are
 weighted by their frequency over all headers and files of the corpus. A text
-must also name what tells a licence from its likes (version, clause). A
+must also name what tells a licence from its likes: of a family's names the
+first one in the text decides, with the version number bound to it, and a
+clause that only a relative has rules a licence out. A
 file without a licence of its own takes that of the licence file in its
 nearest ancestor directory, found by joining the directories' ancestor paths.
 
@@ -51,12 +53,13 @@ LONG_LINE = 200
 
 def gnu(work: str, name: str, version: str) -> list[str]:
     """The standard header of a GNU licence: its grant alone, whole, and for one version only."""
-    stop = ";" if version.startswith("2") else ":"
+    old = not version.startswith("3")
+    stop = ";" if old else ":"
     grant = f"This {work} is free software{stop} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation"
     rest = (f"This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
             f"FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. You should have received a copy of the GNU {name} along with this {work}")
-    rest += "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA." if version.startswith("2") else ". If not, see <https://www.gnu.org/licenses/>."
-    later = f"{grant}{';' if version.startswith('2') else ','} either version {version} of the License, or (at your option) any later version."
+    rest += "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA." if old else ". If not, see <https://www.gnu.org/licenses/>."
+    later = f"{grant}{';' if old else ','} either version {version} of the License, or (at your option) any later version."
     only = f"{grant}, version {version} of the License."
     return [later, f"{later} {rest}", only, f"{only} {rest}",
             f"This {work} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} version {version} as published by the Free Software Foundation."]
@@ -80,6 +83,9 @@ MIT_REST = (" (the \"Software\"), to deal in the Software without restriction, i
 ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
 APACHE_GRANT = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
 
+#: The other Creative Commons licences of version 4.0: name, short and long elements.
+CC_MORE = [("CC-BY-ND-4.0", "ND", "NoDerivatives"), ("CC-BY-NC-SA-4.0", "NC-SA", "NonCommercial-ShareAlike"), ("CC-BY-NC-ND-4.0", "NC-ND", "NonCommercial-NoDerivatives")]
+
 #: Fixed: the licences' standard headers as their own texts tell to place them, the texts of the short licences, and common short forms.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -97,10 +103,13 @@ NOTICES = [
     *[("GPL-3.0", x) for x in gnu("program", "General Public License", "3")],
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     *[("GPL-2.0", x) for x in gnu("program", "General Public License", "2")],
+    *[("GPL-1.0", x) for x in gnu("program", "General Public License", "1")],
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     *[("LGPL-3.0", x) for x in gnu("library", "Lesser General Public License", "3")],
     ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
     *[("LGPL-2.1", x) for x in gnu("library", "Lesser General Public License", "2.1")],
+    ("LGPL-2.0", "This library is licensed under the GNU Library General Public License, version 2."),
+    *[("LGPL-2.0", x) for x in gnu("library", "Library General Public License", "2")],
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
     *[("AGPL-3.0", x) for x in gnu("program", "Affero General Public License", "3")],
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
@@ -124,6 +133,9 @@ NOTICES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    *[x for name, short, long in CC_MORE for x in (
+        (name, f"This work is licensed under a Creative Commons Attribution-{long} 4.0 International License."), (name, f"Licensed under CC BY-{short} 4.0."),
+        (name, f"Creative Commons Attribution-{long} 4.0 International Public License"))],
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and dedicated this work to the public domain."),
     ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is "
      "distributed without any warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software."),
@@ -135,17 +147,54 @@ NOTICES = [
      + " For more information, please refer to <https://unlicense.org/>"),
 ]
 
+#: A version's number stands behind one of these, within so many characters of the licence's name.
+VERSION = r"(?:\b(?:version|ver|v)[.]?\s*|licen[cs]e[\s,-]+|(?:gpl|apache|mpl)[\s/-]*v?)(?=[0-9])"
+NEAR = 200
+#: The names of one family, of which a text's first decides; longer ones hold the shorter ones.
+PUBLIC = r"(?:general\s+public\s+licen[cs]e|gpl)"
+GNU = rf"(?:(?:affero|lesser|library)\s+{PUBLIC}|general\s+public\s+licen[cs]e|\b[al]?gpl)"
+APACHE = r"(?:apache(?:\s+software)?\s+licen[cs]e|apache[.]org/licen[cs]es/|\bapache[\s-]+(?=v?[0-9]))"
+MOZILLA = r"(?:mozilla\s+public\s+licen[cs]e|\bmpl(?=[\s/-]*v?[0-9]))"
+#: The elements of a Creative Commons name, and the words between it and its number.
+ELEMENT = {"nc": r"[\s-]+(?:nc\b|non-?commercial)", "sa": r"[\s-]+(?:sa\b|share-?alike)", "nd": r"[\s-]+(?:nd\b|no-?deriv[a-z]*)"}
+CC = rf"(?:attribution|\bcc[\s-]+by|licenses/by)(?:{'|'.join(ELEMENT.values())})*+"
+CC_NUMBER = r"(?:\s+(?:international|unported|public|licen[cs]e))*+[\s/,-]*+(?:v(?:ersion|[.])?\s*)?(?=[0-9])"
+
+
+def number(n: str) -> str:
+    """This version and no longer one: 2 is 2.0, but not 2.1 and not 20."""
+    return re.escape(n) + r"(?:[.]0)*+(?![.]?[0-9])"
+
+
+def versioned(name: str, family: str, n: str) -> str:
+    """The first name out of ``family`` in the text is ``name``, and the number before or behind it is ``n``."""
+    before = r"\bversion\s+{}\s+of\s+(?:the\s+)?(?:gnu\s+)?"
+    some = rf"(?:{before.format('[0-9.]+')})?{family}"
+    return rf"\A(?:(?!{some}).)*+(?:{before.format(number(n))}{name}|(?={name})(?:(?!{VERSION}).){{0,{NEAR}}}+{VERSION}{number(n)})"
+
+
+def creative(*elements: str, n: str = "4") -> str:
+    """The first Creative Commons name with a number has these elements and this number."""
+    has = "(?:attribution|\\bcc[\\s-]+by|licenses/by)" + "".join(ELEMENT[e] for e in elements)
+    return rf"\A(?:(?!{CC}{CC_NUMBER}).)*+{has}{CC_NUMBER}{number(n)}"
+
+
+LESSER = rf"(?:(?:lesser|library)\s+{PUBLIC}|\blgpl)"
+GENERAL = r"(?:general\s+public\s+licen[cs]e|\bgpl)"
 #: What a text must name besides being similar: licences that share their wording differ in a name, a number or a clause.
+#: All are matched from the start of the text, so that what must not be there is looked for in all of it.
 MUST = {
-    "Apache-2.0": "(?=.*apache)(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))", "MIT": r"\bmit\b|hereby\s+granted,\s+free\s+of\s+charge",
-    "GPL-3.0": "(?!.{0,300}(?:affero|lesser|library general))(?=.*(?:general|gpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))", "GPL-2.0": "(?!.{0,300}(?:affero|lesser|library general))(?=.*(?:general|gpl))(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))",
-    "LGPL-3.0": "(?=.*(?:lesser|lgpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))", "LGPL-2.1": "(?=.*(?:lesser|lgpl))(?=.*(?<![0-9.])2[.]1(?![0-9]))",
-    "AGPL-3.0": "(?=.*(?:affero|agpl))(?=.*(?<![0-9.])3(?![0-9]|[.][0-9.]*[1-9]))",
-    "BSD-3-Clause": r"bsd|neither\s+the\s+name|names?\s+of", "BSD-2-Clause": r"redistribution(?!.*neither\s+the\s+name)",
-    "MPL-2.0": "(?=.*(?:mozilla|mpl))(?=.*(?<![0-9.])2(?![0-9]|[.][0-9.]*[1-9]))", "ISC": r"\bisc\b|with\s+or\s+without\s+fee",
-    "CC-BY-4.0": "(?=.*(?:attribution|by))(?=.*4[.]0)(?!.*(?:-nc|-sa|-nd|noncommercial|sharealike|noderiv))",
-    "CC-BY-SA-4.0": "(?=.*4[.]0)(?=.*(?:-sa|sharealike))(?!.*(?:-nc|noncommercial))", "CC-BY-NC-4.0": "(?=.*4[.]0)(?=.*(?:-nc|noncommercial))(?!.*(?:-sa|-nd|sharealike|noderiv))",
-    "CC0-1.0": r"cc0|waived|dedicated", "Unlicense": "unencumbered|unlicense",
+    "Apache-2.0": versioned(APACHE, APACHE, "2"), "MPL-2.0": versioned(MOZILLA, MOZILLA, "2"),
+    "GPL-1.0": versioned(GENERAL, GNU, "1"), "GPL-2.0": versioned(GENERAL, GNU, "2"), "GPL-3.0": versioned(GENERAL, GNU, "3"),
+    "LGPL-2.0": versioned(LESSER, GNU, "2"), "LGPL-2.1": versioned(LESSER, GNU, "2.1"), "LGPL-3.0": versioned(LESSER, GNU, "3"),
+    "AGPL-3.0": versioned(rf"(?:affero\s+{PUBLIC}|\bagpl)", GNU, "3"),
+    "MIT": r"\A(?!.*(?:mit\s+no\s+attribution|\bmit-0\b)).*(?:\bmit\b|hereby\s+granted,\s+free\s+of\s+charge)",
+    "BSD-3-Clause": r"\A(?!.*(?:advertising\s+materials|\b(?:2|two)[\s-]clause|simplified\s+bsd)).*(?:neither\s+the\s+name|names?\s+of|bsd[\s-]+style|\b(?:3|three)[\s-]clause|(?:new|modified|revised)\s+bsd)",
+    "BSD-2-Clause": r"\A(?!.*(?:advertising\s+materials|neither\s+the\s+name|names?\s+of|\b[34][\s-]clause)).*redistributions?\s+in\s+binary\s+form\s+must",
+    "ISC": r"\A(?!.*(?:\b0bsd|zero[\s-]clause|without\s+fee\s+is\s+hereby\s+granted\s*[.])).*(?:\bisc\b|with\s+or\s+without\s+fee)",
+    "CC-BY-4.0": creative(), "CC-BY-SA-4.0": creative("sa"), "CC-BY-NC-4.0": creative("nc"), "CC-BY-ND-4.0": creative("nd"),
+    "CC-BY-NC-SA-4.0": creative("nc", "sa"), "CC-BY-NC-ND-4.0": creative("nc", "nd"),
+    "CC0-1.0": r"\A.*(?:cc0|waived|dedicated)", "Unlicense": r"\A.*(?:unencumbered|unlicense)",
 }
 
 
