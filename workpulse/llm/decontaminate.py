@@ -4,10 +4,12 @@ Of every ``WINNOW`` consecutive ``GRAM``-word hashes the smallest is kept, so
 any span of GRAM + WINNOW - 1 = 13 words that a document shares with a
 benchmark item leaves the same fingerprint in both. Documents meet the
 benchmark in a join of fingerprints; the few that share one are then read
-again: each common gram gives a diagonal (document position minus item
-position), and on it every window of 13 words is compared word by word. Items
-of fewer than 13 words have no full span; they are joined as whole sequences
-of their own length.
+again: a window's smallest gram together with the hash of its 13 words, the
+same on both sides, gives a diagonal (document position minus item position),
+and on it every window of 13 words is compared word by word. Grams that many
+documents and items have in common (a question template) make no diagonal
+unless a whole window is shared. Items of fewer than 13 words have no full
+span; they are joined as whole sequences, all lengths in one pass.
 
 The benchmark's side is broadcast only if its rows are counted and few
 (``BROADCAST_ROWS``); else both sides are shuffled. No document meets another
@@ -71,12 +73,25 @@ def with_grams(df: DataFrame) -> DataFrame:
     return out
 
 
-def with_fingerprints(df: DataFrame) -> DataFrame:
-    """``g`` to ``fp``: the distinct minima of all windows of WINNOW grams."""
+def with_minima(df: DataFrame) -> DataFrame:
+    """``g`` to ``fp``: the smallest gram of each window of WINNOW grams."""
     out = df.withColumn("fp", F.col("g"))
     for k in (1, 2, 4, 2):  # minima of 2, 4, 8 and 10
         out = out.withColumn("fp", shifted("fp", k, lambda a, b: F.least(a, b)))
-    return out.withColumn("fp", F.array_distinct("fp"))
+    return out
+
+
+def with_fingerprints(df: DataFrame) -> DataFrame:
+    """``g`` to ``fp``: the distinct minima of all windows of WINNOW grams."""
+    return with_minima(df).withColumn("fp", F.array_distinct("fp"))
+
+
+def with_windows(df: DataFrame) -> DataFrame:
+    """``g`` to ``win``: of each window of SPAN words its smallest gram, and a hash of all its words."""
+    out = with_minima(df).withColumn("span", F.col("g"))
+    for k in (GRAM, SPAN - 2 * GRAM):  # hashes of 8 and 13 words
+        out = out.withColumn("span", shifted("span", k, lambda a, b: F.xxhash64(a, b)))
+    return out.withColumn("win", F.zip_with("fp", "span", lambda a, b: F.struct(a.alias("gram"), b.alias("span"))))
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -102,9 +117,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     items = stage(items.withColumn("m", F.size("w")), "items").where("m > 0")
 
     long_items = with_grams(items.where(f"m >= {SPAN}"))
-    places = long_items.select("item", F.hash("w").alias("_v"), F.posexplode_outer("g").alias("ipos", "gram"))
-    picked = with_fingerprints(long_items).select("item", F.hash("w").alias("_v"), F.explode_outer("fp").alias("gram"))
-    prints = stage(places.join(picked, ["item", "_v", "gram"], "left_semi").select("gram", "item", "_v", "ipos"), "prints")
+    prints = stage(with_windows(long_items).select("item", F.hash("w").alias("_v"), F.posexplode_outer("win").alias("ipos", "win"))
+                   .select("win.gram", "win.span", "item", "_v", "ipos"), "prints")
 
     # 1. Documents that share a fingerprint with an item.
     shared = with_fingerprints(with_grams(with_words(rows, "text", ["doc_id", "row"])))
@@ -115,7 +129,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                  .dropDuplicates(["doc_id", "row"]), "maybe-words")
 
     # 2. Diagonals, and the windows on them that are equal word by word.
-    diagonals = (with_grams(read).select("doc_id", "row", F.posexplode_outer("g").alias("pos", "gram")).join(small(prints), "gram")
+    diagonals = (with_windows(with_grams(read)).select("doc_id", "row", F.posexplode_outer("win").alias("pos", "win"))
+                 .select("doc_id", "row", "pos", "win.gram", "win.span").join(small(prints), ["gram", "span"])
                  .select("doc_id", "row", "item", "_v", (F.col("pos") - F.col("ipos")).alias("shift")).distinct())
     both = (diagonals.alias("x").join(read.alias("d"), same_row("x", "d"))
             .select("x.*", F.col("d.w").alias("w"))
@@ -127,13 +142,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     found = (both.select("doc_id", "row", "item", "shift", F.explode_outer(equal).alias("j")).where("j IS NOT NULL")
              .select("doc_id", "row", "item", (F.col("shift") + F.col("j")).alias("start"), F.lit(SPAN).alias("len")))
 
-    # 3. Short items, by length: each is one window as a whole.
-    for (m,) in items.where(f"m < {SPAN}").select("m").distinct().collect():  # at most SPAN - 1 lengths
-        whole = small(items.where(f"m = {m}").select("item", F.array_join("w", " ").alias("seq")).distinct())
-        starts = F.when(F.size("w") >= m, F.sequence(F.lit(1), F.size("w") - (m - 1)))
-        seqs = (with_words(rows, "text", ["doc_id", "row"]).select("doc_id", "row", F.posexplode_outer(F.transform(
-            starts, lambda i: F.array_join(F.slice("w", i, m), " "))).alias("start", "seq")))  # noqa: B023
-        found = found.unionByName(seqs.join(whole, "seq").select("doc_id", "row", "item", "start", F.lit(m).alias("len")))
+    # 3. Short items: each is one window as a whole; a text's words are made once and cut to each length in turn.
+    lengths = [m for (m,) in items.where(f"m < {SPAN}").select("m").distinct().collect()]  # at most SPAN - 1 of them
+    if lengths:
+        whole = small(items.where(f"m < {SPAN}").select("item", F.array_join("w", " ").alias("seq")).distinct())
+        starts = F.when(F.size("w") >= F.col("len"), F.sequence(F.lit(1), F.size("w") - (F.col("len") - 1)))
+        cut = with_words(rows, "text", ["doc_id", "row"]).select("*", F.explode_outer(F.array(*map(F.lit, sorted(lengths)))).alias("len"))
+        seqs = cut.select("doc_id", "row", "len", F.posexplode_outer(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.col("len")), " "))).alias("start", "seq"))
+        found = found.unionByName(seqs.join(whole, "seq").select("doc_id", "row", "item", "start", "len"))
     found = stage(found.distinct(), "found")
 
     # 4. Words inside any window, as a union of intervals per document.
