@@ -20,8 +20,14 @@ the filters again, so a later document gets its line back. ``resolve`` probes
 the filters with the documents' lines, checks the few that may be shared
 against the exact table, and drops lines.
 
-Every write goes to a new version folder; ``LineStore.state`` names the one in
-force, so a failed step leaves the last version whole.
+Every attempt of a step writes to a folder of its own. The step counts once a
+manifest row that names its tables is written, as the last thing; a step that
+fails before leaves the last version whole and can be done again.
+``LineStore.open`` reads the newest manifest, so later jobs go on with a store.
+When the keys outgrow the shards, their number doubles and the filters are
+built anew from the exact table (amortised: once per doubling). Deletions are
+kept as lists of ids; every ``COMPACT_AFTER`` of them the postings are written
+without the deleted documents.
 
 Defined results: a null or empty text is one empty line; a document without id
 neither counts nor loses lines; rows that repeat an id are one document (their
@@ -31,6 +37,8 @@ other columns are not read.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 from hashlib import blake2b
 
@@ -43,8 +51,10 @@ from pyspark.sql import functions as F
 from workpulse.llm.common import shared_path, table
 
 MIN_CHARS = 10
-#: Keys that one filter holds at the store's first insert, about.
+#: Keys that one filter holds, about, at most.
 KEYS_PER_SHARD = 16_384
+#: Deletions after which the postings are written anew without them.
+COMPACT_AFTER = 4
 #: Lines that one task probes against one filter.
 LINES_PER_PROBE = 50_000
 SLOTS = 4
@@ -53,6 +63,7 @@ SPACE = b" \t\n\x0b\x0c\r"
 POSTINGS = "hi long, lo long, doc_id long, row long, pos int, batch int"
 REFS = "hi long, lo long, n long, first_doc long, last_doc long"
 FILTERS = "shard int, slots binary"
+MANIFEST = "version long, state string"
 
 
 class CuckooFilter:
@@ -182,13 +193,34 @@ def copies_of(first, last):
 
 @dataclass
 class LineStore:
-    """State of the corpus seen so far, under ``path`` in a shared folder."""
+    """State of the corpus seen so far, under ``path`` in a shared folder. One writer at a time."""
 
     spark: SparkSession
     path: str
     min_chars: int = MIN_CHARS
     state: dict = field(default_factory=lambda: {"version": 0, "shards": 0, "batches": [], "refs": None, "filters": None, "dead": []})
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> LineStore:
+        """The store that earlier steps, of this or another session, left under ``path``."""
+        rows = spark.read.schema(MANIFEST).json(f"{path}/manifests")
+        newest = rows.agg(F.max_by("state", "version").alias("state")).first()["state"]
+        if newest is None:
+            raise ValueError(f"no line store under {path}")
+        said = json.loads(newest)
+        return cls(spark, path, said.pop("min_chars"), said)
+
+    def _attempt(self) -> tuple[int, str]:
+        """The next version, and a folder that no other attempt at it writes to."""
+        v = self.state["version"] + 1
+        return v, f"{self.path}/v{v}-{uuid.uuid4().hex}"
+
+    def _publish(self, state: dict) -> None:
+        """Make ``state`` the one in force: one row, written by one task, seen whole or not at all."""
+        row = (state["version"], json.dumps(state | {"min_chars": self.min_chars}))
+        self.spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").json(f"{self.path}/manifests")
+        self.state = state
+
     def _read(self, where: str | None, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(where) if where else self.spark.createDataFrame([], schema)
 
@@ -209,13 +241,12 @@ class LineStore:
             p = p.join(gone, (p.doc_id == gone.doc_id) & (p.batch < gone.upto), "left_anti")
         return p
 
-    def shard(self):
-        return F.pmod(F.col("hi"), F.lit(self.state["shards"])).cast("int").alias("shard")
+    def shard(self, shards: int | None = None):
+        return F.pmod(F.col("hi"), F.lit(shards or self.state["shards"])).cast("int").alias("shard")
 
     def insert(self, docs: DataFrame) -> None:
         """Add documents (doc_id, text)."""
-        s, v = self.state, self.state["version"] + 1
-        where = f"{self.path}/v{v}"
+        s, (v, where) = self.state, self._attempt()
         explode_lines(docs, v, self.min_chars).write.parquet(f"{where}/postings")
         new = counted(self.spark.read.schema(POSTINGS).parquet(f"{where}/postings"))
         if s["refs"] is None:
@@ -229,14 +260,14 @@ class LineStore:
                 F.least("first_doc", "f0").alias("first_doc"), F.greatest("last_doc", "l0").alias("last_doc"),
                 copies_of(F.col("f0"), F.col("l0")).alias("was"))
             refs = merged.unionByName(fresh.select("hi", "lo", "n", "first_doc", "last_doc", F.lit(0).alias("was")))
-        self._commit(v, refs, batches=[*s["batches"], f"{where}/postings"])
+        self._commit(where, refs, version=v, batches=[*s["batches"], f"{where}/postings"])
 
     def delete(self, ids: DataFrame) -> None:
         """Take documents (doc_id) out again."""
-        s, v = self.state, self.state["version"] + 1
+        s, (v, where) = self.state, self._attempt()
         if s["refs"] is None:
             return
-        dead = f"{self.path}/v{v}/dead"
+        dead = f"{where}/dead"
         ids.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct().write.parquet(dead)
         gone = self.spark.read.schema("doc_id long").parquet(dead)
         before = self.postings()
@@ -247,18 +278,38 @@ class LineStore:
         refs = self.refs().join(again.withColumn("hit", F.lit(True)), ["hi", "lo"], "left").select(
             "hi", "lo", F.expr("if(hit, n1, n) AS n"), F.expr("if(hit, f1, first_doc) AS first_doc"),
             F.expr("if(hit, l1, last_doc) AS last_doc"), copies_of(F.col("first_doc"), F.col("last_doc")).alias("was"))
-        self._commit(v, refs, dead=[*s["dead"], (dead, v)])
+        if len(s["dead"]) + 1 < COMPACT_AFTER:
+            self._commit(where, refs, version=v, dead=[*s["dead"], [dead, v]])
+        else:
+            rest.write.parquet(f"{where}/postings")
+            self._commit(where, refs, version=v, batches=[f"{where}/postings"], dead=[])
 
-    def _commit(self, v: int, refs: DataFrame, **change) -> None:
-        """Write the exact table (with the copies each key had before), then bring the filters in line with it."""
-        s, where = dict(self.state), f"{self.path}/v{v}"
+    def _commit(self, where: str, refs: DataFrame, **change) -> None:
+        """Write the exact table (with the copies each key had before), bring the filters in line with it, and publish both."""
         refs.write.parquet(f"{where}/counts")
         refs = self.spark.read.schema(REFS + ", was int").parquet(f"{where}/counts")
-        if not s["shards"]:
-            s["shards"] = 1 << max(0, int(np.ceil(np.log2(max(1, refs.count()) / KEYS_PER_SHARD))))
-        self.state = s | {"version": v} | change
+        had = self.state["shards"]
+        shards = max(had, 1 << max(0, int(np.ceil(np.log2(max(1, refs.where("n > 0").count()) / KEYS_PER_SHARD)))))
         now = copies_of(F.col("first_doc"), F.col("last_doc"))
-        steps = refs.select(self.shard(), "lo", now.alias("copies"), (now - F.col("was")).alias("delta"))
+        steps = refs.select(self.shard(shards), "lo", now.alias("copies"), (now - F.col("was")).alias("delta"))
+        filters = self._changed(steps, where) if shards == had or not had else self._built(steps, where)
+        self._publish(self.state | {"shards": shards, "refs": f"{where}/counts", "filters": filters} | change)
+
+    def _built(self, steps: DataFrame, where: str, kept: DataFrame | None = None) -> str:
+        """Filters of all keys in ``steps``, built from the exact table, beside the ``kept`` ones."""
+        def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            room = 2 * max(1, int(rows["copies"].sum()))
+            while (got := changed_filter(key[0], CuckooFilter.empty(room).slots.tobytes(), rows["lo"].to_numpy(),
+                                         rows["copies"].to_numpy())) is None:
+                room *= 2
+            return pd.DataFrame({"shard": [key[0]], "slots": [got]})
+
+        built = steps.where("copies > 0").groupBy("shard").applyInPandas(build, FILTERS)
+        (built if kept is None else kept.unionByName(built)).write.parquet(f"{where}/filters")
+        return f"{where}/filters"
+
+    def _changed(self, steps: DataFrame, where: str) -> str:
+        """The filters in force with the steps' changes made; shards that outgrow theirs are built anew."""
         old = self.filters()
 
         def change_one(key: tuple, changes: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
@@ -271,18 +322,8 @@ class LineStore:
         filters = self.spark.read.schema(FILTERS).parquet(f"{where}/changed")
         full = filters.where("slots IS NULL").select("shard")
         if full.isEmpty():
-            self.state["filters"] = f"{where}/changed"
-        else:  # these shards outgrew their filters: build them anew from the exact table
-            def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-                room = 2 * max(1, int(rows["copies"].sum()))
-                while (got := changed_filter(key[0], CuckooFilter.empty(room).slots.tobytes(), rows["lo"].to_numpy(),
-                                             rows["copies"].to_numpy())) is None:
-                    room *= 2
-                return pd.DataFrame({"shard": [key[0]], "slots": [got]})
-            rebuilt = (steps.join(full, "shard", "left_semi").where("copies > 0").groupBy("shard").applyInPandas(build, FILTERS))
-            filters.where("slots IS NOT NULL").unionByName(rebuilt).write.parquet(f"{where}/filters")
-            self.state["filters"] = f"{where}/filters"
-        self.state["refs"] = f"{where}/counts"
+            return f"{where}/changed"
+        return self._built(steps.join(full, "shard", "left_semi"), where, filters.where("slots IS NOT NULL"))
 
     def _probed(self, keys: DataFrame) -> DataFrame:
         """``keys`` (hi, lo, ...) with the copies that their shard's filter shows.
