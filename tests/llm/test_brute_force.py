@@ -113,6 +113,55 @@ def test_filters_that_outgrow_are_rebuilt(spark):
     assert got == {i: t for i, t in kept_lines([(1, "only one line here"), *rows]).items() if i > 1}
 
 
+def test_store_survives_failed_steps_and_reopens(spark, monkeypatch):
+    """A step that fails in its filters or its manifest changes nothing and can be done again; another session goes on with the store."""
+    rows = [(i, f"line number {i} of many\nline number {i % 7} that some share") for i in range(60)]
+    frame = lambda part: spark.createDataFrame([r for r in rows if part(r[0])], "doc_id long, text string")
+    kept = lambda st, part: {r["doc_id"]: r["kept"] for r in st.resolve(frame(part)).collect()}
+    path = shared_path(spark, "retry")
+    store = line_dedup.LineStore(spark, path)
+    with pytest.raises(Exception):
+        line_dedup.LineStore.open(spark, path)
+    steps = [("insert", frame(lambda i: i < 30)), ("insert", frame(lambda i: i >= 30)), ("delete", frame(lambda i: i < 20).select("doc_id"))]
+    live = [lambda i: i < 30, lambda i: True, lambda i: i >= 20]
+    for (step, given), part in zip(steps, live):
+        for broken in ("_changed", "_publish"):
+            before = dict(store.state)
+            with monkeypatch.context() as m:
+                m.setattr(line_dedup.LineStore, broken, lambda *a, **k: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    getattr(store, step)(given)
+            assert store.state == before
+        getattr(store, step)(given)
+        store = line_dedup.LineStore.open(spark.newSession(), path)
+        assert kept(store, part) == kept_lines([r for r in rows if part(r[0])])
+    assert store.state["version"] == 3 and store.postings().count() == 80
+
+
+def test_shards_double_and_deletions_are_compacted(spark, monkeypatch):
+    """A store begun with one document grows to many shards; after some deletions the postings hold live documents only."""
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 64)
+    store = line_dedup.LineStore(spark, shared_path(spark, "double"), min_chars=5)
+    store.insert(spark.createDataFrame([(0, "only one line here")], "doc_id long, text string"))
+    assert store.state["shards"] == 1
+    rows = [(i, "\n".join(f"line {i % (40 + j)} {j}" for j in range(8))) for i in range(1, 300)]
+    store.insert(spark.createDataFrame(rows, "doc_id long, text string"))
+    keys = len({x for _, t in rows for x in t.split("\n")}) + 1
+    assert store.state["shards"] >= keys / 64 and store.filters().count() > 4
+    for k in range(line_dedup.COMPACT_AFTER):
+        store.delete(spark.createDataFrame([(i,) for i in range(1, 300) if i % 10 == k], "doc_id long"))
+    assert store.state["dead"] == [] and len(store.state["batches"]) == 1
+    left = [r for r in rows if r[0] % 10 >= line_dedup.COMPACT_AFTER]
+    store.insert(spark.createDataFrame([(500, rows[0][1])], "doc_id long, text string"))
+    again = [*left, (500, rows[0][1])]
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.LineStore.open(spark, store.path).resolve(spark.createDataFrame(again, "doc_id long, text string")).collect()}
+    want = {}
+    first = {}
+    for i, t in sorted(again):
+        want[i] = "\n".join(x for x in t.split("\n") if first.setdefault(x, i) == i)
+    assert got == want
+
+
 # -- token counts
 
 ODD = ["a" * 5000, " " * 3000, "ab  cd" * 900, "日本語テキスト" * 300, "<s> </s> " * 300, "▁▁ a" * 500, "\x00\n\t" * 800, "é̀🙂" * 500, "𓀀𓁀x" * 400, " 𓀀" * 700, "", LONG[:20_000]]
@@ -440,6 +489,39 @@ def test_whole_licence_files_and_tags(spark):
     assert [got[i] for i in range(len(want))] == [x[0] for x in want]
 
 
+def test_related_licences_are_told_apart(spark):
+    """Each family's headers beside each other: names and numbers are bound, unknown versions have no licence."""
+    def grant(name, version):
+        return (f"This program is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; "
+                f"either version {version} of the License, or (at your option) any later version.")
+    general, lesser, library, affero = "General Public License", "Lesser General Public License", "Library General Public License", "Affero General Public License"
+    full = {n: t for n, t in license_scan.NOTICES}
+    cc = "This work is licensed under a Creative Commons Attribution{} {} International License."
+    bsd2, bsd3 = full["BSD-2-Clause"], full["BSD-3-Clause"]
+    want = [("GPL-1.0", grant(general, "1")), ("GPL-2.0", grant(general, "2")), ("GPL-3.0", grant(general, "3")), (None, grant(general, "4")), (None, grant(general, "2.1")),
+            ("LGPL-2.0", grant(library, "2")), ("LGPL-2.1", grant(lesser, "2.1")), ("LGPL-3.0", grant(lesser, "3")), ("AGPL-3.0", grant(affero, "3")), (None, grant(affero, "1")),
+            ("GPL-1.0", grant(general, "1") + " Report within 2 days."), ("GPL-2.0", grant(general, "2") + " Library version 3 is not free."),
+            ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of version 2 of the GNU General Public License as published by the Free Software Foundation."),
+            ("Apache-2.0", license_scan.APACHE_GRANT), (None, license_scan.APACHE_GRANT.replace("2.0", "1.1") + " Chapter 2."),
+            ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+            (None, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1. Part 2."),
+            ("BSD-2-Clause", "BSD License\n" + bsd2), ("BSD-3-Clause", "BSD License\n" + bsd3), ("BSD-2-Clause", "BSD 2-Clause License\n" + bsd2),
+            ("CC-BY-4.0", cc.format("", "4.0")), ("CC-BY-SA-4.0", cc.format("-ShareAlike", "4.0")), ("CC-BY-NC-4.0", cc.format("-NonCommercial", "4.0")),
+            ("CC-BY-ND-4.0", cc.format("-NoDerivatives", "4.0")), ("CC-BY-NC-SA-4.0", cc.format("-NonCommercial-ShareAlike", "4.0")),
+            ("CC-BY-NC-ND-4.0", cc.format("-NonCommercial-NoDerivatives", "4.0")), (None, cc.format("", "3.0")), (None, cc.format("-NonCommercial", "2.5")),
+            ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0, with CC BY 3.0 parts."), ("CC-BY-ND-4.0", cc.format("-NoDerivatives", "4.0") + " Attribution 4.0")]
+    rows = [(i, f"{i}/x", t) for i, (_, t) in enumerate(want)]
+    got = {r["id"]: r["license"] for r in license_scan.scan(spark.createDataFrame(rows, "id long, p string, t string"), "id", "p", "t").collect()}
+    assert [(i, got[i]) for i in range(len(want))] == [(i, x) for i, (x, _) in enumerate(want)]
+    names = {n for n, _ in license_scan.NOTICES}
+    assert names == set(license_scan.MUST)
+    guards = {n: re.compile("(?s)" + g.replace("*+", "*").replace("}+", "}")) for n, g in license_scan.MUST.items()}
+    for name, text in license_scan.NOTICES:  # a notice's own licence, and no other one of a family by versions
+        if len(text) < 3000 and "-style" not in text and text != license_scan.BSD_GRANT:
+            said = {n for n, g in guards.items() if g.match(text.lower())} - {"MIT", "ISC"}
+            assert said <= {name} and (said or name in ("MIT", "ISC")), (name, said, text)
+
+
 def test_unrecognised_licence_file_is_the_nearest(spark):
     """Files under a licence file of unknown terms do not take the licence of a farther one; blank ones and sources are no licence files."""
     files = [("r/LICENSE", "Released under the MIT License."), ("r/a/LICENSE", "Our own terms: ask us first."), ("r/a/x.txt", "prose"), ("r/a/b/y.txt", None),
@@ -461,3 +543,18 @@ def test_repeated_and_missing_ids_keep_their_links(spark):
     got = [(x["doc_id"], x["component_id"], x["n_links"]) for x in ngram_join.join(
         spark.createDataFrame(docs, "doc_id long, text string"), width=4, percent=92).collect()]
     assert sorted(got, key=str) == sorted([(5, 5, 1), (5, 5, 1), (7, 5, 1), (8, 5, 1), (21, 21, 1), (None, 21, 2), (23, 21, 1), (None, None, 0)], key=str)
+
+
+def test_common_template_makes_no_diagonals(spark, monkeypatch):
+    """Documents and items with one opening of 12 words in common share no window: nothing is joined; a 13th word makes all of it hits."""
+    opening = " ".join(f"open{i}" for i in range(12))
+    seen = {}
+    keep = decontaminate.stage
+    monkeypatch.setattr(decontaminate, "stage", lambda df, name: seen.setdefault(name, keep(df, name)))
+    tail = lambda tag, n: " ".join(f"{tag}{n}w{i}" for i in range(20))
+    docs = [(n, f"{opening} {tail('d', n)}") for n in range(40)] + [(100, f"x {opening} i7w0 and more"), (101, "short one here"), (102, "a short one here, short ONE here")]
+    items = [(n, f"{opening} {tail('i', n)}") for n in range(40)] + [(200, "short one here"), (201, "one"), (202, "short one"), (203, "here short")]
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.hits(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {100: (13, ["7"]), 101: (3, ["200", "201", "202"]), 102: (6, ["200", "201", "202", "203"])}
+    assert seen["found"].where("len = 13").count() == 1

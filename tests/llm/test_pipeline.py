@@ -71,8 +71,25 @@ def test_odd_rows_and_clashing_names(spark, edge_dir):
     near = [key(r) for r in C.near_duplicates(spark, docs, edge_dir).collect()]
     assert near.count((6, PROSE)) == 1 and (7, PROSE) not in near and near.count((-3, "one two")) == 1 and (51, "one two") not in near
     assert (None, None) in near and (None, PROSE) in near and (1, None) in near and (2, "") in near
-    assert not [k for k in near if k[0] == 8]  # one of its texts is near 6, and all rows of an id are one document
+    assert [t for i, t in near if i == 8] == ["Another text under the same id, long enough to count as a line."]  # its other text is near 6
     clean = [key(r) for r in C.decontaminated(spark, docs, edge_dir).collect()]
     assert (6, PROSE) not in clean and (None, PROSE) not in clean and (-3, "one two") not in clean and (9, edge_documents()[12][1]) in clean
     assert sorted(map(str, (r["doc_id"] for r in C.lines(spark, docs, edge_dir).collect()))) == sorted(str(d[0]) for d in edge_documents())
     assert len(C.run(spark, edge_dir).collect()) > 0
+
+
+def test_near_duplicates_go_by_id_and_text(spark):
+    """Unlike texts under one id are documents of their own; equal rows and near copies go, whatever the partitions."""
+    def near(tag, *changed):
+        return " ".join(f"{tag}{'x' if i in changed else ''}{i}" for i in range(60))
+    docs = [(5, near("a")), (5, near("b")), (5, near("a")), (7, near("a", 59)), (8, near("b", 59)), (9, near("c")), (9, near("c").upper()), (9, near("c")),
+            (4, near("d", 0)), (4, near("d")), (11, near("d")), (12, ""), (12, ""), (12, " "), (13, None), (13, None), (None, near("a")), (None, near("a"))]
+    for n in (1, 5):
+        df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS row", "1 AS label").repartition(n)
+        got = sorted(((r["doc_id"], r["text"]) for r in C.near_duplicates(spark, df, SF).collect()), key=str)
+        nine = [t for i, t in got if i == 9]
+        assert len(nine) == 1 and nine[0].lower() == near("c")
+        four = [t for i, t in got if i == 4]
+        assert len(four) == 1 and four[0] in (near("d"), near("d", 0))
+        rest = [(5, near("a")), (5, near("b")), (12, ""), (12, " "), (13, None), (None, near("a")), (None, near("a"))]
+        assert [k for k in got if k[0] not in (9, 4)] == sorted(rest, key=str)

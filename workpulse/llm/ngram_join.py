@@ -140,14 +140,17 @@ def signatures(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def classify(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, s1, s2 of every row of ``docs`` (doc_id, text)."""
+    """doc_id, n, s1, s2 and the further numbers of every row of ``docs`` (doc_id, text, numbers)."""
+    more = docs.columns[2:]
+
     def run(batches):
         for b in batches:
             for first, rows, h, n in hashed(b, 1, width):
                 s1, s2 = signatures(h, n)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, rows), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2)],
-                                                 names=["doc_id", "n", "s1", "s2"])
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
+                rest = [b.column(i).slice(first, rows) for i in range(2, 2 + len(more))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, rows), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2), *rest],
+                                                 names=["doc_id", "n", "s1", "s2", *more])
+    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long" + "".join(f", {c} long" for c in more))
 
 
 def part_postings(docs: DataFrame, width: int, part: float) -> DataFrame:
@@ -264,13 +267,10 @@ def search(percent: int):
     return run
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """key, n_shingles, component_id and n_links (other documents it links with) of every row.
-
-    ``width``: words of a shingle; ``percent``: least Jaccard similarity.
-    """
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Steps 1 to 4 for ``docs`` (doc_id, text, further numbers): its rows with their sets, the distinct sets, and links between these."""
     rows = stage(classify(docs, width), "classes")
+    docs = docs.select("doc_id", "text")
     classes = stage(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("first"), F.count("*").alias("copies"))
                     .withColumn("cls", F.monotonically_increasing_id()), "numbers")
 
@@ -310,8 +310,39 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
              .select("unit", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "cls", "first", "n", "copies", "hashes"))
     found = stage(dealt.groupBy("unit", "i", "j").applyInPandas(search(percent), "cls long, first long, other long, other_first long, links long"), "links")
 
+    return rows, classes, found
+
+
+def link_edges(found: DataFrame) -> DataFrame:
+    """The links as edges between (smallest document id, set)."""
+    return found.select(F.struct("first", "cls").alias("a"), F.struct(F.col("other_first").alias("first"), F.col("other").alias("cls")).alias("b"))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, row (hash of the text), label (number of its set, null without words) and stays, of every row.
+
+    A row stays if its set is the first of its component and its id the
+    smallest of that set; unlike texts under one id are not one document here.
+    Rows without id or words stay. Rows of one id and label that stay are
+    copies of each other (their texts may differ in case or white space).
+    """
+    rows, classes, found = linked(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("row")), width, percent)
+    component = connected_components(link_edges(found), "components").select(F.col("node.cls").alias("cls"), F.col("component.cls").alias("component"))
+    classes = classes.join(component, "cls", "left").select("n", "s1", "s2", "cls", "first", (F.coalesce("component", "cls") == F.col("cls")).alias("leads"))
+    return rows.join(classes, ["n", "s1", "s2"], "left").select(
+        "doc_id", "row", F.col("cls").alias("label"),
+        F.coalesce(F.col("doc_id").isNull() | F.col("cls").isNull() | (F.col("leads") & (F.col("doc_id") == F.col("first"))), F.lit(True)).alias("stays"))
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """key, n_shingles, component_id and n_links (other documents it links with) of every row.
+
+    ``width``: words of a shingle; ``percent``: least Jaccard similarity.
+    """
+    rows, classes, found = linked(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), width, percent)
+
     # 5. Components of the links and of repeated ids, by each set's smallest document id, and their documents.
-    edges = found.select(F.struct("first", "cls").alias("a"), F.struct(F.col("other_first").alias("first"), F.col("other").alias("cls")).alias("b"))
+    edges = link_edges(found)
     sign = F.struct("n", "s1", "s2")
     again = stage(rows.where("doc_id IS NOT NULL AND n > 0").groupBy("doc_id").agg(F.min(sign).alias("lo"), F.max(sign).alias("hi")).where("lo != hi").select("doc_id"), "again")
     if not again.isEmpty():
