@@ -43,15 +43,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id, once.
 
-    Documents without id cannot be told apart and stay.
+    Documents go by id and text: another text under the same id is another
+    document. Of texts that differ in case or white space only, under one
+    id, the one with the smallest hash stays. Documents without id cannot be
+    told apart and stay.
     """
-    groups = stage(ngram_join.join(docs, width=SHINGLE_WORDS, percent=SIMILARITY).select("doc_id", "component_id"), "groups")
-    gone = small_ids(stage(groups.where("doc_id != component_id").select("doc_id").distinct(), "gone"))
-    again = stage(groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
-    rows = packed(docs, "doc_id")
-    stay = rows.join(gone, "doc_id", "left_anti")
-    if not again.isEmpty():  # rows that repeat an id: one of them
-        stay = stay.join(again, "doc_id", "left_anti").unionByName(stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    groups = stage(ngram_join.representatives(docs, width=SHINGLE_WORDS, percent=SIMILARITY), "groups")
+    gone = stage(groups.where("NOT stays").select("doc_id", "row").distinct(), "gone")
+    mine = F.when(F.col("label").isNull(), F.col("row")).alias("blank")  # texts without words are alike only if equal
+    again = stage(groups.where("stays AND doc_id IS NOT NULL").groupBy("doc_id", "label", mine).agg(
+        F.min("row").alias("row"), F.max("row").alias("last"), F.count("*").alias("rows")).where("rows > 1").select("doc_id", "label", "row", "last"), "again")
+    rows = packed(docs, "doc_id", F.xxhash64("text").alias("row"))
+    stay = rows.join(small_ids(gone), ["doc_id", "row"], "left_anti")
+    if not again.isEmpty():  # copies under one id: one of them
+        least = again.where("row != last").select("doc_id", "label", F.col("row").alias("least"))
+        copies = groups.where("stays").join(least, ["doc_id", "label"]).where("row != least").select("doc_id", "row").distinct()
+        stay = stay.join(copies, ["doc_id", "row"], "left_anti")
+        once = again.select("doc_id", "row")
+        stay = stay.join(once, ["doc_id", "row"], "left_anti").unionByName(stay.join(once, ["doc_id", "row"], "left_semi").dropDuplicates(["doc_id", "row"]))
     return stay.select("_doc.*")
 
 
