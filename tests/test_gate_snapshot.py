@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from workpulse import schemas as SC
+from workpulse.operators.routing import recipient_batches, report_outbox
 from workpulse.params import HIERARCHY_FORWARD, Params
 from workpulse.plans.daily import run_daily
 from workpulse.sources.snapshot_store import read_history, read_snapshot, upsert
@@ -240,3 +241,18 @@ def test_reminder_disposition_order(spark):
     assert got == {1: ("skipped_state", None), 2: ("skipped_good_quality", None),
                    3: ("skipped_no_email", "no comment today"), 4: ("already_recipient", None),
                    5: ("sent", "copy-pasted comment (score 9/10)"), 6: ("sent", None)}
+
+
+def test_recipients_come_in_bounded_batches(spark):
+    """Distinct addresses in order, each once, none over the size; no recipients give one row without addresses."""
+    emails = [f"  p{i % 230:03d}@x.io " for i in range(500)] + [None, " "]
+    table = spark.createDataFrame([(e,) for e in emails], "email string")
+    got = {r.batch: r.recipients for r in recipient_batches(table, 50).collect()}
+    assert sorted(got) == [0, 1, 2, 3, 4] and [len(got[b]) for b in sorted(got)] == [50, 50, 50, 50, 30]
+    assert [e for b in sorted(got) for e in got[b]] == [f"p{i:03d}@x.io" for i in range(230)]
+    summary = spark.createDataFrame([("o", "p", 3, 1), ("o", "q", 1, 0)], "org string, project string, total_tasks long, flagged_tasks long")
+    sprint = spark.createDataFrame([("o", "p", "S1"), ("o", "q", "S1")], "org string, project string, sprint_name string")
+    rows = lambda p, table=None: sorted((r.project, r.batch, len(r.recipients)) for r in report_outbox(summary, sprint, "2024-01-30 18:00:00", p, table).collect())
+    assert rows(Params(report_batch=100), table) == [(p, b, n) for p in "pq" for b, n in ((0, 100), (1, 100), (2, 30))]
+    assert rows(Params(), table.where("false")) == rows(Params()) == [("p", 0, 0), ("q", 0, 0)]
+    assert rows(Params(recipients=("a@x.io", "b@x.io", "c@x.io"), report_batch=2)) == [(p, b, n) for p in "pq" for b, n in ((0, 2), (1, 1))]

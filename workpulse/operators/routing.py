@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from workpulse.functions.dates import as_of_ts, display_date, display_datetime
 from workpulse.functions.text import py_strip, reminder_first_name
+from workpulse.operators.ranking import with_positions
 from workpulse.params import Params
-from workpulse.session import join_small
+from workpulse.session import join_small, stage_table
 
 # ---------------------------------------------------------------------------
 # Fixed values (message texts and formats).
@@ -108,22 +109,39 @@ def reminder_outbox(disp: DataFrame, as_of: str, p: Params) -> DataFrame:
     )
 
 
+def recipient_batches(recipients: DataFrame, size: int) -> DataFrame:
+    """``batch`` (from 0) and its ``recipients``: the distinct addresses in order, ``size`` to a batch.
+
+    Addresses are numbered by ranges of their order, so no task and no row holds all of them.
+    """
+    listed = recipients.select(F.lit(1).alias("list"), py_strip(F.col("email")).alias("email")).where("email != ''").distinct()
+    placed = with_positions(listed, ["list"], [F.col("email")])
+    return (placed.groupBy(F.floor((F.col("position") - 1) / F.lit(size)).cast("long").alias("batch"))
+            .agg(F.array_sort(F.collect_list("email")).alias("recipients")))
+
+
 def report_outbox(summary: DataFrame, sprint: DataFrame, as_of: str, p: Params, recipients: DataFrame | None = None
                   ) -> DataFrame:
-    """S9 + X11: one report row per project with tasks, addressed to the fixed recipients.
+    """S9 + X11: one report row per project with tasks and ``batch`` of recipients, the array of a mail header.
 
     ``recipients`` (email), the same table that the dispositions use, comes
-    before the parameter list; the list is a mail header, so it is one array.
+    before the parameter list. A batch has ``p.report_batch`` addresses at
+    most; without recipients each project has one row with an empty array.
     """
     today = display_date(as_of_ts(as_of))
     s = summary.join(sprint.select("org", "project", "sprint_name"), ["org", "project"])
-    rcpt = F.array(*[F.lit(r) for r in p.recipients]) if p.recipients else F.array().cast("array<string>")
-    if recipients is not None:
-        listed = recipients.agg(F.array_sort(F.collect_set(py_strip(F.col("email")))).alias("listed"))
-        s = s.withColumn("_one", F.lit(1)).join(F.broadcast(listed.withColumn("_one", F.lit(1))), "_one")  # one row
-        rcpt = F.col("listed")
+    if recipients is None:
+        lists = [p.recipients[i:i + p.report_batch] for i in range(0, len(p.recipients), p.report_batch)] or [()]
+        rows = F.array(*[F.struct(F.lit(i).cast("long").alias("batch"), F.array(*[F.lit(r) for r in x]).cast("array<string>").alias("recipients"))
+                         for i, x in enumerate(lists)])
+        s = s.select("*", F.inline(rows))
+    else:
+        batches = stage_table(recipient_batches(recipients, p.report_batch), "recipient batches")
+        n = batches.count()
+        s = s.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 1) - 1).cast("long"))).alias("batch"))
+        s = s.join(batches, "batch", "left").withColumn("recipients", F.coalesce("recipients", F.array().cast("array<string>")))
     return s.select(
-        "org", "project", F.lit("report").alias("kind"), rcpt.alias("recipients"),
+        "org", "project", "batch", F.lit("report").alias("kind"), "recipients",
         F.format_string(REPORT_SUBJECT, F.col("sprint_name"), today).alias("subject"),
         F.format_string(REPORT_BODY, F.col("sprint_name"), today, F.col("total_tasks"), F.col("flagged_tasks"),
                         F.col("total_tasks") - F.col("flagged_tasks")).alias("body"),

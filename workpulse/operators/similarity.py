@@ -7,31 +7,114 @@ Relational form of the vectoriser defaults (raw term counts,
 Shape of the plan (no Python, no collect):
   * texts are cleaned and tokenised once, into a stage table; eligibility and exact match are aggregations over it
     (exact by SHA-256 of the cleaned text);
-  * term counts per (key, doc, term) with an exchange of their own, document frequency per (key, term);
-  * the only join of vectors pairs today's single vector with each past vector on (key, term): 1 x N per task,
-    never N x N. AQE splits skewed join partitions.
+  * term counts per (key, doc, term) with an exchange of their own, then one row per (key, term) with its idf and its
+    weight in today's text: one join of a past text's terms gives both its norm and its dot product;
+  * a threshold search comes first: past texts meet today's heaviest terms only, and a text whose upper bound
+    (``upper_bound``) stays below the threshold is never multiplied out;
+  * every join of vectors pairs today's single vector with past vectors on (key, term): 1 x N per task, never N x N.
+    AQE splits skewed join partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from workpulse.functions.text import clean_text, tokens
 from workpulse.session import stage_table
 
+#: Bounds and thresholds are compared with this slack, far above the rounding of the sums.
+SLACK = 1e-9
 
-def copy_paste(docs: DataFrame, threshold: float, key: str = "key") -> DataFrame:
+
+def term_counts(d: DataFrame, key: str) -> DataFrame:
+    """``key, doc, term, tf`` (A10) with the doc's ``is_today``, ``n_tokens`` and ``n_terms``.
+
+    Grouping on one struct asks for an exchange on all three: rows that already
+    lie by key would otherwise be counted where they are, a hot key in one task.
+    """
+    words = d.select(key, "doc", "is_today", "n_tokens", "n_terms", F.explode("terms").alias("term"))
+    return (words.groupBy(F.struct(key, "doc", "term").alias("g"))
+            .agg(F.count(F.lit(1)).alias("tf"), *[F.max(c).alias(c) for c in ("is_today", "n_tokens", "n_terms")])
+            .select("g.*", "tf", "is_today", "n_tokens", "n_terms"))
+
+
+def vocabulary(counts: DataFrame, elig: DataFrame, key: str) -> DataFrame:
+    """``key, term, idf, wt`` of the eligible keys; ``wt`` is the term's weight today, null if today's text lacks it."""
+    held = counts.groupBy(key, "term").agg(F.count(F.lit(1)).alias("df"), F.max(F.when(F.col("is_today"), F.col("tf"))).alias("t_tf"))
+    idf = F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + F.lit(1.0)
+    return held.join(elig, key).select(key, "term", idf.alias("idf"), (F.col("t_tf") * idf).alias("wt"))
+
+
+def heads(today: DataFrame, threshold: float, key: str) -> DataFrame:
+    """``key, term, idf, wt, tail, t_norm``: the fewest heaviest terms of today's text that a copy cannot all lack.
+
+    ``tail`` is the norm of the terms left out: below ``threshold`` of the whole
+    (``t_norm``), so a past text with none of the head terms stays below it.
+    The window is over the terms of one text.
+    """
+    square = F.col("wt") * F.col("wt")
+    order = Window.partitionBy(key).orderBy(F.col("wt").desc(), "term")
+    whole = F.sum(square).over(Window.partitionBy(key))
+    after = F.sum(square).over(order.rowsBetween(1, Window.unboundedFollowing))
+    t = today.select("*", whole.alias("whole"), F.coalesce(after, F.lit(0.0)).alias("after"))
+    floor = F.lit(threshold * threshold - SLACK) * F.col("whole")
+    head = t.where(F.col("after") + square >= floor)
+    return head.select(key, "term", "idf", "wt", F.sqrt(F.min("after").over(Window.partitionBy(key))).alias("tail"), F.sqrt("whole").alias("t_norm"))
+
+
+def upper_bound(dot: Column, square: Column, rest: Column, tail: Column, t_norm: Column) -> Column:
+    """The greatest cosine that a past text can have, from its head terms alone.
+
+    With head dot product ``a``, head norm ``h``, norm ``s`` of its other terms
+    and tail norm ``b`` of today's text, the cosine is at most
+    ``(a + b s) / (t sqrt(h h + s s))`` (Cauchy-Schwarz on the tail). It rises
+    up to ``s = b h h / a`` and falls behind; ``rest`` is a lower bound of
+    ``s``, so the greatest value lies at the larger of the two.
+    """
+    s = F.greatest(rest, tail * square / dot)
+    return (dot + tail * s) / (t_norm * F.sqrt(square + s * s))
+
+
+def survivors(past: DataFrame, head: DataFrame, threshold: float, key: str) -> DataFrame:
+    """``key, doc`` of the past texts that may reach the threshold.
+
+    An idf is at least 1, and n tokens of m terms have squared counts of
+    ``n n / m`` or more, so the norm of a text's other terms needs no join.
+    """
+    w = F.col("tf") * F.col("idf")
+    met = (past.join(head, [key, "term"]).groupBy(key, "doc")
+           .agg(F.sum(w * F.col("wt")).alias("dot"), F.sum(w * w).alias("square"), F.sum("tf").alias("tokens"), F.count(F.lit(1)).alias("terms"),
+                *[F.max(c).alias(c) for c in ("n_tokens", "n_terms", "tail", "t_norm")]))
+    others = F.col("n_terms") - F.col("terms")
+    rest = F.when(others > 0, (F.col("n_tokens") - F.col("tokens")) / F.sqrt(others.cast("double"))).otherwise(F.lit(0.0))
+    bound = upper_bound(F.col("dot"), F.col("square"), rest, F.col("tail"), F.col("t_norm"))
+    return met.where(bound >= F.lit(threshold - SLACK)).select(key, "doc")
+
+
+def best_cosine(past: DataFrame, vocab: DataFrame, t_norm: DataFrame, key: str) -> DataFrame:
+    """``key, max_sim`` over the given past texts, all their terms multiplied."""
+    w = F.col("tf") * F.col("idf")
+    per_doc = (past.join(vocab, [key, "term"]).groupBy(key, "doc")
+               .agg(F.sqrt(F.sum(w * w)).alias("norm"), F.sum(w * F.coalesce(F.col("wt"), F.lit(0.0))).alias("dot")))
+    cos = F.when((F.col("norm") > 0) & (F.col("t_norm") > 0), F.col("dot") / (F.col("norm") * F.col("t_norm")))
+    return per_doc.join(t_norm, key).groupBy(key).agg(F.max(cos).alias("max_sim"))
+
+
+def copy_paste(docs: DataFrame, threshold: float, key: str = "key", report_max: bool = True) -> DataFrame:
     """``docs(key, doc, is_today, text)`` -> ``(key, max_sim, exact_match, copy_paste_detected)``.
 
     A key is scored only when its today text and at least one past text are
     non-blank after strip + lower (F10, M17); other keys are absent (callers
-    default them to not copied). ``doc`` must be unique within a key.
+    default them to not copied). ``doc`` must be unique within a key, and a key
+    has one today text. Keys that the threshold search leaves below
+    ``threshold`` have a null ``max_sim`` unless ``report_max`` is set: then
+    their past texts are multiplied out for the figure, which decides nothing.
     """
     # Texts are cleaned and tokenised once: the stage table holds each doc's terms and the digest of its text.
     text = docs.select(key, "doc", "is_today", clean_text(F.col("text")).alias("clean"))
-    d = stage_table(text.select(key, "doc", "is_today", F.sha2("clean", 256).alias("digest"), tokens(F.col("clean")).alias("terms"),
-                                (F.col("clean") != "").alias("filled")), "copy-paste terms").where("filled")
+    d = stage_table(text.select(key, "doc", "is_today", F.sha2("clean", 256).alias("digest"), tokens(F.col("clean")).alias("terms"), (F.col("clean") != "").alias("filled"))
+                    .withColumns({"n_tokens": F.size("terms"), "n_terms": F.size(F.array_distinct("terms"))}), "copy-paste terms").where("filled")
     # Corpus size and eligibility per key (U5): one aggregation.
     elig = (d.groupBy(key)
             .agg(F.count_if("is_today").alias("n_today"), F.count(F.lit(1)).alias("n_docs"))
@@ -42,29 +125,20 @@ def copy_paste(docs: DataFrame, threshold: float, key: str = "key") -> DataFrame
              .agg(F.bool_or("is_today").alias("t"), F.bool_or(~F.col("is_today")).alias("p"))
              .where(F.col("t") & F.col("p")).select(key).distinct()
              .withColumn("exact_match", F.lit(True)))
-    # A10: term frequency per (key, doc, term). Grouping on one struct asks for an exchange on all three: rows that
-    # already lie by key (after a join on it) would otherwise be counted where they are, a hot key in one task.
-    # ``is_today`` rides along as an aggregate, so that the filters on it stay above this aggregation.
-    tf = (d.select(key, "doc", "is_today", F.explode("terms").alias("term"))
-          .groupBy(F.struct(key, "doc", "term").alias("g")).agg(F.count(F.lit(1)).alias("tf"), F.max("is_today").alias("is_today")).select("g.*", "tf", "is_today"))
-    idf = (tf.groupBy(key, "term").agg(F.count(F.lit(1)).alias("df")).join(elig, key)
-           .select(key, "term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + F.lit(1.0)).alias("idf")))
-    w = tf.join(idf, [key, "term"]).select(key, "doc", "is_today", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    wt = w.where("is_today").select(key, "term", F.col("w").alias("wt"))
-    t_norm = wt.groupBy(key).agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("t_norm"))
-    # Every past vector against today's vector of the same key (1 x N). The left join on (key, term) keeps
-    # all past terms, so one aggregation per past doc yields both its norm and its dot product.
-    per_doc = (w.where(~F.col("is_today")).join(wt, [key, "term"], "left")
-               .groupBy(key, "doc")
-               .agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-                    F.sum(F.col("w") * F.coalesce(F.col("wt"), F.lit(0.0))).alias("dot")))
-    cos = per_doc.join(t_norm, key).select(
-        key, F.when((F.col("norm") > 0) & (F.col("t_norm") > 0),
-                    F.col("dot") / (F.col("norm") * F.col("t_norm"))).alias("cos"))
-    # Best match per key; a past that shares no term scores 0.
-    best = cos.groupBy(key).agg(F.max("cos").alias("max_sim"))
+    counts = stage_table(term_counts(d, key), "copy-paste counts")
+    vocab = stage_table(vocabulary(counts, elig, key), "copy-paste vocabulary")
+    past = counts.where(~F.col("is_today"))
+    today = vocab.where("wt IS NOT NULL")
+    t_norm = today.groupBy(key).agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("t_norm"))
+    near = survivors(past, heads(today, threshold, key), threshold, key)
+    best = best_cosine(past.join(near, [key, "doc"], "left_semi"), vocab, t_norm, key).where(F.col("max_sim") >= F.lit(threshold))
+    if report_max:
+        best = stage_table(best, "copy-paste copies")
+        others = past.join(best.select(key), key, "left_anti")
+        best = best.unionByName(best_cosine(others, vocab, t_norm, key))
+    # A past that shares no term scores 0.
     out = elig.select(key).join(best, key, "left").join(exact, key, "left")
     max_sim = F.coalesce(F.col("max_sim"), F.lit(0.0))
     exact_m = F.coalesce(F.col("exact_match"), F.lit(False))
-    return out.select(key, max_sim.alias("max_sim"), exact_m.alias("exact_match"),
+    return out.select(key, (max_sim if report_max else F.col("max_sim")).alias("max_sim"), exact_m.alias("exact_match"),
                       (exact_m | (max_sim >= F.lit(threshold))).alias("copy_paste_detected"))

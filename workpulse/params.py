@@ -57,6 +57,8 @@ class Params:
     gate_state: str = "active"
     good_threshold: int = 7
     recipients: tuple = ()
+    # Addresses of one report row.
+    report_batch: int = 100
     # "latest": latest compliant snapshot row of any date (reference code);
     # "yesterday": only a compliant row dated the day before as_of counts.
     gate_policy: str = "latest"

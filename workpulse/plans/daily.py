@@ -73,7 +73,7 @@ def analyse(tasks: DataFrame, recent: DataFrame, as_of: str, p: Params, history:
     analysed = F.col("branch") == F.lit(BRANCH_ANALYSED)
     # Similarity only for analysed tasks (explicit filter before the costly stage).
     docs = similarity_docs(recent, t.where(analysed).select("org", "id"))
-    cp = copy_paste(docs, p.copy_paste_threshold).select(
+    cp = copy_paste(docs, p.copy_paste_threshold, report_max=False).select(
         F.col("key.org").alias("org"), F.col("key.work_item_id").alias("id"), F.col("copy_paste_detected").alias("cp"))
     t = t.join(cp, ["org", "id"], "left")
     t = grade(t, as_of, grader_responses)

@@ -18,6 +18,7 @@ from workpulse.plans.daily import DailyRun, run_daily
 from workpulse.session import checkpoint_dir
 from workpulse.sources import standins as SV
 from workpulse.sources.comment_state import COLUMNS, compact, newest_comments
+from workpulse.sources.landed import COMMENT_PAYLOAD, CORRUPT, explode_comments, read_json
 from workpulse.sources.snapshot_store import observed_upsert, read_snapshot
 from workpulse.streaming.replies import closing_marks, match_landed
 
@@ -224,10 +225,52 @@ def sql_write_report() -> str:
       UNION ALL SELECT 'empty', 0, 0, 0, 0, false, count(*) FROM final""")
 
 
+# ---------------------------------------------------------------------------
+# Quarantine
+# ---------------------------------------------------------------------------
+
+def q_quarantined_records(spark, sf) -> DataFrame:
+    """Comment payloads landed as lines, some of them cut, mistyped, no JSON, empty or blank: the comments of the
+    good ones beside the text of the others, which name the file they came from."""
+    e = SV.read_table(spark, sf, "events").select("event_id", F.col("event_id").cast("string").alias("eid"),
+                                                  F.col("user_id").cast("string").alias("uid"), "event_type")
+    m = F.col("event_id") % 9
+    head = F.concat(F.lit('{"org": "contoso", "work_item_id": '), "uid")
+    line = (F.when(m == 0, head)
+            .when(m == 1, F.concat(F.lit('{"org": "contoso", "work_item_id": "seven", "comments": [{"id": '), "eid", F.lit("}]}")))
+            .when(m == 2, F.concat(F.lit("no record: "), "eid")).when(m == 3, F.lit("{}")).when(m == 4, F.lit("  "))
+            .when(m == 5, F.concat(head, F.lit(', "comments": null}')))
+            .otherwise(F.concat(head, F.lit(', "comments": [{"id": '), "eid", F.lit(', "text": "'), "event_type", F.lit('"}]}'))))
+    path = new_folder(spark, "payload-lines")
+    e.select(line.alias("value")).write.text(path)
+    got = read_json(spark, path, COMMENT_PAYLOAD)
+    nothing = F.lit(None)
+    good = explode_comments(got.rows).select(F.lit("comment").alias("kind"), "org", "work_item_id", F.col("id").alias("comment_id"), "text",
+                                             nothing.cast("string").alias("record"), nothing.cast("boolean").alias("has_file"))
+    bad = got.quarantine.select(F.lit("quarantined").alias("kind"), nothing.cast("string").alias("org"), nothing.cast("long").alias("work_item_id"),
+                                nothing.cast("long").alias("comment_id"), nothing.cast("string").alias("text"), F.col(CORRUPT).alias("record"),
+                                (F.col("file").contains(path.rsplit("/", 1)[1]) & F.col("split_start").isNotNull() & F.col("landed_at").isNotNull()).alias("has_file"))
+    return good.unionByName(bad)
+
+
+def sql_quarantined_records() -> str:
+    return """
+      SELECT 'comment' AS kind, 'contoso' AS org, user_id AS work_item_id, event_id AS comment_id, event_type AS text,
+        NULL::VARCHAR AS record, NULL::BOOLEAN AS has_file
+      FROM events WHERE event_id % 9 > 5
+      UNION ALL
+      SELECT 'quarantined', NULL, NULL, NULL, NULL,
+        CASE event_id % 9 WHEN 0 THEN '{"org": "contoso", "work_item_id": ' || user_id
+          WHEN 1 THEN '{"org": "contoso", "work_item_id": "seven", "comments": [{"id": ' || event_id || '}]}'
+          WHEN 2 THEN 'no record: ' || event_id ELSE '{}' END, true
+      FROM events WHERE event_id % 9 < 4"""
+
+
 LOOPS = {
     "comment_state_loop": (q_comment_state_loop, sql_comment_state_loop),
     "comment_lookback": (q_comment_lookback, sql_comment_lookback),
     "daily_with_replies": (q_daily_with_replies, sql_daily_with_replies),
     "ordered_children": (q_ordered_children, sql_ordered_children),
     "write_report": (q_write_report, sql_write_report),
+    "quarantined_records": (q_quarantined_records, sql_quarantined_records),
 }

@@ -51,8 +51,8 @@ def _sql_pipeline(final: str, as_of: str = AS_OF) -> str:
 
 
 def _rec_cte() -> tuple[str, str]:
-    return ("sv_recipients", "SELECT upper(lower(c_name) || '@example.com') AS email FROM customer "
-                             "WHERE c_custkey % 50 = 1")
+    return ("sv_recipients", "SELECT upper(lower(c_name) || CASE WHEN c_mktsegment = 'MACHINERY' THEN '@example.com' "
+                             "ELSE '@partner.example.com' END) AS email FROM customer")
 
 
 # ---------------------------------------------------------------------------
@@ -171,18 +171,30 @@ def _sim_out(res: DataFrame, key: str) -> DataFrame:
                       "copy_paste_detected")
 
 
+def _with_copies(docs: DataFrame, number) -> DataFrame:
+    """Beside the rows, a past copy of some today texts, whole or with an addition, so that every outcome occurs."""
+    text = F.when(number % 5 == 0, F.concat(F.lit("  "), "text", F.lit(" "))).otherwise(F.concat("text", F.lit(" and so on")))
+    copies = docs.where(F.col("is_today") & (number % 5 <= 1))
+    return docs.unionByName(copies.select("key", F.lit(-1).cast("long").alias("doc"), F.lit(False).alias("is_today"), text.alias("text")))
+
+
+def _copies_sql(docs: str, number: str) -> list[tuple[str, str]]:
+    return [("base", docs), ("sdocs", f"""SELECT * FROM base UNION ALL SELECT key, -1 AS doc, false AS is_today,
+      CASE WHEN {number} % 5 = 0 THEN '  ' || text || ' ' ELSE text || ' and so on' END AS text FROM base WHERE is_today AND {number} % 5 <= 1""")]
+
+
 def q_copy_paste_similarity(spark, sf):
     conv = SV.read_table(spark, sf, "conversations").select("conv_id", "turn", "text")
     last = conv.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
     docs = join_small(conv, last, "conv_id").select(F.col("conv_id").alias("key"), F.col("turn").alias("doc"),
                                               (F.col("turn") == F.col("last_turn")).alias("is_today"), "text")
-    return _sim_out(copy_paste(docs, P.copy_paste_threshold), "conv_id")
+    return _sim_out(copy_paste(_with_copies(docs, F.col("key")), P.copy_paste_threshold), "conv_id")
 
 
 def sql_copy_paste_similarity():
     docs = ("SELECT conv_id AS key, turn AS doc, turn = max(turn) OVER (PARTITION BY conv_id) AS is_today, text "
             "FROM conversations")
-    return O.with_ctes([("sdocs", docs)] + O.similarity_ctes("sdocs", P.copy_paste_threshold),
+    return O.with_ctes(_copies_sql(docs, "key") + O.similarity_ctes("sdocs", P.copy_paste_threshold),
                        "SELECT key AS conv_id, round(max_sim, 6) AS max_sim, exact_match, copy_paste_detected "
                        "FROM cp_result")
 
@@ -240,13 +252,13 @@ def q_copy_paste_documents(spark, sf):
         F.concat_ws("/", "source", "lang").alias("key"), F.col("doc_id").alias("doc"), "text")
     last = docs.groupBy("key").agg(F.max("doc").alias("last_doc"))
     d = join_small(docs, last, "key").select("key", "doc", (F.col("doc") == F.col("last_doc")).alias("is_today"), "text")
-    return _sim_out(copy_paste(d, P.copy_paste_threshold), "source_lang")
+    return _sim_out(copy_paste(_with_copies(d, F.col("doc")), P.copy_paste_threshold), "source_lang")
 
 
 def sql_copy_paste_documents():
     docs = ("SELECT source || '/' || lang AS key, doc_id AS doc, "
             "doc_id = max(doc_id) OVER (PARTITION BY source, lang) AS is_today, text FROM documents")
-    return O.with_ctes([("sdocs", docs)] + O.similarity_ctes("sdocs", P.copy_paste_threshold),
+    return O.with_ctes(_copies_sql(docs, "doc") + O.similarity_ctes("sdocs", P.copy_paste_threshold),
                        "SELECT key AS source_lang, round(max_sim, 6) AS max_sim, exact_match, copy_paste_detected "
                        "FROM cp_result")
 
@@ -607,7 +619,7 @@ def sql_reminder_outbox():
 
 
 def q_report_outbox(spark, sf):
-    return _run(spark, sf).report.select("org", "project", F.array_join("recipients", ",").alias("recipients"), "subject",
+    return _run(spark, sf).report.select("org", "project", "batch", F.array_join("recipients", ",").alias("recipients"), "subject",
                                          "body", "fetched_at_display")
 
 
@@ -619,13 +631,15 @@ def sql_report_outbox():
             "CAST(total - flagged AS VARCHAR)"]
     body = " || ".join(O.q(pt) + (f" || {vals[i]}" if i < len(vals) else "") for i, pt in enumerate(parts))
     sp = REPORT_SUBJECT.split("%s")
-    return O.with_ctes(O.pipeline_ctes(AS_OF, P) + [_rec_cte()], f"""
-      SELECT org, project, (SELECT string_agg(DISTINCT email, ',' ORDER BY email) FROM sv_recipients) AS recipients,
+    batches = f"""SELECT batch, string_agg(email, ',' ORDER BY email) AS recipients
+      FROM (SELECT email, (row_number() OVER (ORDER BY email) - 1) // {P.report_batch} AS batch FROM (SELECT DISTINCT email FROM sv_recipients)) GROUP BY batch"""
+    return O.with_ctes(O.pipeline_ctes(AS_OF, P) + [_rec_cte(), ("sv_batches", batches)], f"""
+      SELECT org, project, batch, recipients,
         {O.q(sp[0])} || sprint_name || {O.q(sp[1])} || {today} || {O.q(sp[2])} AS subject,
         {body} AS body, strftime({O.ts_lit(AS_OF)}, '%d %b %Y, %I:%M %p UTC') AS fetched_at_display
       FROM (SELECT org, project, any_value(sprint_name) AS sprint_name, count(*) AS total,
                    count(*) FILTER (WHERE needs_attention) AS flagged
-            FROM final GROUP BY org, project)""")
+            FROM final GROUP BY org, project) CROSS JOIN sv_batches""")
 
 
 def q_report_cards(spark, sf):

@@ -1,21 +1,23 @@
 """Landed tracker payloads -> typed inputs.
 
-Inputs are read with explicit schemas (never inferred) in PERMISSIVE mode; a
-record that does not parse is kept aside in a quarantine DataFrame instead of
-failing the job, and its item simply gets no rows (the reference's per-item
-failure -> empty behaviour).
+Inputs are read as lines and parsed with explicit schemas (never inferred); a
+record that does not parse is kept aside in a quarantine DataFrame, with the
+file it came from, instead of failing the job, and its item simply gets no rows
+(a failing item gives an empty result). Nothing is copied: rows and quarantine
+are two readings of the same lines, and each parses a line once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from workpulse import schemas as SC
-from workpulse.session import cut_lineage
 from workpulse.sources.standins import TrackerInputs
 
 CORRUPT = "_corrupt_record"
@@ -54,20 +56,31 @@ FIELD_KEYS = {
 
 @dataclass
 class Landed:
+    """``rows``: the records that parse. ``quarantine``: the text of the others, their file, the start of the split
+    of that file in which they lie, and when the file landed."""
+
     rows: DataFrame
     quarantine: DataFrame
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> Landed:
-    """PERMISSIVE JSON-lines read with a quarantine of unparseable records."""
+def read_json(spark: SparkSession, path: str, schema: T.StructType, landed: bool = False) -> Landed:
+    """JSON lines by ``schema``, with a quarantine of the records that do not parse or have no field of it.
+
+    Blank lines are skipped. ``landed`` adds ``landed_at``, the time of the file, to the rows.
+    """
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-           .json(path))
-    # Parse once and save the parsed records in the shared checkpoint folder: both outputs read it, and
-    # Spark only allows queries on the corrupt-record column of saved (not raw) parse results.
-    df = cut_lineage(raw)
-    return Landed(rows=df.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
-                  quarantine=df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    meta = [F.col(f"_metadata.{name}").alias(out) for name, out in
+            (("file_path", "file"), ("file_block_start", "split_start"), ("file_modification_time", "landed_at"))]
+    lines = spark.read.text(path).select("value", F.struct(*meta).alias("_from")).where(F.trim("value") != "")
+    # The generator keeps the parsed columns apart from the filters, which would else be moved below the
+    # projection and parse the line again.
+    parsed = lines.select(F.col("value").alias("_line"), "_from", F.inline(F.array(F.from_json("value", full, options))))
+    nothing = reduce(and_, [F.col(f.name).isNull() for f in schema.fields])
+    bad = F.col(CORRUPT).isNotNull() | nothing
+    at = [F.col("_from.landed_at").alias("landed_at")] if landed else []
+    return Landed(rows=parsed.where(~bad).select(*schema.names, *at),
+                  quarantine=parsed.where(bad).select(F.col("_line").alias(CORRUPT), "_from.*"))
 
 
 def explode_comments(payloads: DataFrame) -> DataFrame:
@@ -101,7 +114,7 @@ def load_tracker(spark: SparkSession, base: str, history: DataFrame | None = Non
     st = read_json(spark, f"{base}/stories", SC.STORIES)
     ln = read_json(spark, f"{base}/links", SC.LINKS)
     wi = read_json(spark, f"{base}/work_items", WORK_ITEM_PAYLOAD)
-    cm = read_json(spark, f"{base}/comments", COMMENT_PAYLOAD)
+    cm = read_json(spark, f"{base}/comments", COMMENT_PAYLOAD, landed=True)
     inputs = TrackerInputs(iterations=it.rows, stories=st.rows, links=ln.rows, work_items=project_fields(wi.rows),
                            comments=explode_comments(cm.rows), history=history)
     return inputs, {"iterations": it.quarantine, "stories": st.quarantine, "links": ln.quarantine,

@@ -238,9 +238,10 @@ def analysis(work: DataFrame) -> DataFrame:
 
 
 def recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return c.where(F.col("c_custkey") % 50 == 1).select(
-        F.upper(F.concat(F.lower("c_name"), F.lit("@example.com"))).alias("email"))
+    """All customers; those of one segment have the address that tasks are assigned to, the others one elsewhere."""
+    c = read_table(spark, sf_dir, "customer").select("c_name", "c_mktsegment")
+    domain = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("@example.com")).otherwise(F.lit("@partner.example.com"))
+    return c.select(F.upper(F.concat(F.lower("c_name"), domain)).alias("email"))
 
 
 def grader_responses(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> DataFrame:
