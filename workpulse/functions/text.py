@@ -14,6 +14,8 @@ from workpulse.params import NUDGE_DEFAULT_FIRST_NAME, REMINDER_DEFAULT_FIRST_NA
 # Python str.isspace() characters as one regex class.
 WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 NON_WS = WS.replace("[", "[^", 1)
+# The same characters, to trim by.
+WS_CHARS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 # Entity decoding order and the image pattern.
 HTML_ENTITIES = (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"))
@@ -27,12 +29,20 @@ def _c(c) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()``: remove leading/trailing Python whitespace."""
-    return F.regexp_replace(_c(c), rf"\A{WS}+|{WS}+\z", "")
+    return F.btrim(_c(c).cast("string"), F.lit(WS_CHARS))
 
 
 def strip_html(c) -> Column:
-    """HTML comment body to plain text (X1). NULL/empty -> ''."""
-    t = F.coalesce(_c(c), F.lit(""))
+    """HTML comment body to plain text (X1). NULL/empty -> ''.
+
+    A text without tags, entities, breaks, tabs and runs of spaces only loses its ends, as every other step leaves it.
+    """
+    text = F.coalesce(_c(c), F.lit(""))
+    marked = text.contains("<") | text.contains("&") | text.contains("\n") | text.contains("\t") | text.contains("  ")
+    return F.when(marked, _strip_marked(text)).otherwise(py_strip(text))
+
+
+def _strip_marked(t: Column) -> Column:
     t = F.regexp_replace(t, rf"(?i)</(div|p|li|br){WS}*>", "\n")
     t = F.regexp_replace(t, rf"(?i)<br{WS}*/?>", "\n")
     t = F.regexp_replace(t, r"<[^>]+>", "")
@@ -45,7 +55,8 @@ def strip_html(c) -> Column:
 
 def image_urls(c) -> Column:
     """``src`` of every ``<img>`` tag, in document order (X2). NULL -> []."""
-    return F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(IMG_SRC_PATTERN), 1)
+    text = F.coalesce(_c(c), F.lit(""))
+    return F.when(text.contains("<"), F.regexp_extract_all(text, F.lit(IMG_SRC_PATTERN), 1)).otherwise(F.array().cast("array<string>"))
 
 
 def clean_text(c) -> Column:
