@@ -127,17 +127,19 @@ def score_block(docs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     n = len(docs)
     d = docs.flatten()
     key = np.repeat(np.arange(n), np.diff(docs.offsets.to_numpy()))
-    today = d.field("is_today").to_numpy(zero_copy_only=False).astype(bool)
+    # A text of unknown day counts in its key, as neither today's nor a past one.
+    flag = d.field("is_today")
+    today = flag.fill_null(False).to_numpy(zero_copy_only=False)
+    earlier = ~flag.fill_null(True).to_numpy(zero_copy_only=False)
     n_docs = np.bincount(key, minlength=n)
     n_today = np.bincount(key[today], minlength=n)
     scored = (n_today > 0) & (n_docs > n_today)
-    code = lambda a: a.dictionary_encode().indices.to_numpy().astype(np.int64)
+    code = lambda a: a.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
     digest = code(d.field("digest")) + key * len(d)
     exact = np.zeros(n, bool)
-    exact[np.intersect1d(digest[today], digest[~today]) // max(len(d), 1)] = True
+    exact[np.intersect1d(digest[today], digest[earlier]) // max(len(d), 1)] = True
     # Rows that repeat a (key, doc) are one text.
-    doc = d.field("doc")
-    _, doc = np.unique(np.stack([key, code(doc.fill_null(0)), doc.is_null().to_numpy(zero_copy_only=False), today]), axis=1, return_inverse=True)
+    _, doc = np.unique(np.stack([key, code(d.field("doc")), today, earlier]), axis=1, return_inverse=True)
     doc = doc.reshape(-1)
     terms = d.field("terms")
     word = code(terms.flatten())
@@ -155,7 +157,7 @@ def score_block(docs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     wt = t_tf * idf
     t_norm = np.sqrt(np.bincount(owner, wt * wt, n))
     # Norm and dot product of each past text.
-    past = ~now
+    past = earlier[row]
     text, w = (at // size)[past], (tf * idf[term])[past]
     norm = np.sqrt(np.bincount(text, w * w, len(d)))
     dot = np.bincount(text, w * wt[term[past]], len(d))
