@@ -523,7 +523,9 @@ def sql_section_sizes():
 
 
 def q_task_order(spark, sf):
-    return ordered_tasks(_run(spark, sf).tasks).select("org", "project", F.col("id").alias("work_item_id"), "risk_score", "position")
+    # The list shows four columns: only these are dealt into ranges, not the whole task rows.
+    shown = _run(spark, sf).tasks.select("org", "project", "id", "risk_score")
+    return ordered_tasks(shown).select("org", "project", F.col("id").alias("work_item_id"), "risk_score", "position")
 
 
 def sql_task_order():
