@@ -122,13 +122,17 @@ class DailyRun:
     sprint: DataFrame
     grading_requests: DataFrame
     nudge_requests: DataFrame
+    built: tuple[DataFrame, DataFrame, DataFrame, DataFrame]
 
 
 def run_daily(inp: TrackerInputs, as_of: str, p: Params = Params(), grader_responses: DataFrame | None = None,
               nudge_responses: DataFrame | None = None, recipients=None, materialize: bool = True,
-              require_sprint: bool = False) -> DailyRun:
+              require_sprint: bool = False, built: tuple | None = None) -> DailyRun:
     """Build every output of one run.
 
+    ``built`` takes the tasks and comments of another run (``DailyRun.built``) over
+    the same inputs at the same ``as_of``, e.g. to grade them by other replies.
+
     With ``materialize`` (default) the tables read by several consumers are
     checkpointed into the shared checkpoint folder: in-scope items, lookback
     comments, branched tasks and the enriched task table before the fan-out
@@ -138,7 +142,7 @@ def run_daily(inp: TrackerInputs, as_of: str, p: Params = Params(), grader_respo
     if require_sprint and inp.iterations.isEmpty():
         raise RuntimeError("no current iteration found")
     stage = cut_lineage if materialize else _identity
-    tasks, recent, sprint, counts = build_tasks(inp, as_of, p, stage)
+    tasks, recent, sprint, counts = built or build_tasks(inp, as_of, p, stage)
     enriched = stage(analyse(tasks, recent, as_of, p, inp.history, grader_responses, nudge_responses, stage),
                      "enriched tasks")
     disp = dispositions(enriched, p, recipients)
@@ -151,4 +155,5 @@ def run_daily(inp: TrackerInputs, as_of: str, p: Params = Params(), grader_respo
         grading_requests=grading_requests(enriched, as_of),
         nudge_requests=enriched.where("needs_attention").select(
             "org", "project", F.col("id").alias("work_item_id"), F.col("nudge_request").alias("request")),
+        built=(tasks, recent, sprint, counts),
     )

@@ -142,9 +142,10 @@ def _daily(spark: SparkSession, sf: str) -> DailyRun:
 
 def q_daily_with_replies(spark, sf) -> DataFrame:
     """The daily run with graders and nudge writers that answer in many ways, late or not at all."""
-    asked = _asked(_daily(spark, sf).grading_requests, "grade")
+    first = _daily(spark, sf)
+    asked = _asked(first.grading_requests, "grade")
     grades = _landed_replies(spark, asked, _grade_replies(asked), "grade-replies")
-    run = run_daily(SV.tracker_inputs(spark, sf, AS_OF), AS_OF, P, grader_responses=grades)
+    run = run_daily(SV.tracker_inputs(spark, sf, AS_OF), AS_OF, P, grader_responses=grades, built=first.built)
     asked = _asked(run.nudge_requests, "nudge")
     nudges = _landed_replies(spark, asked, _nudge_replies(asked), "nudge-replies")
     t = write_nudges(run.tasks, AS_OF, nudges)
