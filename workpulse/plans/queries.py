@@ -46,6 +46,11 @@ def _run(spark: SparkSession, sf: str, as_of: str = AS_OF):
     return _cache[key]
 
 
+def _landed_once(inp: SV.TrackerInputs) -> SV.TrackerInputs:
+    """The inputs of several runs over the same tables: work items and comments are built once and read by each run."""
+    return replace(inp, work_items=stage_table(inp.work_items, "work items"), comments=stage_table(inp.comments, "comments"))
+
+
 def _sql_pipeline(final: str, as_of: str = AS_OF) -> str:
     return O.with_ctes(O.pipeline_ctes(as_of, P), final)
 
@@ -488,7 +493,7 @@ def q_snapshot_history_loop(spark, sf):
     """Three days and a rerun of the last one; each run's gate reads the table that the earlier runs wrote."""
     ensure_utc(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/snapshot-loop-{uuid.uuid4().hex}"
-    inp = SV.tracker_inputs(spark, sf, AS_OF)
+    inp = _landed_once(SV.tracker_inputs(spark, sf, AS_OF))
     init_table(spark, f"{base}/table")
     for as_of in LOOP_DAYS:
         history = incremental_history(spark, f"{base}/table", f"{base}/state", as_of)
