@@ -2,9 +2,12 @@
 
 from types import SimpleNamespace
 
+from pyspark.sql import functions as F
+
 from workpulse.operators import ranking
 from workpulse.params import DEFAULT_AS_OF, Params
 from workpulse.plans import daily, queries
+from workpulse.sources import snapshot_store
 from workpulse.sources import standins as SV
 from tests.conftest import SF_SMALL
 
@@ -35,3 +38,29 @@ def test_inputs_of_several_runs_are_built_once(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Union" not in plan
     assert inp.work_items.count() == SV.work_items(spark, SF_SMALL).count()
+
+
+def test_staged_rows_are_not_staged_again(spark, tmp_path, monkeypatch):
+    rows = daily.run_daily(SV.tracker_inputs(spark, SF_SMALL, DEFAULT_AS_OF), DEFAULT_AS_OF, Params()).snapshot
+    counts, staged = {}, snapshot_store.stage_table
+
+    def stage(df, label):
+        out = staged(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(snapshot_store, "stage_table", stage)
+    path, n = str(tmp_path / "t"), rows.count()
+    assert snapshot_store.upsert(spark, path, rows, staged=True) == n and counts == {}
+    some = rows.where("work_item_id % 3 = 0").withColumn("risk_label", F.lit("again"))
+    assert snapshot_store.upsert(spark, path, some, staged=True) == some.count()
+    # A rerun stages the rows that stay, and no row that is written again.
+    assert counts == {"snapshot rows kept": n - some.count()}
+    want = rows.where("work_item_id % 3 <> 0").unionByName(some)
+    got = snapshot_store.read_snapshot(spark, path)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    bad = snapshot_store.observed_upsert(spark, path, rows.withColumn("task_title", F.when(F.col("work_item_id") % 2 == 0, F.col("task_title"))), staged=True)
+    odd = rows.where("work_item_id % 2 <> 0").count()
+    assert (bad.rows, bad.violations, bad.nulls, bad.written) == (n, odd, {"task_title": odd}, False)
+    assert snapshot_store.observed_upsert(spark, path, rows.where("false"), staged=True) == snapshot_store.Written(0, 0, {}, False)
+    assert got.count() == n

@@ -213,7 +213,7 @@ def q_write_report(spark, sf) -> DataFrame:
                                "risk_label": F.when(F.col("work_item_id") % 4 != 0, F.col("risk_label"))})
     out = []
     for name, run in (("whole", rows), ("broken", broken), ("empty", rows.where("false"))):
-        m = observed_upsert(spark, path, run)
+        m = observed_upsert(spark, path, run, staged=True)
         out.append((name, m.rows, m.violations, m.nulls.get("task_title", 0), m.nulls.get("risk_label", 0), m.written, read_snapshot(spark, path).count()))
     return spark.createDataFrame(out, "run string, n_rows long, violations long, null_titles long, null_labels long, written boolean, table_rows long")
 

@@ -3,18 +3,19 @@
 Layout: ``<path>/snapshot_date=YYYY-MM-DD/bucket=N/*.parquet``; key (org, project,
 date, item), bucket by a hash of the key. Writes use dynamic partition
 overwrite, so only the (date, bucket) folders that hold a rewritten key are read
-and replaced: a rerun of one item touches one bucket of its day. The merged rows
-are checkpointed into the shared checkpoint folder before the overwrite, which
-cuts the lineage to the files being replaced; folders that hold nothing yet are
-written directly. What a write has seen (rows, nulls of each NOT NULL column)
-is observed within the job that stages its input, with no pass of its own.
+and replaced: a rerun of one item touches one bucket of its day. The rows of these
+folders that stay are checkpointed into the shared checkpoint folder before the
+overwrite, which cuts the lineage to the files being replaced; folders that hold
+nothing yet are written directly. What a write has seen (rows, nulls of each NOT
+NULL column) is counted by the pass that lists the folders, which reads the key
+and the NOT NULL columns only.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,10 +78,14 @@ def bucket_of() -> Column:
     return F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in SNAPSHOT_KEY]), F.lit(BUCKETS)).cast("int")
 
 
+def kept_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of the touched folders whose key is not written again."""
+    return existing.join(new.select(*SNAPSHOT_KEY), list(SNAPSHOT_KEY), "left_anti").select(*existing.columns)
+
+
 def merge_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of the touched folders after the upsert: existing minus re-written keys, plus new."""
-    kept = existing.join(new.select(*SNAPSHOT_KEY), list(SNAPSHOT_KEY), "left_anti")
-    return kept.unionByName(new.select(*existing.columns))
+    return kept_rows(existing, new).unionByName(new.select(*existing.columns))
 
 
 @dataclass(frozen=True)
@@ -93,43 +98,45 @@ class Written:
     written: bool
 
 
-def observed_upsert(spark: SparkSession, path: str, new: DataFrame) -> Written:
+def observed_upsert(spark: SparkSession, path: str, new: DataFrame, staged: bool = False) -> Written:
     """Idempotent write of one run's rows with its metrics.
 
-    The input is computed once, into a stage table, and counted while it is
-    written. An empty run and one with a null in a NOT NULL column leave the
-    table as it is.
+    The input is computed once, into a stage table; with ``staged`` it comes
+    from one already, by column expressions alone, and is read from there. It
+    is counted before the write: an empty run and one with a null in a NOT NULL
+    column leave the table as it is.
     """
-    seen = Observation()
     null = {c: F.col(c).isNull() for c in SNAPSHOT_NOT_NULL}
     broken = F.lit(False)
     for c in null.values():
         broken = broken | c
-    staged = stage_table(new.withColumn("bucket", bucket_of()).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.count_if(broken).alias("violations"), *[F.count_if(c).alias(n) for n, c in null.items()]), "snapshot rows")
-    got = {k: v or 0 for k, v in seen.get.items()}
-    nulls = {n: got[n] for n in null if got[n]}
-    if not got["rows"] or got["violations"]:
-        return Written(got["rows"], got["violations"], nulls, False)
-    init_table(spark, path)
+    rows = new.withColumn("bucket", bucket_of())
+    rows = rows if staged else stage_table(rows, "snapshot rows")
     # At most BUCKETS folders for each date of the run.
-    touched = [(str(r[0]), r[1]) for r in staged.select(*PARTITIONS).distinct().collect()]
+    seen = rows.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(broken).alias("n_broken"),
+                                         *[F.count_if(c).alias(f"null_{n}") for n, c in null.items()]).collect()
+    n, violations = sum(r["n_rows"] for r in seen), sum(r["n_broken"] for r in seen)
+    nulls = {c: k for c in null if (k := sum(r[f"null_{c}"] for r in seen))}
+    if not n or violations:
+        return Written(n, violations, nulls, False)
+    init_table(spark, path)
+    touched = [(str(r[0]), r[1]) for r in seen]
     held = [t for t in touched if _has_data(spark, f"{path.rstrip('/')}/snapshot_date={t[0]}/bucket={t[1]}")]
-    rows = staged
     if held:
         pick = F.lit(False)
         for day in sorted({d for d, _ in held}):
             pick = pick | ((F.col("snapshot_date") == F.lit(day).cast("date")) & F.col("bucket").isin([b for d, b in held if d == day]))
-        rows = stage_table(merge_rows(_stored(spark, path).where(pick), staged), "snapshot merge")
+        # Only the rows that stay come from the files being replaced.
+        rows = stage_table(kept_rows(_stored(spark, path).where(pick), rows), "snapshot rows kept").unionByName(rows.select(*STORED.fieldNames()))
     # Every row of a run shares one date: the rebalance hint lets AQE split large folders and join small ones.
     (rows.hint("rebalance", *PARTITIONS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
-    return Written(got["rows"], 0, nulls, True)
+    return Written(n, 0, nulls, True)
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame) -> int:
+def upsert(spark: SparkSession, path: str, new: DataFrame, staged: bool = False) -> int:
     """``observed_upsert`` that fails on a null in a NOT NULL column; returns the number of rows written (0 -> no write, S12)."""
-    done = observed_upsert(spark, path, new)
+    done = observed_upsert(spark, path, new, staged)
     if done.violations:
         raise ValueError(f"{done.violations} snapshot rows violate a NOT NULL column: {done.nulls}")
     return done.rows
