@@ -64,3 +64,15 @@ def test_staged_rows_are_not_staged_again(spark, tmp_path, monkeypatch):
     assert (bad.rows, bad.violations, bad.nulls, bad.written) == (n, odd, {"task_title": odd}, False)
     assert snapshot_store.observed_upsert(spark, path, rows.where("false"), staged=True) == snapshot_store.Written(0, 0, {}, False)
     assert got.count() == n
+
+
+def test_days_share_their_scope(spark, monkeypatch):
+    inp = SV.tracker_inputs(spark, SF_SMALL, DEFAULT_AS_OF)
+    days = (queries.PREV_AS_OF, DEFAULT_AS_OF)
+    alone = [daily.run_daily(inp, d, Params()).snapshot for d in days]
+    scope = daily.find_scope(inp, DEFAULT_AS_OF, Params())
+    monkeypatch.setattr(daily, "scoped_items", None)
+    monkeypatch.setattr(daily, "newest_of", None)
+    for d, want in zip(days, alone):
+        got = daily.run_daily(inp, d, Params(), scope=scope).snapshot
+        assert want.count() > 100 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -22,7 +22,7 @@ from workpulse.operators.similarity import copy_paste
 from workpulse.operators.summary import ordered_tasks
 from workpulse.params import DEFAULT_AS_OF, Params
 from workpulse.plans import oracle as O
-from workpulse.plans.daily import run_daily
+from workpulse.plans.daily import Scope, find_scope, run_daily
 from workpulse.plans.loops import LOOPS
 from workpulse.schemas import GRADE_FIELDS
 from workpulse.session import checkpoint_dir, ensure_utc, join_small, stage_table
@@ -36,13 +36,13 @@ P = Params()
 _cache: dict = {}
 
 
-def _run(spark: SparkSession, sf: str, as_of: str = AS_OF):
+def _run(spark: SparkSession, sf: str, as_of: str = AS_OF, landed: tuple[SV.TrackerInputs, Scope] | None = None):
     """One daily run per (session, data folder, as_of) shared by the pipeline-output queries."""
     key = (spark.sparkContext.applicationId, id(spark), sf, as_of)
     if key not in _cache:
         ensure_utc(spark)
-        inp = SV.tracker_inputs(spark, sf, AS_OF)
-        _cache[key] = run_daily(inp, as_of, P, recipients=SV.recipients(spark, sf))
+        inp, scope = landed or (SV.tracker_inputs(spark, sf, AS_OF), None)
+        _cache[key] = run_daily(inp, as_of, P, recipients=SV.recipients(spark, sf), scope=scope)
     return _cache[key]
 
 
@@ -473,8 +473,10 @@ def q_snapshot_upsert(spark, sf):
     """Write day D-1, then day D twice (rerun), into one table; read the whole table back."""
     ensure_utc(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/snapshot-upsert-{uuid.uuid4().hex}"
+    inp = SV.tracker_inputs(spark, sf, AS_OF)
+    landed = replace(inp, history=stage_table(inp.history, "history")), find_scope(inp, AS_OF, P)
     for as_of in (PREV_AS_OF, AS_OF, AS_OF):
-        upsert(spark, path, _run(spark, sf, as_of).snapshot)
+        upsert(spark, path, _run(spark, sf, as_of, landed).snapshot, staged=True)
     return read_snapshot(spark, path)
 
 
@@ -497,7 +499,7 @@ def q_snapshot_history_loop(spark, sf):
     init_table(spark, f"{base}/table")
     for as_of in LOOP_DAYS:
         history = incremental_history(spark, f"{base}/table", f"{base}/state", as_of)
-        upsert(spark, f"{base}/table", run_daily(replace(inp, history=history), as_of, P).snapshot)
+        upsert(spark, f"{base}/table", run_daily(replace(inp, history=history), as_of, P).snapshot, staged=True)
     return read_snapshot(spark, f"{base}/table")
 
 
