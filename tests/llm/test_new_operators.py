@@ -102,6 +102,19 @@ def test_phrases_equal_brute_force(spark, monkeypatch, at_once):
     assert sorted(got) == brute_phrases(docs, 5, 30)
 
 
+def test_phrases_graph_holds_frequent_runs_only(spark, monkeypatch):
+    """All pairs are frequent here and hardly a triple is: the graph has the words, pairs and few more, not a row for each place."""
+    rows = {}
+    staged = phrases.stage
+    monkeypatch.setattr(phrases, "stage", lambda df, name: rows.setdefault(name, staged(df, name)))
+    rng = np.random.default_rng(7)
+    vocab = np.array([f"w{i}" for i in range(25)])
+    docs = [(" ".join(vocab[rng.integers(0, 25, 400)]) + f" only{i} once{i}", "en") for i in range(40)] + [("a b c d e f, a b c d", "en")] * 9
+    got = phrases.mine(spark.createDataFrame(docs, "text string, lang string").repartition(3), least=9, top=50).collect()
+    assert sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in got) == brute_phrases(docs, 9, 50)
+    assert rows["graph"].count() < 2_000
+
+
 def test_phrases_of_an_empty_table(spark):
     assert phrases.mine(spark.createDataFrame([], "text string, lang string")).collect() == []
 

@@ -2,25 +2,29 @@
 
 Nodes are runs of ``LONGEST`` - 1 words, edges runs of ``LONGEST`` words that
 lead from one node to the next, weighted by how often they occur within a
-piece (text between two breaks). Only edges, and each piece's last words, are
-counted from the texts; everything shorter follows from them:
+piece (text between two breaks). Each word starts one run through the graph:
+an edge, or what is left of it where the piece ends. Only these are counted
+from the texts; everything shorter follows from them:
 
 * the flow out of a run of k words is the weight of all runs of k + 1 words
-  that start with it; what does not flow on ends a piece there, so
-  f(run) = outflow + pieces that end with it. Words themselves, and the
-  corpus' size n, come out of the same flow.
+  that start with it; what does not flow on ends there, so
+  f(run) = outflow + runs that end with it.
 * where all of a run's weight flows through one longer run, the path is unary:
   the run is compacted into the longer one and is no phrase of its own. A run
   is inside a longer one of the same weight exactly if one word more, before
   or behind, has the same weight, so one step each way decides it.
 
-Most word pairs of a large corpus are too rare for any phrase. The graph is cut
-at pairs whose bucket of pair hashes counts fewer than the least frequency
-over the whole corpus; buckets hold whole counts, so no pair that is frequent
-enough is ever cut, and counts stay exact on either side of a cut, since both
-words stay in a piece. The more words, the more buckets (up to
-2**``MAX_BITS``, a bitmap of 16 MB); where they do not suffice, fewer pairs
-are cut and more edges counted, with the same result.
+Most runs of a large corpus are too rare for any phrase, and the longer they
+are the more of them are. The graph is cut at words, pairs and triples whose
+bucket of hashes counts fewer than the least frequency over the whole corpus:
+a word's run ends before the first of them. Buckets hold whole counts, so no run
+that is frequent enough is ever cut short, and its count stays exact: each place
+where it occurs starts a run that holds it. Runs that are too rare may lose
+weight, which only leaves them too rare. So the graph grows with the frequent
+triples, not with the distinct runs of five words. The more text, the more
+buckets (up to 2**``MAX_BITS`` for each length, bitmaps of 16 MB); where they do
+not suffice, fewer runs are cut and more edges counted, with the same result.
+A language's words are summed up beside the graph.
 
 Words and runs are compared as text, never by hash.
 
@@ -46,18 +50,23 @@ from workpulse.llm.ngram_join import powers
 
 #: Words of an edge, and of the longest phrase.
 LONGEST = 5
-#: Buckets of pair hashes: a power of two, about one for each 16 bytes of text, within these powers.
+#: Runs of up to so many words are counted in buckets first.
+CUT = 3
+#: Buckets of hashes of runs of one length: a power of two, about one for each 16 bytes of text, within these powers.
 MIN_BITS, MAX_BITS = 16, 27
-#: Bytes of text that are cut into words at once.
-BYTES_AT_ONCE = 2_000_000
-#: Pairs whose buckets a task adds up before they leave it.
+#: Bytes of text that are cut into words at once: their arrays stay in a core's cache.
+BYTES_AT_ONCE = 250_000
+#: Runs of one length whose buckets a task adds up before they leave it.
 PAIRS_AT_ONCE = 4_000_000
+#: Runs of the graph that a task adds up before they leave it.
+RUNS_AT_ONCE = 1_000_000
 #: A language's candidates are ranked in so many parts first.
 PARTS = 64
 
-BREAK, BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
-BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
-BLANK[[0x20, 0x09]] = True
+#: Of each byte: 0 in a word, 1 blank, 2 break.
+KIND = np.zeros(256, dtype=np.uint8)
+KIND[[0x20, 0x09]] = 1
+KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 
 
 def slices(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringArray:
@@ -73,27 +82,44 @@ class Words:
 
     def __init__(self, texts: list[bytes]):
         raw = np.frombuffer(b"\n".join(texts).lower() + b"\n", dtype=np.uint8)  # bytes.lower() is A-Z only
-        stop = BREAK[raw]
-        edge = np.diff(np.concatenate([[True], stop | BLANK[raw]]).astype(np.int8))
-        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        self.piece = np.cumsum(stop)[first]
+        kind = KIND[raw]
+        word = kind == 0
+        edge = np.diff(word.view(np.int8), prepend=np.int8(0))
+        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.piece = np.searchsorted(np.flatnonzero(kind == 2), first)
+        word[last] = True  # one separator stays behind each word
+        self.buf = raw[word]
         size = last - first
         self.end = np.cumsum(size + 1) - 1
         self.start = self.end - size
-        at = np.arange(int(size.sum()) + len(size)) + np.repeat(first - self.start, size + 1)
-        self.buf = raw[at].copy()
         self.buf[self.end] = 0x20
 
-    def pair_buckets(self, bits: int, lang: int) -> np.ndarray:
-        """The bucket of each word and its successor."""
+    def buckets(self, bits: int, lang: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of 1 to ``CUT`` words: the bucket of the run that starts at each word, and whether it lies in one piece."""
         up, down = powers(len(self.buf) + 1)
+        sums = np.zeros(len(self.buf) + 1, dtype=np.uint64)
         with np.errstate(over="ignore"):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((self.buf + np.uint64(1)) * up[:-1])])
+            np.cumsum((self.buf + np.uint64(1)) * up[:-1], out=sums[1:])
             h = (sums[self.end] - sums[self.start]) * down[self.start]
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(lang)
-            pair = (h[:-1] ^ (h[:-1] >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + h[1:]
-            pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-        return (pair >> np.uint64(64 - bits)).astype(np.int64)
+            h = run = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(lang)
+            for k in range(1, min(CUT, len(h)) + 1):
+                if k > 1:
+                    run = (run[:-1] ^ (run[:-1] >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + h[k - 1:]
+                mixed = (run ^ (run >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+                yield (mixed >> np.uint64(64 - bits)).astype(np.uint32), self.piece[:len(run)] == self.piece[k - 1:]
+
+    def lengths(self, bits: int, lang: int, bitmaps: np.ndarray) -> np.ndarray:
+        """Words of the longest run that starts at each word and has no rare bucket within, 0 if the word itself is rare."""
+        out = np.zeros(len(self.start), dtype=np.int64)
+        tables = self.buckets(bits, lang)
+        whole = np.ones(len(self.start) + 1, dtype=bool)
+        for k in range(1, min(LONGEST, len(self.start)) + 1):
+            whole = whole[:-1] & whole[1:]
+            if k <= CUT:
+                bucket, inside = next(tables)
+                whole &= inside & ((bitmaps[k - 1][bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 > 0)
+            out[:len(whole)] += whole
+        return out
 
 
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
@@ -117,83 +143,107 @@ def seed(lang: str) -> int:
     return int.from_bytes(lang.encode()[:7], "big") * 2 + 1
 
 
-def count_buckets(bits: int):
-    """(bucket, n) of all word pairs of rows (lang, text); up to ``PAIRS_AT_ONCE`` are added up before they leave."""
-    def counted(held):
+def part_bits(bits: int) -> int:
+    """Buckets of a table are dealt in parts of a power of two."""
+    return min(16, max(3, bits - 10))
+
+
+def count_buckets(bits: int, least: int):
+    """(part, at, n) of all runs of 1 to ``CUT`` words of rows (lang, text): a part's buckets and their counts, packed.
+
+    Up to ``PAIRS_AT_ONCE`` runs of a length are added up before they leave. A count of ``least`` or more leaves as ``least``,
+    which is enough for its bucket.
+    """
+    low, kind = part_bits(bits), np.min_scalar_type(least)
+
+    def counted(k, held):
         bucket, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(n.astype(np.int64))], names=["bucket", "n"])
+        part = bucket >> low
+        first = np.flatnonzero(np.diff(part, prepend=part[0] + 1))
+        cuts = np.append(first, len(part))
+        packed = lambda v: pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((cuts * v.itemsize).astype(np.int32)), pa.py_buffer(v)])
+        parts = part[first].astype(np.int64) + ((k - 1) << (bits - low))
+        at = (bucket & ((1 << low) - 1)).astype(np.uint16)
+        return pa.RecordBatch.from_arrays([pa.array(parts), packed(at), packed(np.minimum(n, least).astype(kind))], names=["part", "at", "n"])
 
     def run(batches):
-        held: list[np.ndarray] = []
+        held: dict[int, list[np.ndarray]] = {k: [] for k in range(1, CUT + 1)}
         for lang, words in by_language(batches):
-            if len(words.start) > 1:
-                held.append(words.pair_buckets(bits, seed(lang))[words.piece[1:] == words.piece[:-1]].astype(np.uint32))
-                if sum(map(len, held)) >= PAIRS_AT_ONCE:
-                    yield counted(held)
-                    held = []
-        if held:
-            yield counted(held)
+            for k, (bucket, inside) in enumerate(words.buckets(bits, seed(lang)), 1):
+                held[k].append(bucket[inside])
+                if sum(map(len, held[k])) >= PAIRS_AT_ONCE:
+                    yield counted(k, held[k])
+                    held[k] = []
+        for k, some in held.items():
+            if sum(map(len, some)):
+                yield counted(k, some)
     return run
 
 
-def edges_and_ends(bits: int, bitmap):
-    """(lang, run, words, n): edges (``LONGEST`` words) and the last words of pieces, cut at rare pairs."""
+def frequent_parts(bits: int, least: int):
+    """(part, bits) of rows (part, at, n) in the order of their parts: a bit for each bucket that holds ``least`` runs."""
+    size, kind = 1 << part_bits(bits), np.min_scalar_type(least)
+
+    def bitmap(part, counts):
+        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([np.packbits(counts >= least, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
+
     def run(batches):
-        bitmap_of = np.frombuffer(bitmap.value, dtype=np.uint8)
-        for lang, words in by_language(batches):
-            n = len(words.start)
-            if not n:
-                continue
-            bucket = words.pair_buckets(bits, seed(lang))
-            frequent = (bitmap_of[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 > 0
-            joined = (words.piece[1:] == words.piece[:-1]) & frequent
-            last = np.flatnonzero(np.concatenate([~joined, [True]]))  # last words of pieces
-            first = np.concatenate([[0], last[:-1] + 1])
-            begin = np.repeat(first, last - first + 1)
-            head = np.flatnonzero(np.arange(n) - begin >= LONGEST - 1) - (LONGEST - 1)  # first words of edges
-            tail = np.maximum(first, last - (LONGEST - 2))
-            for start, end, size in ((head, head + LONGEST - 1, np.full(len(head), LONGEST)), (tail, last, last - tail + 1)):
-                if len(start):
-                    found = pc.value_counts(slices(words.buf, words.start[start], words.end[end]))
-                    runs = found.field("values")
-                    k = pc.add(pc.count_substring(runs, " "), 1)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(runs), pa.string()), runs, k.cast(pa.int32()), found.field("counts").cast(pa.int64())],
-                                                     names=["lang", "run", "words", "n"])
+        part, counts = None, np.zeros(size, dtype=np.int64)
+        for b in batches:
+            for own, at, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if own != part:
+                    if counts.max() >= least:
+                        yield bitmap(part, counts)
+                    part, counts = own, np.zeros(size, dtype=np.int64)
+                counts[np.frombuffer(at, np.uint16)] += np.frombuffer(n, kind)
+        if counts.max() >= least:
+            yield bitmap(part, counts)
     return run
 
 
 def frequent_buckets(pieces: DataFrame, bits: int, least: int) -> bytes:
-    """A bit for each bucket that holds at least ``least`` word pairs."""
-    found = (pieces.mapInArrow(count_buckets(bits), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-             .groupBy(F.expr("bucket div 32768").alias("part")).agg(F.collect_list(F.expr("cast(bucket % 32768 AS int)")).alias("at")))
-
-    def bitmap(batches):
-        for b in batches:
-            out = []
-            for at in b.column(1):
-                bits = np.zeros(32768, dtype=np.uint8)
-                bits[at.values.to_numpy()] = 1
-                out.append(np.packbits(bits, bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["part", "bits"])
-
-    out = bytearray((1 << bits) // 8)
-    for r in found.mapInArrow(bitmap, "part long, bits binary").toLocalIterator():
-        out[r["part"] * 4096:(r["part"] + 1) * 4096] = r["bits"]
+    """For runs of 1 to ``CUT`` words, a bit for each bucket that holds at least ``least`` of them."""
+    counts = pieces.mapInArrow(count_buckets(bits, least), "part long, at binary, n binary")
+    found = counts.repartition("part").sortWithinPartitions("part").mapInArrow(frequent_parts(bits, least), "part long, bits binary")
+    out, size = bytearray(CUT * (1 << bits) // 8), (1 << part_bits(bits)) // 8
+    for r in found.collect():  # the size of the bitmaps at most
+        out[r["part"] * size:(r["part"] + 1) * size] = r["bits"]
     return bytes(out)
 
 
+def edges_and_ends(bits: int, bitmaps):
+    """(lang, run, words, n): each word's run through the graph, an edge of ``LONGEST`` words or what is left of it at the
+    end of its piece or before a rare run; and with no words, how many words the language has."""
+    def counted(lang, held, total):
+        found = pc.value_counts(pa.concat_arrays(held))
+        runs = pa.concat_arrays([found.field("values"), pa.array([""])])
+        n = pa.concat_arrays([found.field("counts").cast(pa.int64()), pa.array([total], pa.int64())])
+        k = pc.add(pc.count_substring(runs, " "), 1)
+        k = pc.if_else(pc.equal(runs, ""), 0, k)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(runs), pa.string()), runs, k.cast(pa.int32()), n], names=["lang", "run", "words", "n"])
+
+    def run(batches):
+        tables = np.frombuffer(bitmaps.value, dtype=np.uint8).reshape(CUT, -1)
+        held: dict[str, tuple[list[pa.StringArray], int]] = {}
+        for lang, words in by_language(batches):
+            length = words.lengths(bits, seed(lang), tables)
+            head = np.flatnonzero(length)
+            runs, total = held.pop(lang, ([], 0))
+            runs.append(slices(words.buf, words.start[head], words.end[head + length[head] - 1]))
+            total += len(length)
+            if sum(map(len, runs)) < RUNS_AT_ONCE:
+                held[lang] = runs, total
+            else:
+                yield counted(lang, runs, total)
+        for lang, (runs, total) in held.items():
+            yield counted(lang, runs, total)
+    return run
+
+
 def flows(graph: DataFrame) -> DataFrame:
-    """(lang, run, words, n) of all runs of 1 to ``LONGEST`` words, from the edges and the ends of pieces."""
-    levels = [graph.where(F.col("words") == LONGEST)]
-    for k in range(LONGEST - 1, 0, -1):
-        out = levels[-1].select("lang", F.substring_index("run", " ", k).alias("run"), "n")
-        ends = graph.where(F.col("words").between(k, LONGEST - 1)).select("lang", F.substring_index("run", " ", -k).alias("run"), "n")
-        level = out.unionByName(ends).groupBy("lang", "run").agg(F.sum("n").alias("n"))
-        levels.append(stage(level.select("lang", "run", F.lit(k).alias("words"), "n"), f"runs-{k}"))
-    rows = levels[0]
-    for level in levels[1:]:
-        rows = rows.unionByName(level)
-    return rows
+    """(lang, run, words, n) of all runs of 1 to ``LONGEST`` words: each takes what flows through it on to longer ones and what ends with it."""
+    shorter = graph.where("words > 0").select("lang", "run", "n", F.explode(F.expr("sequence(1, words)")).alias("words"))
+    return shorter.select("lang", F.expr("substring_index(run, ' ', words)").alias("run"), "words", "n").groupBy("lang", "run", "words").agg(F.sum("n").alias("n"))
 
 
 def compacted(runs: DataFrame) -> DataFrame:
@@ -212,9 +262,8 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 1
     bitmap = spark.sparkContext.broadcast(frequent_buckets(pieces, bits, least))
     graph = stage(pieces.mapInArrow(edges_and_ends(bits, bitmap), "lang string, run string, words int, n long")
                   .groupBy("lang", "run", "words").agg(F.sum("n").alias("n")), "graph")
-    every = flows(graph)
-    total = every.where("words = 1").groupBy("lang").agg(F.sum("n").alias("total"))
-    runs = stage(every.where(F.col("n") >= least), "runs")
+    total = graph.where("words = 0").select("lang", F.col("n").alias("total"))
+    runs = stage(flows(graph).where(F.col("n") >= least), "runs")
 
     phrases = runs.where("words > 1")
     through = compacted(runs)
