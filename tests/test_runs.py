@@ -76,3 +76,23 @@ def test_days_share_their_scope(spark, monkeypatch):
     for d, want in zip(days, alone):
         got = daily.run_daily(inp, d, Params(), scope=scope).snapshot
         assert want.count() > 100 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_history_loop_builds_its_scope_once_and_a_rerun_no_tasks(spark, monkeypatch):
+    calls = {"scoped_items": 0, "newest_of": 0, "recent_comments": 0, "assign_branch": 0}
+    limits, before = set(), spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+
+    def counted(name, f):
+        def run(*a, **k):
+            calls[name] += 1
+            limits.add(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+            return f(*a, **k)
+        return run
+
+    for name in calls:
+        monkeypatch.setattr(daily, name, counted(name, getattr(daily, name)))
+    rows = queries.q_snapshot_history_loop(spark, SF_SMALL)
+    assert [r[0].isoformat() for r in rows.select("snapshot_date").distinct().orderBy("snapshot_date").collect()] == ["2024-01-28", "2024-01-29", "2024-01-30"]
+    # The rerun reads its day's tasks and comments, and branches them by the history that the earlier runs wrote.
+    assert calls == {"scoped_items": 1, "newest_of": 1, "recent_comments": 3, "assign_branch": 4}
+    assert limits == {"8000"} and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before

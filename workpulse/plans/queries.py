@@ -25,7 +25,7 @@ from workpulse.plans import oracle as O
 from workpulse.plans.daily import Scope, find_scope, run_daily
 from workpulse.plans.loops import LOOPS
 from workpulse.schemas import GRADE_FIELDS
-from workpulse.session import checkpoint_dir, ensure_utc, join_small, stage_table
+from workpulse.session import checkpoint_dir, compiled_methods, ensure_utc, join_small, stage_table
 from workpulse.sources import standins as SV
 from workpulse.sources.snapshot_store import incremental_history, init_table, read_snapshot, upsert
 
@@ -495,11 +495,16 @@ def q_snapshot_history_loop(spark, sf):
     """Three days and a rerun of the last one; each run's gate reads the table that the earlier runs wrote."""
     ensure_utc(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/snapshot-loop-{uuid.uuid4().hex}"
-    inp = _landed_once(SV.tracker_inputs(spark, sf, AS_OF))
+    inp = SV.tracker_inputs(spark, sf, AS_OF)
     init_table(spark, f"{base}/table")
-    for as_of in LOOP_DAYS:
-        history = incremental_history(spark, f"{base}/table", f"{base}/state", as_of)
-        upsert(spark, f"{base}/table", run_daily(replace(inp, history=history), as_of, P).snapshot, staged=True)
+    built: dict = {}  # a rerun analyses the tasks and comments of its day again, by the history that it finds
+    with compiled_methods(spark):
+        scope = find_scope(inp, AS_OF, P)
+        for as_of in LOOP_DAYS:
+            history = incremental_history(spark, f"{base}/table", f"{base}/state", as_of)
+            run = run_daily(replace(inp, history=history), as_of, P, built=built.get(as_of), scope=scope)
+            built[as_of] = run.built
+            upsert(spark, f"{base}/table", run.snapshot, staged=True)
     return read_snapshot(spark, f"{base}/table")
 
 

@@ -1,7 +1,8 @@
-"""Session helpers: UTC session time zone, checkpoint folder, size-checked broadcast."""
+"""Session helpers: UTC session time zone, checkpoint folder, size-checked broadcast, generated code that the JVM compiles."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -54,6 +55,22 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
 
 
+#: Bytes of the largest method that the JVM compiles; a larger one is interpreted row by row, however many rows there are.
+JIT_LIMIT = "8000"
+
+
+@contextlib.contextmanager
+def compiled_methods(spark: SparkSession):
+    """Within it, plans whose generated methods exceed ``JIT_LIMIT`` (wide task rows) run operator by operator instead."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, JIT_LIMIT)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
